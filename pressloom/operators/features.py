@@ -62,7 +62,8 @@ def vocabulary(counts: DataFrame, n_docs: Column, min_df: int, max_df: float, co
 
     `copies` names a column that says for how many equal documents a row stands.
     """
-    df = F.sum(copies) if copies else F.count("*")
+    # Referring to tf keeps the rows as the weighting step reads them, so both share one shuffle of the counts.
+    df = F.sum(F.when(F.col("tf") > 0, F.col(copies) if copies else F.lit(1)))
     terms = counts.groupBy("term").agg(df.alias("df"))
     kept = terms.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n_docs))
     return kept.withColumn("idf", F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)
@@ -105,7 +106,7 @@ def cluster_top_terms(
     terms = cut.select(cluster, doc, F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
     counts = terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf"))
     sizes = articles.groupBy(cluster).agg(F.count("*").alias("n"))
-    found = counts.groupBy(cluster, "term").agg(F.count("*").alias("df"))
+    found = counts.groupBy(cluster, "term").agg(F.sum(F.when(F.col("tf") > 0, 1)).alias("df"))
     kept = found.join(sizes, cluster).where(F.col("df") <= F.lit(max_df) * F.col("n"))
     kept = kept.withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
     raw = counts.join(kept, [cluster, "term"]).withColumn("w", F.col("tf") * F.col("idf"))

@@ -13,7 +13,16 @@ EPOCH = "2025-08-10 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute an input that arrives in fewer partitions than there are cores.
+
+    Only a small input does; one that fills the cluster is scanned as it lies, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     for key, value in conf.items():
