@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import WORD
+from pressloom.session import StepTables
 
 ANY_WORD = f"{WORD}{{2,}}"
 HEBREW_WORD = r"\A[א-ת]{2,}\z"
@@ -62,8 +63,7 @@ def vocabulary(counts: DataFrame, n_docs: Column, min_df: int, max_df: float, co
 
     `copies` names a column that says for how many equal documents a row stands.
     """
-    # Referring to tf keeps the rows as the weighting step reads them, so both share one shuffle of the counts.
-    df = F.sum(F.when(F.col("tf") > 0, F.col(copies) if copies else F.lit(1)))
+    df = F.sum(copies) if copies else F.count("*")
     terms = counts.groupBy("term").agg(df.alias("df"))
     kept = terms.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n_docs))
     return kept.withColumn("idf", F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)
@@ -78,8 +78,13 @@ def tfidf(
     max_df: float = 0.8,
     stopwords: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc, term, w): raw count times smoothed inverse document frequency, each document scaled to length one."""
-    counts = term_counts(docs, doc, words(F.col(text), stopwords), ngram_range)
+    """(doc, term, w): raw count times smoothed inverse document frequency, each document scaled to length one.
+
+    The texts and the counts are each read more than once, so both are written down in between.
+    """
+    steps = StepTables(docs.sparkSession, "tfidf")
+    docs = steps.save(docs.select(doc, text), "texts")
+    counts = steps.save(term_counts(docs, doc, words(F.col(text), stopwords), ngram_range), "term-counts")
     n_docs = docs.agg(F.count("*")).scalar()
     raw = counts.join(vocabulary(counts, n_docs, min_df, max_df), "term")
     raw = raw.select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
@@ -101,17 +106,22 @@ def cluster_top_terms(
 
     Frequencies are those inside the cluster, from title and summary; ties go to the smaller term.
     """
+    steps = StepTables(articles.sparkSession, "top-terms")
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
     cut = articles.select(cluster, doc, words(text, only=word).alias("_tokens"))
     terms = cut.select(cluster, doc, F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
-    counts = terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf"))
+    counts = steps.save(terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf")), "term-counts")
     sizes = articles.groupBy(cluster).agg(F.count("*").alias("n"))
-    found = counts.groupBy(cluster, "term").agg(F.sum(F.when(F.col("tf") > 0, 1)).alias("df"))
+    found = counts.groupBy(cluster, "term").agg(F.count("*").alias("df"))
     kept = found.join(sizes, cluster).where(F.col("df") <= F.lit(max_df) * F.col("n"))
     kept = kept.withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
-    raw = counts.join(kept, [cluster, "term"]).withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(cluster, doc)))
-    scaled = raw.select(cluster, "term", "n", (F.col("w") / norm).alias("w"))
+    raw = counts.join(kept, [cluster, "term"]).select(cluster, doc, "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
+    # One row per document, which bounds the list, so its length and its terms come out of one shuffle.
+    packed = raw.groupBy(cluster, doc, "n").agg(
+        F.collect_list(F.struct("term", "w")).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
+    )
+    scaled = packed.select(cluster, "n", "norm", F.explode("v").alias("e"))
+    scaled = scaled.select(cluster, "n", "e.term", (F.col("e.w") / F.col("norm")).alias("w"))
     mean = scaled.groupBy(cluster, "term").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
     best = Window.partitionBy(cluster).orderBy(F.desc("weight"), "term")
     return mean.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(cluster, "rank", "term", "weight")

@@ -61,11 +61,9 @@ def cosine_pairs(
     steps = StepTables(docs.sparkSession, "pairs")
     texts = steps.save(distinct_texts(docs, doc, text), "texts")
     n_docs = texts.agg(F.sum("copies")).scalar()
-    rows = weighted_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
-    unit = rows.select("doc", "tid", (F.col("w") / norm).alias("w"))
+    vectors = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
     min_sim = 1.0 - threshold
-    vectors = steps.save(index_vectors(unit, "doc", min_sim), "vectors")
+    vectors = steps.save(index_vectors(vectors, min_sim), "vectors")
     pairs = similar_pairs(vectors, "doc", min_sim - 1e-9, steps, block_rows)
     pairs = pairs.where(F.round(1.0 - F.col("sim"), 12) < threshold)
     counts = texts.select("doc", "copies")
@@ -74,7 +72,7 @@ def cosine_pairs(
     return pairs.select("a", "b", "sim", "copies_a", "copies_b")
 
 
-def weighted_vectors(
+def text_vectors(
     texts: DataFrame,
     n_docs: Column,
     steps: StepTables,
@@ -83,12 +81,22 @@ def weighted_vectors(
     max_df: float,
     stopwords: Sequence[str],
 ) -> DataFrame:
-    """(doc, copies, tid, tf, w) of distinct texts (doc, text, copies), one row per term that is kept."""
+    """(doc, copies, signature, v) of distinct texts (doc, text, copies): TF-IDF vectors of length one.
+
+    `v` holds (tid, w) in rank order and `signature` the terms and counts it comes from.
+    """
     counts = steps.save(term_counts(texts, "doc", words(F.col("text"), stopwords), ngram_range), "term-counts")
     counts = counts.join(texts.select("doc", "copies"), "doc")
     terms = rank_terms(vocabulary(counts, n_docs, min_df, max_df, copies="copies"), steps)
-    raw = counts.join(terms.select("term", "tid", "idf"), "term")
-    return raw.select("doc", "copies", "tid", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    found = counts.join(terms.select("term", "tid", "idf"), "term")
+    entry = F.struct("tid", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    # One row per text: the list is bounded by the length of one headline.
+    packed = found.groupBy("doc", "copies").agg(F.array_sort(F.collect_list(entry)).alias("_raw"))
+    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    packed = packed.withColumn("_norm", norm)
+    unit = F.transform("_raw", lambda x: F.struct(x["tid"].alias("tid"), (x["w"] / F.col("_norm")).alias("w")))
+    signature = F.transform("_raw", lambda x: F.struct(x["tid"].alias("tid"), x["tf"].alias("tf")))
+    return packed.select("doc", "copies", signature.alias("signature"), unit.alias("v"))
 
 
 def average_linkage(
@@ -112,39 +120,27 @@ def average_linkage(
     # Equal texts have equal vectors, hence distance 0: they stand as one row with a count from here on.
     texts = steps.save(distinct_texts(docs, doc, text), "texts")
     n_docs = texts.agg(F.sum("copies")).scalar()
-    rows = weighted_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
-
-    # Texts that differ only in dropped terms have equal vectors too.
-    per_text = rows.groupBy("doc").agg(
-        F.max("copies").alias("copies"),
-        F.array_sort(F.collect_list(F.struct("tid", "tf", "w"))).alias("v"),
-    )
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    per_text = per_text.select(
-        "doc",
-        "copies",
-        F.transform("v", lambda x: F.struct(x["tid"].alias("tid"), x["tf"].alias("tf"))).alias("signature"),
-        F.transform("v", lambda x: F.struct(x["tid"].alias("tid"), (x["w"] / norm).alias("w"))).alias("v"),
-    )
+    per_text = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
     per_text = steps.save(per_text, "text-vectors")
-    unique = per_text.groupBy("signature").agg(F.min("doc").alias("vec"), F.sum("copies").alias("n"))
-    unique = steps.save(unique, "signatures")
-    same_vector = per_text.join(unique, "signature").select("doc", "vec", "n", "v")
-    entries = same_vector.where(F.col("doc") == F.col("vec")).select("vec", "n", F.explode("v").alias("e"))
-    entries = steps.save(entries.select("vec", "n", "e.tid", "e.w"), "entries")
 
+    # Texts that differ only in dropped terms have equal vectors too: one vector stands for all.
+    alike = per_text.groupBy("signature").agg(
+        F.min("doc").alias("vec"), F.sum("copies").alias("n"), F.any_value("v").alias("v")
+    )
     min_sim = 1.0 - threshold
-    vectors = steps.save(index_vectors(entries.select("vec", "tid", "w"), "vec", min_sim), "vectors")
+    vectors = steps.save(index_vectors(alike, min_sim), "vectors")
     pairs = similar_pairs(vectors, "vec", min_sim - 1e-9, steps, block_rows)
-    sizes = entries.groupBy("vec").agg(F.max("n").alias("n"))
+    sizes = vectors.select("vec", "n")
     edges = pairs.join(sizes.select(F.col("vec").alias("a"), F.col("n").alias("na")), "a")
     edges = edges.join(sizes.select(F.col("vec").alias("b"), F.col("n").alias("nb")), "b")
     edges = edges.select("a", "b", "na", "nb", (F.col("sim") * F.col("na") * F.col("nb")).alias("s"))
     edges = steps.save(_close(edges, threshold), "edges")
-    sums = entries.select(F.col("vec").alias("c"), "tid", (F.col("w") * F.col("n")).alias("s"))
+    entries = vectors.select("vec", "n", F.explode("v").alias("e"))
+    sums = entries.select(F.col("vec").alias("c"), F.col("e.tid").alias("tid"), (F.col("e.w") * F.col("n")).alias("s"))
 
     roots = _merge_rounds(edges, sums, threshold, steps, rest_clusters)
-    label = same_vector.select(F.col("doc").alias("_text"), F.col("vec").alias("_vec"))
+    label = per_text.join(vectors.select("signature", "vec"), "signature")
+    label = label.select(F.col("doc").alias("_text"), F.col("vec").alias("_vec"))
     if roots is not None:
         label = label.join(roots, F.col("_vec") == F.col("old"), "left").select(
             "_text", F.coalesce("new", "_vec").alias("_label")
@@ -175,8 +171,11 @@ def _merge_rounds(
 ) -> DataFrame | None:
     """(old, new) for every vector that ended in the cluster of another one."""
     merges: list[DataFrame] = []
-    while not edges.isEmpty():
-        rest = _rest(edges, sums, rest_clusters)
+    while True:
+        left = edges.count()
+        if left == 0:
+            break
+        rest = _rest(edges, sums, rest_clusters) if left <= 20 * rest_clusters else None
         if rest is not None:
             merges.append(steps.save(_finish(rest, threshold), "rest"))
             break
@@ -192,8 +191,6 @@ def _merge_rounds(
 
 def _rest(edges: DataFrame, sums: DataFrame, limit: int) -> DataFrame | None:
     """(c, n, tid, s) of the clusters still in play, if they are few."""
-    if edges.count() > 20 * limit:
-        return None
     sides = [F.struct(F.col(c).alias("c"), F.col(n).alias("n")) for c, n in (("a", "na"), ("b", "nb"))]
     active = edges.select(F.explode(F.array(*sides)).alias("x")).select("x.*").distinct()
     if active.count() > limit:
@@ -215,22 +212,24 @@ def _finish(rest: DataFrame, threshold: float) -> DataFrame:
         for where, s in zip(np.split(by_term["at"].to_numpy(), cuts), np.split(by_term["s"].to_numpy(), cuts)):
             product[np.ix_(where, where)] += np.outer(s, s)
         root = np.arange(len(ids))
-        alive = np.ones(len(ids), dtype=bool)
+        live = root.copy()
         while True:
             distance = np.round(1.0 - product / np.outer(n, n), 12)
-            distance[~alive] = distance[:, ~alive] = 2.0
             np.fill_diagonal(distance, 2.0)
+            here = np.arange(len(live))
             nearest = distance.argmin(axis=1)
-            a = np.arange(len(ids))
-            mutual = (nearest[nearest] == a) & (a < nearest) & (distance[a, nearest] < threshold)
+            mutual = (nearest[nearest] == here) & (here < nearest) & (distance[here, nearest] < threshold)
             if not mutual.any():
                 break
-            for keep, gone in zip(a[mutual], nearest[mutual]):
-                product[keep] += product[gone]
-                product[:, keep] += product[:, gone]
-                n[keep] += n[gone]
-                alive[gone] = False
-                root[root == gone] = keep
+            keep, gone = here[mutual], nearest[mutual]
+            product[keep] += product[gone]
+            product[:, keep] += product[:, gone]
+            n[keep] += n[gone]
+            moved_to = np.arange(len(ids))
+            moved_to[live[gone]] = live[keep]
+            root = moved_to[root]
+            left = np.setdiff1d(here, gone)
+            product, n, live = product[np.ix_(left, left)], n[left], live[left]
         moved = root != np.arange(len(ids))
         return pd.DataFrame({"old": ids[moved], "new": ids[root[moved]]})
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.session import StepTables
@@ -37,21 +37,23 @@ def rank_terms(vocabulary: DataFrame, steps: StepTables) -> DataFrame:
     return steps.save(ranked, "vocabulary")
 
 
-def index_vectors(weights: DataFrame, doc: str, min_sim: float) -> DataFrame:
-    """(doc, tids, ws, lead) from (doc, tid, w): terms in rank order and how many of them must be indexed."""
+def index_vectors(vectors: DataFrame, min_sim: float) -> DataFrame:
+    """Adds `lead`, how many terms must be indexed, to rows with `v`: array of (tid, w) in rank order, of length one."""
     floor = max(min_sim - _SLACK, 0.0)
-    tail = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc).orderBy(F.desc("tid")))
-    marked = weights.withColumn("_lead", (F.sqrt(tail) >= floor).cast("int"))
-    packed = marked.groupBy(doc).agg(
-        F.array_sort(F.collect_list(F.struct("tid", "w"))).alias("_v"), F.sum("_lead").cast("int").alias("lead")
-    )
-    return packed.select(doc, F.col("_v.tid").alias("tids"), F.col("_v.w").alias("ws"), "lead")
+    start = F.struct(F.lit(0.0).alias("tail"), F.lit(0).alias("lead"))
+
+    def add(acc, entry):
+        tail = acc["tail"] + entry["w"] * entry["w"]
+        return F.struct(tail.alias("tail"), (acc["lead"] + (F.sqrt(tail) >= floor).cast("int")).alias("lead"))
+
+    return vectors.withColumn("lead", F.aggregate(F.reverse("v"), start, add, lambda acc: acc["lead"]))
 
 
 def similar_pairs(
     vectors: DataFrame, doc: str, min_sim: float, steps: StepTables, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """(a, b, sim) with a < b and sim > min_sim, for saved vectors as `index_vectors` gives them."""
+    vectors = vectors.select(doc, F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"), "lead")
     leads = vectors.select(doc, "tids", "ws", F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
     long_lists = leads.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
     long_lists = long_lists.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))

@@ -85,10 +85,10 @@ def test_similar_pairs(spark, seed, min_sim, block):
     vectors = plain_vectors(texts, max_df=1.0)
     df = Counter(t for v in vectors for t in v)
     rank = {t: i for i, t in enumerate(sorted(df, key=lambda t: (df[t], t)))}
-    rows = [(i, rank[t], x) for i, v in enumerate(vectors) for t, x in v.items()]
+    rows = [(i, sorted((rank[t], x) for t, x in v.items())) for i, v in enumerate(vectors)]
     steps = StepTables(spark, "test")
-    weights = spark.createDataFrame(rows, "doc long, tid long, w double")
-    indexed = steps.save(similarity.index_vectors(weights, "doc", min_sim), "vectors")
+    df = spark.createDataFrame(rows, "doc long, v array<struct<tid: long, w: double>>")
+    indexed = steps.save(similarity.index_vectors(df, min_sim), "vectors")
     got = similarity.similar_pairs(indexed, "doc", min_sim, steps, block_rows=block).collect()
     want = {}
     for i, p in enumerate(vectors):
