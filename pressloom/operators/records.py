@@ -28,26 +28,27 @@ def adapt(records: DataFrame, dual_forms: bool = False) -> DataFrame:
     )
 
 
-def preprocess(records: DataFrame) -> DataFrame:
-    """Normalised texts, canonical URL, site id and record key.
-
-    The source is trimmed and lowered for the id and the key only; the normal forms come from the raw texts.
-    """
+def with_record_key(records: DataFrame) -> DataFrame:
+    """Canonical URL, site id and record key.  The source is trimmed and lowered for the id and the key only."""
     source = F.lower(strip(blank_if_null(F.col("source"))))
-    # The canonical URL becomes a column first: the id and the key are both cut from it.
-    keyed = records.withColumns(
-        {
-            "title_norm_min": text.norm_min(F.col("title")),
-            "summary_norm_min": text.norm_min(F.col("summary")),
-            "url": urls.canonicalize_url(F.col("url")),
-            "title": text.normalize_text(F.col("title")),
-            "summary": text.normalize_text(F.col("summary")),
-        }
-    )
+    # Each step reads the one before as a column: the id and the key are both cut from the canonical URL.
+    keyed = records.withColumn("url", urls.canonicalize_url(F.col("url")))
     keyed = keyed.withColumn("url_id", urls.extract_url_id(F.col("url"), source))
     return keyed.withColumn("record_key", urls.build_record_key(source, F.col("url"), F.col("url_id")))
 
 
+def with_normal_texts(records: DataFrame) -> DataFrame:
+    """Normalised title and summary, and the aggressive forms, which are made from the raw texts."""
+    return records.withColumns(
+        {f"{c}_norm_min": text.norm_min(F.col(c)) for c in ("title", "summary")}
+        | {c: text.normalize_text(F.col(c)) for c in ("title", "summary")}
+    )
+
+
+def preprocess(records: DataFrame) -> DataFrame:
+    return with_record_key(with_normal_texts(records))
+
+
 def preprocess_legacy(records: DataFrame) -> DataFrame:
     """The older record form: section pages dropped, clean title, parsed time and the title-and-day key."""
     kept = drop_section_titles(records)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pressloom.functions.text import blank_if_null
 from pressloom.functions.timestamps import parse_instant, utc_iso
 from pressloom.operators.dedup import arrival_order
+from pressloom.session import StepTables
 
 REVIEW_COLUMNS = ("cluster", "cluster_size", "source", "published", "title", "summary", "url")
 ITEM_COLUMNS = ("source", "title", "summary", "url", "published")
 MAX_ITEMS_PER_ROW = 10_000
+SALTS = 32
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -76,20 +78,25 @@ def nested_clusters(df: DataFrame, cluster: str = "cluster", max_items: int = MA
     arrival = [c for c in ("_file_rank", "_file", "_pos") if c in df.columns]
     rank = F.struct(F.col("published").isNull().alias("undated"), "published", *arrival)
     rows = df.select(F.col(cluster).alias("cluster"), rank.alias("rank"), F.struct(*ITEM_COLUMNS).alias("item"))
-    sizes = rows.groupBy(F.col("cluster").alias("_c")).agg(F.count("*").alias("size"))
-    sized = rows.join(sizes, F.col("cluster").eqNullSafe(F.col("_c"))).drop("_c")
-    small = sized.where(F.col("size") <= max_items).withColumn("part", F.lit(0).cast("long"))
-    large = sized.where(F.col("size") > max_items)
-    large = large.repartitionByRange("cluster", "rank").withColumn("_range", F.spark_partition_id())
-    nth = F.row_number().over(Window.partitionBy("cluster", "_range").orderBy("rank"))
-    large = large.withColumn("part", F.shiftleft((F.col("_range") + 1).cast("long"), 32) + F.floor((nth - 1) / max_items))
-
-    def nest(part: DataFrame) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct("rank", "item")))
-        packed = part.groupBy("cluster", "size", "part").agg(ordered.alias("_all"))
-        return packed.select("cluster", "size", "part", F.col("_all.item").alias("items"))
-
-    return nest(small).unionByName(nest(large))
+
+    # The large clusters, with a copy per salt: a cluster that holds much of the data meets its size in many tasks.
+    sizes = df.groupBy(F.col(cluster).alias("_c")).agg(F.count("*").alias("size")).where(F.col("size") > max_items)
+    sizes = StepTables(df.sparkSession, "nested").save(sizes, "large-clusters")
+    salted = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rank"), F.lit(SALTS)).cast("int"))
+    same = F.col("cluster").eqNullSafe(F.col("_c")) & (F.col("salt") == F.col("_salt"))
+
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_all")
+    small = rows.join(salted, same, "left_anti")
+    small = small.groupBy("cluster").agg(F.count("*").alias("size"), ordered).withColumn("part", F.lit(0).cast("long"))
+
+    large = rows.join(salted, same).repartitionByRange("cluster", "rank").withColumn("range", F.spark_partition_id())
+    nth = F.row_number().over(Window.partitionBy("cluster", "range").orderBy("rank"))
+    part = F.shiftleft((F.col("range") + 1).cast("long"), 32) + F.floor((nth - 1) / max_items)
+    large = large.withColumn("part", part).groupBy("cluster", "size", "part").agg(ordered)
+
+    both = small.unionByName(large)
+    return both.select("cluster", "size", "part", F.col("_all.item").alias("items"))
 
 
 def post_summary(df: DataFrame, cluster: str = "cluster_id") -> DataFrame:

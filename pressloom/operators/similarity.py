@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pressloom.session import StepTables
 
-BLOCK_ROWS = 256
+BLOCK_ROWS = 512
 _SLACK = 1e-9
 _PRODUCTS_AT_ONCE = 4_000_000
 _PAIRS = "a long, b long, sim double"

@@ -12,8 +12,12 @@ from pressloom.operators.linkage import average_linkage
 
 
 def daily(records_in: DataFrame, keep_blank_urls: bool = False) -> DataFrame:
-    """Landed records to processed ones, without repeats inside a day: one pass and one shuffle."""
-    return dedup.keep_first_by_record_key(records.preprocess(records_in), keep_blank_urls=keep_blank_urls)
+    """Landed records to processed ones, without repeats inside a day: one pass and one shuffle.
+
+    Repeats go before the texts are normalised, so only raw texts are shuffled and only kept rows are worked on.
+    """
+    kept = dedup.keep_first_by_record_key(records.with_record_key(records_in), keep_blank_urls=keep_blank_urls)
+    return records.with_normal_texts(kept)
 
 
 def clustering_frame(
