@@ -32,8 +32,7 @@ REST_CLUSTERS = 2000
 REST_ENTRIES = 2_000_000
 
 
-def _distance(s: Column, na: Column, nb: Column) -> Column:
-    return F.round(1.0 - s / (na * nb), 12)
+_DISTANCE = "round(1.0D - s / (na * nb), 12)"
 
 
 def distinct_texts(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -154,16 +153,14 @@ def average_linkage(
 
 
 def _close(edges: DataFrame, threshold: float) -> DataFrame:
-    return edges.where(_distance(F.col("s"), F.col("na"), F.col("nb")) < threshold)
+    return edges.where(f"{_DISTANCE} < {threshold!r}D")
 
 
 def _nearest_to_each_other(edges: DataFrame) -> DataFrame:
     """(a, b, n) of the pairs in which both clusters have each other as their nearest."""
-    best = F.struct(_distance(F.col("s"), F.col("na"), F.col("nb")).alias("d"), "a", "b", "na", "nb")
-    sides = edges.select(F.explode(F.array("a", "b")).alias("c"), best.alias("e"))
-    nearest = sides.groupBy("c").agg(F.min("e").alias("e"))
-    pairs = nearest.groupBy("e.a", "e.b").agg(F.count("*").alias("votes"), F.max(F.expr("e.na + e.nb")).alias("n"))
-    return pairs.where("votes = 2").select("a", "b", "n")
+    sides = edges.selectExpr("explode(array(a, b)) AS c", f"struct({_DISTANCE} AS d, a, b, na + nb AS n) AS e")
+    nearest = sides.groupBy("c").agg(F.min("e").alias("e")).select("e.a", "e.b", "e.n")
+    return nearest.groupBy("a", "b", "n").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b", "n")
 
 
 def _merge_rounds(
@@ -238,51 +235,36 @@ def _finish(rest: DataFrame, threshold: float) -> DataFrame:
 
 def _add_up(sums: DataFrame, edges: DataFrame, moved: DataFrame) -> DataFrame:
     """Summed vectors of the clusters that still have a close partner, under their new ids."""
-    active = edges.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    named = sums.join(active, "c", "left_semi").join(moved, F.col("c") == F.col("old"), "left")
-    return named.groupBy(F.coalesce("new", "c").alias("c"), "tid").agg(F.sum("s").alias("s"))
+    active = edges.selectExpr("explode(array(a, b)) AS c").distinct()
+    named = sums.join(active, "c", "left_semi").join(moved.selectExpr("old AS c", "new"), "c", "left")
+    return named.selectExpr("coalesce(new, c) AS c", "tid", "s").groupBy("c", "tid").agg(F.sum("s").alias("s"))
 
 
 def _renamed(edges: DataFrame, sums: DataFrame, moved: DataFrame) -> DataFrame:
     """Edges between the new clusters with their new sums."""
-    left = moved.select(F.col("old").alias("a"), F.col("new").alias("a2"), F.col("n").alias("na2"))
-    right = moved.select(F.col("old").alias("b"), F.col("new").alias("b2"), F.col("n").alias("nb2"))
-    named = edges.join(left, "a", "left").join(right, "b", "left")
-    parts = (1 + F.col("a2").isNotNull().cast("int")) * (1 + F.col("b2").isNotNull().cast("int"))
-    named = named.select(
-        F.coalesce("a2", "a").alias("a"),
-        F.coalesce("b2", "b").alias("b"),
-        F.coalesce("na2", "na").alias("na"),
-        F.coalesce("nb2", "nb").alias("nb"),
-        "s",
-        parts.alias("parts"),
-    ).where("a <> b")
-    swap = F.col("a") > F.col("b")
-    named = named.select(
-        F.least("a", "b").alias("a"),
-        F.greatest("a", "b").alias("b"),
-        F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
-        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"),
-        "s",
-        "parts",
+    named = edges.join(moved.selectExpr("old AS a", "new AS a2", "n AS na2"), "a", "left")
+    named = named.join(moved.selectExpr("old AS b", "new AS b2", "n AS nb2"), "b", "left")
+    ends = "struct(coalesce(a2, a) AS c, coalesce(na2, na) AS n)", "struct(coalesce(b2, b) AS c, coalesce(nb2, nb) AS n)"
+    named = named.selectExpr(
+        f"array_sort(array({ends[0]}, {ends[1]})) AS ends", "s", "(1 + int(a2 IS NOT NULL)) * (1 + int(b2 IS NOT NULL)) AS parts"
     )
-    grouped = named.groupBy("a", "b", "na", "nb").agg(
-        F.sum("s").alias("s"), F.count("*").alias("known"), F.max("parts").alias("parts")
+    named = named.selectExpr("ends[0].c AS a", "ends[1].c AS b", "ends[0].n AS na", "ends[1].n AS nb", "s", "parts")
+    grouped = (
+        named.where("a <> b")
+        .groupBy("a", "b", "na", "nb")
+        .agg(F.sum("s").alias("s"), F.count("*").alias("known"), F.max("parts").alias("parts"))
     )
     # When all part pairs were edges their sums add up; otherwise the sum comes from the vectors.
     whole = grouped.where("known = parts").select("a", "b", "na", "nb", "s")
-    part = grouped.where("known < parts").select("a", "b", "na", "nb")
-    return whole.unionByName(_products(part, sums))
+    return whole.unionByName(_products(grouped.where("known < parts").select("a", "b", "na", "nb"), sums))
 
 
 def _products(pairs: DataFrame, sums: DataFrame) -> DataFrame:
     """Products of summed vectors: the terms of the smaller cluster are looked up in the larger one."""
-    sides = pairs.withColumn("_small", F.when(F.col("na") <= F.col("nb"), F.col("a")).otherwise(F.col("b")))
-    sides = sides.withColumn("_large", F.col("a") + F.col("b") - F.col("_small"))
-    small = sums.select(F.col("c").alias("_small"), "tid", F.col("s").alias("_s1"))
-    large = sums.select(F.col("c").alias("_large"), "tid", F.col("s").alias("_s2"))
-    met = sides.join(small, "_small").join(large, ["_large", "tid"])
-    return met.groupBy("a", "b", "na", "nb").agg(F.sum(F.col("_s1") * F.col("_s2")).alias("s"))
+    sides = pairs.selectExpr("*", "if(na <= nb, a, b) AS small", "if(na <= nb, b, a) AS large")
+    met = sides.join(sums.selectExpr("c AS small", "tid", "s AS s1"), "small")
+    met = met.join(sums.selectExpr("c AS large", "tid", "s AS s2"), ["large", "tid"])
+    return met.groupBy("a", "b", "na", "nb").agg(F.expr("sum(s1 * s2)").alias("s"))
 
 
 def _roots(merges: list[DataFrame], steps: StepTables) -> DataFrame:
