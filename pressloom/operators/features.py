@@ -106,13 +106,13 @@ def cluster_top_terms(
 
     Frequencies are those inside the cluster, from title and summary; ties go to the smaller term.
     """
-    steps = StepTables(articles.sparkSession, "top-terms")
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
     cut = articles.select(cluster, doc, words(text, only=word).alias("_tokens"))
     terms = cut.select(cluster, doc, F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
-    counts = steps.save(terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf")), "term-counts")
+    counts = terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf"))
     sizes = articles.groupBy(cluster).agg(F.count("*").alias("n"))
-    found = counts.groupBy(cluster, "term").agg(F.count("*").alias("df"))
+    # Referring to tf keeps the counts as the weights read them, so both share one shuffle of them.
+    found = counts.groupBy(cluster, "term").agg(F.sum(F.when(F.col("tf") > 0, 1)).alias("df"))
     kept = found.join(sizes, cluster).where(F.col("df") <= F.lit(max_df) * F.col("n"))
     kept = kept.withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
     raw = counts.join(kept, [cluster, "term"]).select(cluster, doc, "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
