@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, licenses, quality_rules
+from pressloom.llm import decontaminate, length_histogram, licenses, quality_classifier, quality_rules, simhash
 from pressloom.llm.common import table
 
 
@@ -14,18 +14,33 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram.report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_simhash": op3_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_length_histogram": op7_length_histogram,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 SQL: dict[str, str] = {"op2_license_scan": licenses.sql(), "op8_decontaminate": decontaminate.SQL}

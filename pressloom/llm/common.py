@@ -38,3 +38,10 @@ def gram_hash(array: str | Column, at: Column, size: int) -> Column:
     """XXH64 over `size` neighbouring elements; elements beyond the end do not count."""
     col = F.col(array) if isinstance(array, str) else array
     return F.xxhash64(*[F.get(col, at + j) for j in range(size)])
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts can be long, so a Python worker gets at most `rows` of them at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
