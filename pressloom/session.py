@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,9 @@ SESSION_CONF = {
 }
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "pressloom") -> SparkSession:
+def local_session(
+    cores: str | int = "*", shuffle_partitions: int = 8, app: str = "pressloom", checkpoint_dir: str | None = None
+) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = SESSION_CONF | {
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
@@ -28,6 +30,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -36,27 +40,24 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder.  Only a local session without one gets a folder of its own."""
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if found:
-        return found
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="pressloom-"))
-    return context.getCheckpointDir()
+    """The folder in spark.checkpoint.dir; where that is unset, one below the warehouse, which executors share as well."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
 
 
 class StepTables:
     """Parquet tables of one iterative job in the shared folder.
 
-    Writing a step and reading it back cuts the lineage, survives lost executors and gives the planner true sizes.
+    Writing a step and reading it back cuts the lineage, survives lost executors and gives the planner true sizes.  Tables
+    that no later step reads are dropped on the way; the rest goes with `close`, at the latest when the session's program
+    ends.
     """
 
     def __init__(self, spark: SparkSession, job: str):
         self._spark = spark
         self._root = f"{shared_folder(spark).rstrip('/')}/{job}-{uuid.uuid4().hex}"
         self._count = 0
+        atexit.register(self.close)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._count += 1
@@ -68,9 +69,18 @@ class StepTables:
 
     def drop(self, *tables: DataFrame | None) -> None:
         """Remove step tables that no later step reads."""
-        jvm, conf = self._spark._jvm, self._spark._jsparkSession.sessionState().newHadoopConf()
         for table in tables:
             path = getattr(table, "_pressloom_path", None)
             if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+                self._delete(path)
+
+    def close(self) -> None:
+        """Remove what is left, once every result that reads it has been written."""
+        atexit.unregister(self.close)
+        if self._spark.sparkContext._jsc is not None:
+            self._delete(self._root)
+
+    def _delete(self, path: str) -> None:
+        jvm, conf = self._spark._jvm, self._spark._jsparkSession.sessionState().newHadoopConf()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

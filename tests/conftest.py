@@ -7,10 +7,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pressloom.session import local_session
 
-    session = local_session(cores=4, shuffle_partitions=4, app="pressloom-tests")
+    session = local_session(cores=4, shuffle_partitions=4, app="pressloom-tests", checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
