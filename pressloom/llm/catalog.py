@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, length_histogram, licenses, quality_classifier, quality_rules, simhash
+from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, quality_classifier, quality_rules, simhash
 from pressloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +41,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
+    "op4_chunked_bpe": op4_chunked_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_length_histogram": op7_length_histogram,
     "op8_decontaminate": op8_decontaminate,

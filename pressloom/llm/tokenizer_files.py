@@ -37,3 +37,10 @@ def rank_encoder(name: str = BPE_RANKS):
 
 def encode(text: str, name: str = BPE_RANKS) -> list[int]:
     return rank_encoder(name).encode(text, allowed_special="all")
+
+
+@lru_cache(maxsize=4)
+def token_bytes(name: str = BPE_RANKS) -> list[bytes]:
+    """The bytes of each token, by number."""
+    known = {rank: token for token, rank in ranks(name).items()} | {number: token.encode() for token, number in SPECIAL.items()}
+    return [known[i] for i in range(len(known))]
