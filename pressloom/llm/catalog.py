@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, quality_classifier, quality_rules, simhash
+from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, personal_data, quality_classifier, quality_rules, simhash
 from pressloom.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.report(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
     "op4_chunked_bpe": op4_chunked_bpe,
+    "op5_personal_data": op5_personal_data,
     "op6_quality_rules": op6_quality_rules,
     "op7_length_histogram": op7_length_histogram,
     "op8_decontaminate": op8_decontaminate,
