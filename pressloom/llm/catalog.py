@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, personal_data, quality_classifier, quality_rules, simhash
+from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, main_text, personal_data, quality_classifier, quality_rules, simhash, warc
 from pressloom.llm.common import table
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.report(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_license_scan": op2_license_scan,
     "op3_simhash": op3_simhash,
     "op4_chunked_bpe": op4_chunked_bpe,
@@ -51,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_length_histogram": op7_length_histogram,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_main_text": op10_main_text,
 }
 
 SQL: dict[str, str] = {"op2_license_scan": licenses.sql(), "op8_decontaminate": decontaminate.SQL}
