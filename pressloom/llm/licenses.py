@@ -33,7 +33,7 @@ class Template(NamedTuple):
 
 
 SHORT, LONG = 2, 4
-SHIFT, LEAST = 3, 0.6
+SHIFT, LEAST = 3, 0.5
 
 # The phrases and labels of the query's contract.
 PHRASES = (Template("mit", "mit license"), Template("apache", "apache license"), Template("gpl", "general public license"))
@@ -71,12 +71,13 @@ def template_grams(phrases=PHRASES, templates=TEMPLATES) -> list[tuple]:
     return out
 
 
-GRAM_SCHEMA = "template int, label string, base boolean, shift int, least double, grams int, size int, at int, gram string"
-
-
 def gram_table(spark: SparkSession, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
-    rows = spark.createDataFrame(template_grams(phrases, templates), GRAM_SCHEMA)
-    return rows.withColumn("h", common.gram_hash(F.split("gram", " "), F.lit(0), LONG))
+    rows = ", ".join(
+        f"({number}, '{label}', {base}, {shift}, {least}D, {grams}, {size}, {at}, '{gram}')"
+        for number, label, base, shift, least, grams, size, at, gram in template_grams(phrases, templates)
+    )
+    table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(template, label, base, shift, least, grams, size, at, gram)")
+    return table.withColumn("h", common.gram_hash(F.split("gram", " "), F.lit(0), LONG))
 
 
 def votes(docs: DataFrame, grams: DataFrame) -> DataFrame:
