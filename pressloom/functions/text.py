@@ -136,7 +136,3 @@ def clean_title(c: Column) -> Column:
 
 def normalize_summary(c: Column) -> Column:
     return collapse_spaces(blank_if_null(c))
-
-
-def char_length(c: Column) -> Column:
-    return F.coalesce(F.char_length(c), F.lit(0))

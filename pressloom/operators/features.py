@@ -51,9 +51,25 @@ def _with_space(a: Column, b: Column) -> Column:
     return F.concat(a, F.lit(" "), b)
 
 
-def term_counts(docs: DataFrame, doc: str, tokens: Column, ngram_range: tuple[int, int] = (1, 2)) -> DataFrame:
-    """(doc, term, tf).  The tokens are cut once, before the n-grams refer to them several times."""
-    cut = docs.select(doc, tokens.alias("_tokens"))
+def without_words(cut: DataFrame, doc: str, stopwords: DataFrame) -> DataFrame:
+    """Rows (doc, _tokens) without the words of a table (word), which may have any length: an anti join per token."""
+    each = cut.select(doc, F.posexplode("_tokens").alias("_at", "word"))
+    kept = each.join(stopwords.select("word").distinct(), "word", "left_anti")
+    order = F.array_sort(F.collect_list(F.struct("_at", "word")))
+    return kept.groupBy(doc).agg(order.alias("_all")).select(doc, F.col("_all.word").alias("_tokens"))
+
+
+def term_counts(
+    docs: DataFrame, doc: str, text: Column, ngram_range: tuple[int, int] = (1, 2), stopwords: Sequence[str] | DataFrame = ()
+) -> DataFrame:
+    """(doc, term, tf).  The tokens are cut once, before the n-grams refer to them several times.
+
+    `stopwords` is a short list, or a table with the column `word` of any size.
+    """
+    if isinstance(stopwords, DataFrame):
+        cut = without_words(docs.select(doc, words(text).alias("_tokens")), doc, stopwords)
+    else:
+        cut = docs.select(doc, words(text, stopwords).alias("_tokens"))
     terms = cut.select(doc, F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
     return terms.groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
@@ -76,7 +92,7 @@ def tfidf(
     ngram_range: tuple[int, int] = (1, 2),
     min_df: int = 2,
     max_df: float = 0.8,
-    stopwords: Sequence[str] = (),
+    stopwords: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
     """(doc, term, w): raw count times smoothed inverse document frequency, each document scaled to length one.
 
@@ -84,7 +100,7 @@ def tfidf(
     """
     steps = StepTables(docs.sparkSession, "tfidf")
     docs = steps.save(docs.select(doc, text), "texts")
-    counts = steps.save(term_counts(docs, doc, words(F.col(text), stopwords), ngram_range), "term-counts")
+    counts = steps.save(term_counts(docs, doc, F.col(text), ngram_range, stopwords), "term-counts")
     n_docs = docs.agg(F.count("*")).scalar()
     raw = counts.join(vocabulary(counts, n_docs, min_df, max_df), "term")
     raw = raw.select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))

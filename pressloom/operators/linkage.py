@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.operators.features import term_counts, vocabulary, words
+from pressloom.operators.features import term_counts, vocabulary
 from pressloom.operators.similarity import BLOCK_ROWS, index_vectors, rank_terms, similar_pairs
 from pressloom.session import StepTables
 
@@ -49,7 +49,7 @@ def cosine_pairs(
     ngram_range: tuple[int, int] = (1, 2),
     min_df: int = 2,
     max_df: float = 0.75,
-    stopwords: Sequence[str] = (),
+    stopwords: Sequence[str] | DataFrame = (),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(a, b, sim, copies_a, copies_b): headlines at a cosine distance below `threshold`.
@@ -78,13 +78,13 @@ def text_vectors(
     ngram_range: tuple[int, int],
     min_df: int,
     max_df: float,
-    stopwords: Sequence[str],
+    stopwords: Sequence[str] | DataFrame,
 ) -> DataFrame:
     """(doc, copies, signature, v) of distinct texts (doc, text, copies): TF-IDF vectors of length one.
 
     `v` holds (tid, w) in rank order and `signature` the terms and counts it comes from.
     """
-    counts = steps.save(term_counts(texts, "doc", words(F.col("text"), stopwords), ngram_range), "term-counts")
+    counts = steps.save(term_counts(texts, "doc", F.col("text"), ngram_range, stopwords), "term-counts")
     counts = counts.join(texts.select("doc", "copies"), "doc")
     terms = rank_terms(vocabulary(counts, n_docs, min_df, max_df, copies="copies"), steps)
     found = counts.join(terms.select("term", "tid", "idf"), "term")
@@ -106,7 +106,7 @@ def average_linkage(
     ngram_range: tuple[int, int] = (1, 2),
     min_df: int = 2,
     max_df: float = 0.8,
-    stopwords: Sequence[str] = (),
+    stopwords: Sequence[str] | DataFrame = (),
     block_rows: int = BLOCK_ROWS,
     rest_clusters: int = REST_CLUSTERS,
 ) -> DataFrame:

@@ -123,15 +123,19 @@ def drop_section_titles(df: DataFrame, sections: Iterable[str] = SECTION_TITLES)
 def drop_boilerplate(df: DataFrame, min_repeats: int = MIN_REPEATS, min_share: float = MIN_SHARE) -> DataFrame:
     """Drop the rows of a source whose summary repeats at least `min_repeats` times and makes up `min_share` of it.
 
-    Blank summaries are kept.  Counting goes through partial sums; only the few guilty summaries are joined back.
+    Blank summaries are kept.  Summaries are counted by a 96-bit print of their text and its length, through partial sums; only the few guilty
+    prints are joined back, so no text is a key.
     """
-    per_summary = df.groupBy("source", "summary").agg(F.count("*").alias("_n"))
+    print_of = F.struct(F.xxhash64("summary").alias("h"), F.crc32("summary").alias("c"), F.length("summary").alias("n"))
+    per_summary = df.groupBy("source", print_of.alias("_print")).agg(
+        F.count("*").alias("_n"), F.max(blank_if_null(F.col("summary")) != "").alias("_text")
+    )
     per_source = per_summary.groupBy(F.col("source").alias("_source")).agg(F.sum("_n").alias("_total"))
-    guilty = per_summary.where((F.col("_n") >= min_repeats) & (blank_if_null(F.col("summary")) != ""))
+    guilty = per_summary.where((F.col("_n") >= min_repeats) & F.col("_text"))
     guilty = guilty.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
     guilty = guilty.where(F.col("_n") >= F.lit(min_share) * F.col("_total"))
-    guilty = guilty.select(F.col("source").alias("_source"), F.col("summary").alias("_summary"))
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("summary") == F.col("_summary"))
+    guilty = guilty.select(F.col("source").alias("_source"), "_print")
+    same = F.col("source").eqNullSafe(F.col("_source")) & (print_of == F.col("_print"))
     return df.join(guilty, same, "left_anti")
 
 

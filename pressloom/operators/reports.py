@@ -14,8 +14,6 @@ from pressloom.session import StepTables
 
 REVIEW_COLUMNS = ("cluster", "cluster_size", "source", "published", "title", "summary", "url")
 ITEM_COLUMNS = ("source", "title", "summary", "url", "published")
-MAX_ITEMS_PER_ROW = 10_000
-SALTS = 32
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -68,35 +66,40 @@ def review_order(df: DataFrame) -> DataFrame:
     return sized.select(*first, *rest)
 
 
-def nested_clusters(df: DataFrame, cluster: str = "cluster", max_items: int = MAX_ITEMS_PER_ROW) -> DataFrame:
-    """(cluster, size, part, items): the items of each cluster ordered by `published` as text, absent last.
+def cluster_positions(df: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """(cluster, size, pos, item columns): each article's place in its cluster by `published` as text, absent last.
 
-    A cluster of up to `max_items` articles is one row, part 0.  A larger one becomes several rows of at most that
-    many, and its parts in ascending order are the whole list: the articles are range-partitioned by their order and
-    numbered inside a range, so no task gets a large cluster as a whole.
+    The articles are range-partitioned by cluster and order and written down in that order with a running number; a place
+    is that number less the first one of the cluster in the range, plus what the earlier ranges hold.  So no task gets a
+    large cluster as a whole, and the places do not depend on the partitions.
     """
     arrival = [c for c in ("_file_rank", "_file", "_pos") if c in df.columns]
-    rank = F.struct(F.col("published").isNull().alias("undated"), "published", *arrival)
-    rows = df.select(F.col(cluster).alias("cluster"), rank.alias("rank"), F.struct(*ITEM_COLUMNS).alias("item"))
-
-    # The large clusters, with a copy per salt: a cluster that holds much of the data meets its size in many tasks.
-    sizes = df.groupBy(F.col(cluster).alias("_c")).agg(F.count("*").alias("size")).where(F.col("size") > max_items)
-    sizes = StepTables(df.sparkSession, "nested").save(sizes, "large-clusters")
-    salted = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("rank"), F.lit(SALTS)).cast("int"))
-    same = F.col("cluster").eqNullSafe(F.col("_c")) & (F.col("salt") == F.col("_salt"))
-
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_all")
-    small = rows.join(salted, same, "left_anti")
-    small = small.groupBy("cluster").agg(F.count("*").alias("size"), ordered).withColumn("part", F.lit(0).cast("long"))
-
-    large = rows.join(salted, same).repartitionByRange("cluster", "rank").withColumn("range", F.spark_partition_id())
-    nth = F.row_number().over(Window.partitionBy("cluster", "range").orderBy("rank"))
-    part = F.shiftleft((F.col("range") + 1).cast("long"), 32) + F.floor((nth - 1) / max_items)
-    large = large.withColumn("part", part).groupBy("cluster", "size", "part").agg(ordered)
-
-    both = small.unionByName(large)
-    return both.select("cluster", "size", "part", F.col("_all.item").alias("items"))
+    order = [F.col("cluster"), F.col("published").isNull(), F.col("published"), *[F.col(c) for c in arrival]]
+    rows = df.withColumn("cluster", F.col(cluster)).select("cluster", *ITEM_COLUMNS, *arrival)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = StepTables(df.sparkSession, "items").save(ranged.withColumn("_range", F.shiftright("_at", 33)), "ranged")
+    heads = ranged.groupBy("cluster", "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("cluster").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+            "size": F.sum("_n").over(Window.partitionBy("cluster")),
+        }
+    ).withColumnRenamed("cluster", "_cluster")
+    same = F.col("cluster").eqNullSafe(F.col("_cluster")) & (ranged["_range"] == heads["_range"])
+    pos = (F.col("_at") - F.col("_first") + F.col("_before")).alias("pos")
+    return ranged.join(heads, same).select("cluster", "size", pos, *ITEM_COLUMNS)
+
+
+def nested_clusters(df: DataFrame, cluster: str = "cluster", max_items: int = 10_000) -> DataFrame:
+    """(cluster, size, part, items): lists of at most `max_items` articles of a cluster, in order of part.
+
+    Part k holds the places from k * max_items on, for clusters of every size, so each row has a bounded length.
+    """
+    placed = cluster_positions(df, cluster).withColumn("part", F.floor(F.col("pos") / F.lit(max_items)))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", F.struct(*ITEM_COLUMNS).alias("item"))))
+    grouped = placed.groupBy("cluster", "size", "part").agg(ordered.alias("_all"))
+    return grouped.select("cluster", "size", "part", F.col("_all.item").alias("items"))
 
 
 def post_summary(df: DataFrame, cluster: str = "cluster_id") -> DataFrame:

@@ -306,7 +306,14 @@ def cluster_summary(spark, sf):
 
 @query
 def cluster_items(spark, sf):
-    nested = reports.nested_clusters(views.clustered(spark, sf))
+    placed = reports.cluster_positions(views.clustered(spark, sf))
+    return placed.select("cluster", "size", "pos", "source", "title", "url", "published")
+
+
+@query
+def cluster_items_nested(spark, sf):
+    """Lists of four, so that most clusters take several rows."""
+    nested = reports.nested_clusters(views.clustered(spark, sf), max_items=4)
     rows = nested.select("cluster", "size", "part", F.posexplode("items").alias("pos", "item"))
     return rows.select("cluster", "size", "part", "pos", "item.source", "item.title", "item.url", "item.published")
 
@@ -376,7 +383,7 @@ def time_ordered(spark, sf):
 @query
 def oldest_articles(spark, sf):
     a = records.with_instant(views.articles(spark, sf))
-    return pipelines.oldest(a, 2000).select("doc_id", timestamps.utc_iso(F.col("_dt")).alias("utc"))
+    return pipelines.oldest(a, 137).select("doc_id", timestamps.utc_iso(F.col("_dt")).alias("utc"))
 
 
 @query

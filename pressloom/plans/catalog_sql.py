@@ -13,7 +13,7 @@ base AS (
 ),
 articles AS (
   SELECT doc_id, regexp_extract(text, '^[^.\n]*', 0) AS title, text AS summary, source,
-    CASE WHEN doc_id % 13 = 5 THEN NULL
+    CASE WHEN doc_id % 5 = 4 THEN NULL
          WHEN doc_id % 3 = 0 THEN 'HTTP://WWW.C14.co.il/article/' || slot || '/?utm=' || doc_id
          WHEN doc_id % 3 = 1 THEN 'https://www.mako.co.il/news/Article-' || slot || 'x.htm?p=1#f'
          ELSE 'http://Ex.com/p/' || slot || '//?q=1' END AS url,
@@ -332,9 +332,15 @@ FROM articles GROUP BY cluster""",
     )
     sql["cluster_items"] = _sql(
         _ARTICLES,
-        """SELECT cluster, count(*) OVER (PARTITION BY cluster) AS size, CAST(0 AS BIGINT) AS part,
-  CAST(row_number() OVER (PARTITION BY cluster ORDER BY published NULLS LAST, doc_id) - 1 AS INTEGER) AS pos,
+        """SELECT cluster, count(*) OVER (PARTITION BY cluster) AS size,
+  row_number() OVER (PARTITION BY cluster ORDER BY published NULLS LAST, doc_id) - 1 AS pos,
   source, title, url, published FROM articles""",
+    )
+    sql["cluster_items_nested"] = _sql(
+        _ARTICLES,
+        """SELECT cluster, size, pos // 4 AS part, CAST(pos % 4 AS INTEGER) AS pos, source, title, url, published FROM (
+  SELECT *, count(*) OVER (PARTITION BY cluster) AS size,
+    row_number() OVER (PARTITION BY cluster ORDER BY published NULLS LAST, doc_id) - 1 AS pos FROM articles)""",
     )
     sql["cluster_representatives"] = _sql(
         _ARTICLES,
@@ -405,7 +411,7 @@ means AS (SELECT cluster, term, round(sum(w) / max(n), 9) AS weight FROM scaled
     sql["time_ordered"] = _sql(_ARTICLES, f"SELECT doc_id, {_UTC} AS utc FROM articles")
     sql["oldest_articles"] = _sql(
         _ARTICLES,
-        f"SELECT doc_id, utc FROM (SELECT doc_id, {_UTC} AS utc, dt_pub FROM articles) ORDER BY dt_pub NULLS FIRST, doc_id LIMIT 2000",
+        f"SELECT doc_id, utc FROM (SELECT doc_id, {_UTC} AS utc, dt_pub FROM articles) ORDER BY dt_pub NULLS FIRST, doc_id LIMIT 137",
     )
     sql["review_articles"] = _sql(
         f"{_ARTICLES}, {sizes}",

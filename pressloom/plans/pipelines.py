@@ -49,7 +49,7 @@ def events(
     ngram_range: tuple[int, int] = (1, 2),
     min_df: int = 2,
     max_df: float = 0.75,
-    stopwords: Sequence[str] = (),
+    stopwords: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
     """Articles with the `cluster` they belong to."""
     return average_linkage(

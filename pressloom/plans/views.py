@@ -13,16 +13,7 @@ EPOCH = "2025-08-10 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute an input that arrives in fewer partitions than there are cores.
-
-    Only a small input does; one that fills the cluster is scanned as it lies, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +22,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     slot = (d % 60).cast("string")
     url = (
-        F.when(d % 13 == 5, None)
+        F.when(d % 5 == 4, None)
         .when(d % 3 == 0, F.concat(F.lit("HTTP://WWW.C14.co.il/article/"), slot, F.lit("/?utm="), d.cast("string")))
         .when(d % 3 == 1, F.concat(F.lit("https://www.mako.co.il/news/Article-"), slot, F.lit("x.htm?p=1#f")))
         .otherwise(F.concat(F.lit("http://Ex.com/p/"), slot, F.lit("//?q=1")))

@@ -23,13 +23,8 @@ ARRIVAL = T.StructType(
 PROCESSED_ARTICLE = T.StructType(
     RAW_ARTICLE.fields
     + _strings("title_norm_min", "summary_norm_min", "url_id", "record_key").fields
+    + ARRIVAL.fields
     + [T.StructField("dt", T.DateType())]
 )
 
-CLUSTER_ITEM = _strings("source", "title", "summary", "url", "published")
-
 RSS_ITEM = _strings("title", "link", "pubDate", "shortDescription", "description")
-
-PAGE = T.StructType(
-    [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]
-)

@@ -59,6 +59,11 @@ class StepTables:
         self._count = 0
         atexit.register(self.close)
 
+    def folder(self) -> str:
+        """A folder of the job for files that are written and read by other means than `save`."""
+        self._count += 1
+        return f"{self._root}/{self._count:04d}"
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._count += 1
         path = f"{self._root}/{self._count:04d}-{name}"

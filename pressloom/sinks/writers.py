@@ -15,10 +15,10 @@ def write_days(df: DataFrame, path: str, keys: tuple[str, ...] = ("dt",)) -> Non
     """JSON lines, one folder per day (and source, if asked); days that are not in `df` keep their files.
 
     Rows are range-partitioned by day and arrival, so a day is written by few tasks, a heavy day by several, in order.
+    The arrival columns stay, so that "first" and "latest" mean the same after reading back.
     """
     order = [*keys, *[c for c in _ARRIVAL if c in df.columns]]
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = ordered.drop(*_ARRIVAL)
     writer = ordered.write.partitionBy(*keys).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.json(path)
 

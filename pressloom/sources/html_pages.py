@@ -14,9 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: how many headings of a page are kept.
-MAX_HEADLINES = 14
-
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _UNREAD = frozenset(("script", "style", "template"))
 
@@ -120,11 +117,13 @@ def extract_headlines(
     pages: DataFrame,
     base_url: Column | None = None,
     source: str = "c14",
-    max_items: int | None = MAX_HEADLINES,
+    max_items: int | None = None,
+    scraped_at: Column | None = None,
 ) -> DataFrame:
     """One row per h1/h2 of each page, in document order: heading, the next two paragraphs and the link.
 
-    The second paragraph is kept as the `published` label.  `max_items=None` keeps every heading.
+    The second paragraph is kept as the `published` label.  `max_items` keeps the first headings of each page only;
+    `scraped_at` is an expression over `page_id` and `url` for the moment of the fetch.
     """
     base = base_url if base_url is not None else F.col("url")
 
@@ -141,4 +140,5 @@ def extract_headlines(
     out = pages.select("page_id", base.alias("base"), "html").mapInPandas(run, schema)
     if max_items is not None:
         out = out.where(F.col("pos") < max_items)
-    return out.withColumns({"published_iso": F.lit(""), "source": F.lit(source)})
+    out = out.withColumns({"published_iso": F.lit(""), "source": F.lit(source)})
+    return out if scraped_at is None else out.withColumn("scraped_at", scraped_at)

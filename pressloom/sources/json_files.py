@@ -40,8 +40,8 @@ def _records(df: DataFrame, payload: Column, fields: Sequence[str]) -> DataFrame
 
 
 def _parsed(shape: str, opens_with: str) -> Column:
-    whole = F.col("value").rlike(rf"\A\s*\{opens_with}") & F.try_parse_json("value").isNotNull()
-    return F.when(whole, F.from_json("value", shape))
+    """The text as `shape`, NULL where it is not JSON or opens otherwise.  There is no limit on its length."""
+    return F.when(F.col("value").rlike(rf"\A\s*\{opens_with}"), F.from_json("value", shape))
 
 
 def explode_arrays(files: DataFrame, fields: Sequence[str] = ARTICLE_FIELDS) -> DataFrame:
@@ -91,13 +91,13 @@ def read_articles(spark: SparkSession, folder: str, fields: Sequence[str] = PROC
     return whole.unionByName(read_json_lines(spark, folder, fields))
 
 
-def read_json_lines(spark: SparkSession, folder: str, fields: Sequence[str]) -> DataFrame:
+def read_json_lines(spark: SparkSession, folder: str, fields: Sequence[str], pattern: str = "*.jsonl") -> DataFrame:
     """One object per line; blank lines and lines that are not JSON are left out.  Large files stay splittable."""
-    lines = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true").text(folder)
+    lines = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(folder)
     # Order inside a file: start of the split in MiB, then the row number inside the task.
     split = F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), 20), 33)
     at = split + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rec = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", _RECORD))
+    rec = F.when(F.col("value").rlike(r"\A\s*\{"), F.from_json("value", _RECORD))
     one = lines.select("value", F.col("_metadata.file_name").alias("_file"), at.alias("_line"))
     one = one.where(F.trim("value") != "").select("_file", "_line", F.array(rec).alias("_one"))
     rows = _records(one.where(F.col("_one")[0].isNotNull()), F.col("_one"), fields)

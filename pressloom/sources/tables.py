@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import strip
-
-MAX_STOPWORDS = 50_000
+from pressloom.schemas import PROCESSED_ARTICLE
 
 
 def read_clustered_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -23,14 +22,7 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return words.where((F.col("word") != "") & ~F.col("word").startswith("#")).distinct()
 
 
-def stopword_list(words: DataFrame) -> list[str]:
-    """The words as a literal list for expressions.  A list too long for that is refused rather than cut."""
-    rows = words.limit(MAX_STOPWORDS + 1).collect()
-    if len(rows) > MAX_STOPWORDS:
-        raise ValueError(f"more than {MAX_STOPWORDS} stop words")
-    return sorted(r.word for r in rows)
-
-
 def read_processed_day(spark: SparkSession, path: str, as_of: str) -> DataFrame:
     """Processed articles of one day; only that day's partition is read."""
-    return spark.read.json(path).where(F.col("dt") == F.lit(as_of).cast("date"))
+    rows = spark.read.schema(PROCESSED_ARTICLE).json(path)
+    return rows.where(F.col("dt") == F.lit(as_of).cast("date"))

@@ -99,7 +99,7 @@ def test_article_folder(spark, tmp_path):
 def test_stopwords_and_csv(spark, tmp_path):
     dump(tmp_path / "stop.txt", "word\n\n# note\n של \nword\n")
     words = tables.read_stopwords(spark, str(tmp_path / "stop.txt"))
-    assert tables.stopword_list(words) == ["word", "של"]
+    assert sorted(r.word for r in words.collect()) == ["word", "של"]
     dump(tmp_path / "c.csv", '\ufeffcluster,title\n1,"a ""b""\nnext"\n')
     df = tables.read_clustered_csv(spark, str(tmp_path / "c.csv"))
     assert df.columns == ["cluster", "title"]
@@ -139,19 +139,19 @@ def test_page_headlines(spark):
     # The first paragraph is not closed before the second one opens, so it holds the second one and what follows it
     # until its own end tag.
     assert got == [
-        (1, 0, "Firstbold", got[0][3], "https://site/wrap", "two"),
+        (1, 0, "Firstbold", "oneitwoSecondpartthree & morexfourno targetofive", "https://site/wrap", "two"),
         (1, 1, "Secondpart", "three & morex", "", "four"),
         (1, 2, "", "five", "", ""),
         (2, 0, "x", "", "", ""),
     ]
-    assert got[0][3].startswith("oneitwo")
 
 
 def test_page_cap(spark):
     html = "".join(f"<h2>t{i}</h2><p>s{i}</p>" for i in range(20))
     pages = spark.createDataFrame([(1, "https://s/", html)], "page_id long, url string, html string")
-    assert html_pages.extract_headlines(pages).count() == 14
-    every = html_pages.extract_headlines(pages, max_items=None).orderBy("pos").collect()
+    assert html_pages.extract_headlines(pages, max_items=14).count() == 14
+    every = html_pages.extract_headlines(pages, scraped_at=F.concat("url", F.lit("now"))).orderBy("pos").collect()
+    assert {r.scraped_at for r in every} == {"now"}
     assert [(r.title, r.summary) for r in every] == [(f"t{i}", f"s{i}") for i in range(20)]
 
 
@@ -181,7 +181,7 @@ def test_cluster_run_files(spark, tmp_path, save, folders):
         assert articles.columns[:7] == list(reports.REVIEW_COLUMNS)
         assert {r.summary for r in articles.collect()} == {'s, "q"\nnext'}
         summary = tables.read_clustered_csv(spark, str(out / "clusters_summary")).collect()
-        assert [tuple(r) for r in summary] == [("1", "3", "a, b", "T2"), ("4", "1", "a", "T4")] or summary[0][3] == "T2"
+        assert [tuple(r) for r in summary] == [("1", "3", "a, b", "T2"), ("4", "1", "a", "T4")]
     if save != "csv":
         lines = [r.asDict(recursive=True) for r in spark.read.json(str(out / "clusters")).orderBy("cluster").collect()]
         assert [(c["cluster"], c["size"], [i["url"] for i in c["items"]]) for c in lines] == [
@@ -198,11 +198,13 @@ def test_large_cluster_is_split_in_order(spark):
     df = df.withColumns({c: F.lit("x") for c in ("source", "title", "summary")}).withColumn("url", F.col("_pos").cast("string"))
     nested = reports.nested_clusters(df, max_items=16)
     parts = [r for r in nested.collect() if r.cluster == 7]
-    assert max(len(r["items"]) for r in parts) <= 16 and len(parts) >= 13
+    assert {(r.part, len(r["items"])) for r in parts} == {(k, 16) for k in range(12)} | {(12, 8)} and {r["size"] for r in parts} == {200}
     got = [i.url for r in sorted(parts, key=lambda r: r.part) for i in r["items"]]
     want = sorted((r for r in rows if r[1] == 7), key=lambda r: (r[2] is None, r[2] or "", r[0]))
     assert got == [str(r[0]) for r in want]
     assert sum(len(r["items"]) for r in nested.collect()) == 300
+    placed = [reports.cluster_positions(df.repartition(n)).where("cluster = 7").orderBy("pos").collect() for n in (1, 9)]
+    assert placed[0] == placed[1] and [r.pos for r in placed[0]] == list(range(200))
 
 
 def test_postprocess(spark, tmp_path):
@@ -229,9 +231,17 @@ def test_postprocess(spark, tmp_path):
     assert best == {1: "u2", 2: "u4", None: "u5"}
 
 
-def test_field_defaults():
-    assert set(pipelines.GROUPED_DEFAULTS) >= {"cluster_id", "title", "published_dt"}
-    assert ARTICLE_FIELDS[0] == "title"
+def test_missing_fields_are_filled(spark):
+    full = records.with_columns(spark.range(2).withColumn("title", F.lit("t")), {"title": None, "url": "u", "source": None})
+    assert [tuple(r) for r in full.collect()] == [(0, "t", "u", None), (1, "t", "u", None)]
+
+
+def test_array_file_beyond_the_variant_limit(spark, tmp_path):
+    """A file of about 150 MB, beyond what a VARIANT value can hold, is read completely."""
+    record = json.dumps({"title": "t", "summary": "s" * 3_700, "url": "u"})
+    (tmp_path / "n12_rss_2025-08-10.json").write_text("[" + ",".join([record] * 40_000) + "]")
+    rows = json_files.read_feed_files(spark, str(tmp_path), "n12_rss_*.json")
+    assert rows.agg(F.count("*"), F.max("_pos"), F.min(F.length("summary"))).collect()[0] == (40_000, 39_999, 3_700)
 
 
 def test_preview_and_pull_field(spark):
