@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from pressloom.llm import common, tokenizer_files
+from pressloom.session import StepTables
 
 BLOCK = 1024
 
@@ -37,7 +38,8 @@ def encoded_lengths(docs: DataFrame, vocabulary: str = tokenizer_files.BPE_RANKS
 
 def histogram(lengths: DataFrame) -> DataFrame:
     """length, n_docs, n_tokens; and n_docs_up, n_tokens_up over all documents of this length or more."""
-    counted = lengths.groupBy("length").agg(F.count("*").alias("n_docs"))
+    counts = lengths.groupBy("length").agg(F.count("*").alias("n_docs"))
+    counted = StepTables(lengths.sparkSession, "lengths").save(counts, "counts")  # so that texts are encoded once
     counted = counted.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.expr(f"length div {BLOCK}"))
     blocks = counted.groupBy("block").agg(F.sum("n_docs").alias("docs"), F.sum("n_tokens").alias("tokens"))
     above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)  # one row per BLOCK lengths
