@@ -13,8 +13,8 @@ bounded size, which is broadcast.  It can only err by calling a chunk repeated t
 way, with the same result, so a full bit set at any size costs traffic and nothing else.  (3) A document without a repeated
 chunk is finished where it is read.  Of the others, the tokens of the stretches between go to the document's key, and each
 repeated chunk goes to its digest as a reference, with its text once per task.  (4) There it is encoded once, and its tokens
-go on to the documents that refer to it; rows of a frequent chunk are dealt over several tasks as soon as one task has seen
-it `DEAL` times, so a passage in a third of all documents is no hot key.  (5) Each distinct text is put together once, and
+go on to the documents that refer to it.  A chunk of more than `HOT` occurrences would be a hot key; such chunks are in a
+second bit set, and each is encoded once per task that refers to it instead.  (5) Each distinct text is put together once, and
 documents join the result by the digest of their text.
 
 Edge cases: NULL and empty texts have no tokens; copies share one result and get a row each; a NULL doc_id is carried
@@ -39,7 +39,7 @@ WINDOW_STEPS = (1, 2, 4, 8)
 KEY_BITS = 16  # bits of the set per repeated chunk
 MAX_SET_BITS = 1 << 28
 SEGMENTS = 64
-DEAL = 256
+HOT = 1000
 REMEMBER = 200_000
 
 
@@ -99,8 +99,8 @@ def _places(numbers: np.ndarray, width: int) -> list[np.ndarray]:
     return [base + ((n >> np.uint64(shift)) % np.uint64(width)).astype(np.int64) for shift in (8, 33)]
 
 
-def repeated_set(docs: DataFrame, steps: StepTables) -> np.ndarray:
-    """The bit set of all chunks that occur more than once in the corpus."""
+def repeated_sets(docs: DataFrame, steps: StepTables) -> tuple[np.ndarray, np.ndarray]:
+    """The bit sets of all chunks that occur more than once in the corpus, and of those with more than HOT occurrences."""
 
     def chunks(batches):
         import pyarrow as pa
@@ -126,8 +126,14 @@ def repeated_set(docs: DataFrame, steps: StepTables) -> np.ndarray:
             yield flush()
 
     counted = docs.select("text").mapInArrow(chunks, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    shared = steps.save(counted.where("n > 1").select("h"), "repeated")
-    wanted = max(shared.count() * KEY_BITS, 1 << 13)
+    shared = steps.save(counted.where("n > 1"), "repeated")
+    sets = _bit_set(shared.select("h")), _bit_set(shared.where(F.col("n") > HOT).select("h"))
+    steps.drop(shared)
+    return sets
+
+
+def _bit_set(numbers: DataFrame) -> np.ndarray:
+    wanted = max(numbers.count() * KEY_BITS, 1 << 13)
     width = min(1 << int(wanted - 1).bit_length(), MAX_SET_BITS) // SEGMENTS
 
     def segment(batches):
@@ -135,20 +141,19 @@ def repeated_set(docs: DataFrame, steps: StepTables) -> np.ndarray:
 
         parts: dict[int, np.ndarray] = {}
         for batch in batches:
-            numbers = batch.column(0).to_numpy().view(np.uint64)
-            which = (numbers % np.uint64(SEGMENTS)).astype(np.int64)
+            values = batch.column(0).to_numpy().view(np.uint64)
+            which = (values % np.uint64(SEGMENTS)).astype(np.int64)
             for s in np.unique(which):
                 bits = parts.setdefault(int(s), np.zeros(width, bool))
-                for place in _places(numbers[which == s], width):
+                for place in _places(values[which == s], width):
                     bits[place - s * width] = True
         for s, bits in parts.items():
             yield pa.RecordBatch.from_pydict({"s": [s], "bits": [np.packbits(bits, bitorder="little").tobytes()]}, schema=pa.schema([("s", pa.int32()), ("bits", pa.binary())]))
 
-    keyed = shared.repartition(F.expr(f"((h % {SEGMENTS}) + {SEGMENTS}) % {SEGMENTS}"))
     merged = np.zeros((SEGMENTS, width // 8), np.uint8)
+    keyed = numbers.repartition(F.pmod(F.col("h"), F.lit(SEGMENTS)))
     for row in keyed.mapInArrow(segment, "s int, bits binary").collect():  # at most MAX_SET_BITS in all
         merged[row["s"]] |= np.frombuffer(row["bits"], np.uint8)
-    steps.drop(shared)
     return merged.reshape(-1)
 
 
@@ -240,10 +245,13 @@ def _reader(shared, vocabulary: str, references: bool):
     """Rows of each distinct text: with references, a row per repeated chunk; else its own stretches, or the finished text (place -1)."""
 
     def run(batches) -> Iterator:
-        bits = shared.value
+        from pyspark import TaskContext
+
+        bits, hot_bits = shared.value
+        task = TaskContext.get().partitionId() + 1
         table = tokenizer_files.token_bytes(vocabulary)
         done: set[bytes] = set()
-        times: dict[bytes, int] = {}
+        sent: set[bytes] = set()
         for batch in batches:
             rows = []
             for text in batch.column(0).to_pylist():
@@ -260,12 +268,13 @@ def _reader(shared, vocabulary: str, references: bool):
                 numbers = np.frombuffer(b"".join(d[:8] for d in digests), "<u8")
                 repeated = in_set(bits, numbers)
                 if references:
+                    hot = in_set(hot_bits, numbers)
                     for k in np.flatnonzero(repeated).tolist():
-                        if len(times) >= REMEMBER:
-                            times.clear()
-                        n = times.get(digests[k], 0)
-                        times[digests[k]] = n + 1
-                        rows.append((key, k, digests[k], n // DEAL, data[starts[k] : ends[k]] if n % DEAL == 0 else None))
+                        if len(sent) >= REMEMBER:
+                            sent.clear()
+                        known = digests[k] in sent
+                        sent.add(digests[k])
+                        rows.append((key, k, digests[k], task if hot[k] else 0, None if known else data[starts[k] : ends[k]]))
                 elif not repeated.any():
                     rows.append((key, -1, None, 0, finished(tokenizer_files.encode(data.decode(), vocabulary), table)))
                 else:
@@ -285,7 +294,7 @@ def _reader(shared, vocabulary: str, references: bool):
 
 
 def _encoder(vocabulary: str):
-    """Each chunk is encoded once per deal; rows come sorted by chunk and deal, its text first."""
+    """Each chunk is encoded once, a hot one once per deal; rows come sorted by chunk and deal, its text first."""
 
     def run(batches) -> Iterator:
         last, tokens = None, b""
@@ -340,7 +349,7 @@ def texts_encoded(docs: DataFrame, vocabulary: str = tokenizer_files.BPE_RANKS)
     spark = docs.sparkSession
     common.small_batches(spark)
     texts = docs.select(common.whole("text").alias("text"))
-    shared = spark.sparkContext.broadcast(repeated_set(texts, StepTables(spark, "chunks")))
+    shared = spark.sparkContext.broadcast(repeated_sets(texts, StepTables(spark, "chunks")))
     own = texts.mapInArrow(_reader(shared, vocabulary, False), ROW)
     asked = texts.mapInArrow(_reader(shared, vocabulary, True), ROW)
     asked = asked.repartition("chunk", "deal").sortWithinPartitions("chunk", "deal", F.col("data").isNull())

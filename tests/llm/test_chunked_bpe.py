@@ -60,7 +60,7 @@ def test_report_equals_the_library(spark, plain, monkeypatch):
     texts = [None, "", " ", "x" * 30_000, *odd_texts(5, 40)]
     texts += ["".join(rng.choice(passages)[rng.randrange(50) :] for _ in range(3)) + str(i) for i in range(60)]
     texts += [texts[-1]] * 5 + [passages[0]] * 30
-    monkeypatch.setattr(chunked_bpe, "DEAL", 3)
+    monkeypatch.setattr(chunked_bpe, "HOT", 20)
     ids = [None if i == 3 else i % 100 for i in range(len(texts))]
     docs = spark.createDataFrame([(d, t, "k", b"m") for d, t in zip(ids, texts)], "doc_id long, text string, key string, made binary").repartition(6)
     got = [tuple(r) for r in chunked_bpe.report(docs).collect()]
