@@ -112,7 +112,6 @@ def tfidf(
 def cluster_top_terms(
     articles: DataFrame,
     cluster: str = "cluster",
-    doc: str = "doc_id",
     k: int = 12,
     max_df: float = 0.95,
     word: str = HEBREW_WORD,
@@ -121,23 +120,36 @@ def cluster_top_terms(
     """(cluster, rank, term, weight): the terms with the highest mean weight over the documents of each cluster.
 
     Frequencies are those inside the cluster, from title and summary; ties go to the smaller term.
+
+    A document is one row, so its terms are counted inside the row, and a term travels as a 64-bit number.  Only the
+    candidates for the first `k` places get their text back, from a second look at the articles.
     """
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
-    cut = articles.select(cluster, doc, words(text, only=word).alias("_tokens"))
-    terms = cut.select(cluster, doc, F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
-    counts = terms.groupBy(cluster, doc, "term").agg(F.count("*").alias("tf"))
+    cut = articles.select(cluster, words(text, only=word).alias("_tokens"))
+    listed = cut.select(cluster, ngrams(F.col("_tokens"), *ngram_range).alias("_terms"))
+    hs, n = F.col("_hs"), F.size("_hs")
+    sorted_terms = listed.select(cluster, F.sort_array(F.transform("_terms", lambda t: F.xxhash64(t))).alias("_hs"))
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(hs, i) != F.get(hs, i - 1))))
+    runs = sorted_terms.withColumn("_row", F.monotonically_increasing_id()).withColumn("_starts", starts)
+    tf = lambda i, k: F.coalesce(F.get("_starts", k + 1), n) - i
+    pairs = F.transform("_starts", lambda i, k: F.struct(F.get(hs, i).alias("h"), tf(i, k).alias("tf")))
+    each = runs.select(cluster, "_row", F.explode(pairs).alias("_pair"))
+    steps = StepTables(articles.sparkSession, "top-terms")
+    counts = steps.save(each.select(cluster, "_row", "_pair.h", "_pair.tf"), "counts")
+
     sizes = articles.groupBy(cluster).agg(F.count("*").alias("n"))
-    # Referring to tf keeps the counts as the weights read them, so both share one shuffle of them.
-    found = counts.groupBy(cluster, "term").agg(F.sum(F.when(F.col("tf") > 0, 1)).alias("df"))
+    found = counts.groupBy(cluster, "h").agg(F.count("*").alias("df"))
     kept = found.join(sizes, cluster).where(F.col("df") <= F.lit(max_df) * F.col("n"))
     kept = kept.withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
-    raw = counts.join(kept, [cluster, "term"]).select(cluster, doc, "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
-    # One row per document, which bounds the list, so its length and its terms come out of one shuffle.
-    packed = raw.groupBy(cluster, doc, "n").agg(
-        F.collect_list(F.struct("term", "w")).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
-    )
-    scaled = packed.select(cluster, "n", "norm", F.explode("v").alias("e"))
-    scaled = scaled.select(cluster, "n", "e.term", (F.col("e.w") / F.col("norm")).alias("w"))
-    mean = scaled.groupBy(cluster, "term").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
-    best = Window.partitionBy(cluster).orderBy(F.desc("weight"), "term")
-    return mean.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(cluster, "rank", "term", "weight")
+    raw = counts.join(kept, [cluster, "h"]).select(cluster, "_row", "h", "n", (F.col("tf") * F.col("idf")).alias("w"))
+    # A window over one document, which bounds its rows.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
+    scaled = raw.select(cluster, "h", "n", (F.col("w") / norm).alias("w"))
+    mean = scaled.groupBy(cluster, "h").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
+    by_weight = Window.partitionBy(cluster).orderBy(F.desc("weight"))
+    best = mean.withColumn("_place", F.rank().over(by_weight)).where(F.col("_place") <= k).select(cluster, "h", "weight")
+    best = steps.save(best, "candidates")
+    spelled = listed.select(cluster, F.explode("_terms").alias("term")).withColumn("h", F.xxhash64("term"))
+    named = spelled.join(best, [cluster, "h"]).groupBy(cluster, "term", "weight").agg(F.lit(1).alias("_one")).drop("_one")
+    ranked = named.withColumn("rank", F.row_number().over(Window.partitionBy(cluster).orderBy(F.desc("weight"), "term")))
+    return ranked.where(F.col("rank") <= k).select(cluster, "rank", "term", "weight")

@@ -28,7 +28,6 @@ def local_session(
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     if checkpoint_dir:
         conf["spark.checkpoint.dir"] = checkpoint_dir
