@@ -9,8 +9,10 @@ Each round merges all pairs of clusters that are each other's nearest (ties by s
 reducible: no merge brings a cluster nearer to a third one than its parts were, so these merges do not disturb each other
 and end in the same clusters as one merge at a time.
 
-The last rounds concern a handful of clusters.  Once at most `REST_CLUSTERS` are left in play, a limit that does not grow
-with the data, they are finished in one step inside a task.
+Clusters in different connected components of the close pairs never meet.  A component of at most `COMPONENT` clusters
+and `ENTRIES` vector entries is therefore finished on its own, in one group of bounded size, whatever else is left; the groups of all components run
+side by side.  Larger components go on by rounds, which merge clusters and lose pairs, until they have become small enough
+or have fallen apart.  Components are looked up after 1, 2, 4, 8, ... rounds.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.operators.components import components
 from pressloom.operators.features import term_counts, vocabulary
 from pressloom.operators.similarity import BLOCK_ROWS, index_vectors, rank_terms, similar_pairs
 from pressloom.session import StepTables
 
-REST_CLUSTERS = 2000
-REST_ENTRIES = 2_000_000
+COMPONENT = 512
+ENTRIES = 1_000_000
 
 
 _DISTANCE = "round(1.0D - s / (na * nb), 12)"
@@ -108,7 +111,7 @@ def average_linkage(
     max_df: float = 0.8,
     stopwords: Sequence[str] | DataFrame = (),
     block_rows: int = BLOCK_ROWS,
-    rest_clusters: int = REST_CLUSTERS,
+    component: int = COMPONENT,
 ) -> DataFrame:
     """Adds `cluster` to `docs`: the smallest `doc` of the cluster.  `doc` must be a unique integer column."""
     if not 0 < threshold <= 1:
@@ -137,7 +140,7 @@ def average_linkage(
     entries = vectors.select("vec", "n", F.explode("v").alias("e"))
     sums = entries.select(F.col("vec").alias("c"), F.col("e.tid").alias("tid"), (F.col("e.w") * F.col("n")).alias("s"))
 
-    roots = _merge_rounds(edges, sums, threshold, steps, rest_clusters)
+    roots = _merge_rounds(edges, sums, threshold, steps, component)
     label = per_text.join(vectors.select("signature", "vec"), "signature")
     label = label.select(F.col("doc").alias("_text"), F.col("vec").alias("_vec"))
     if roots is not None:
@@ -164,18 +167,19 @@ def _nearest_to_each_other(edges: DataFrame) -> DataFrame:
 
 
 def _merge_rounds(
-    edges: DataFrame, sums: DataFrame, threshold: float, steps: StepTables, rest_clusters: int
+    edges: DataFrame, sums: DataFrame, threshold: float, steps: StepTables, component: int
 ) -> DataFrame | None:
     """(old, new) for every vector that ended in the cluster of another one."""
     merges: list[DataFrame] = []
-    while True:
-        left = edges.count()
-        if left == 0:
-            break
-        rest = _rest(edges, sums, rest_clusters) if left <= 20 * rest_clusters else None
-        if rest is not None:
-            merges.append(steps.save(_finish(rest, threshold), "rest"))
-            break
+    rounds, look = 0, 0
+    while not edges.isEmpty():
+        if rounds == look:
+            look = max(2 * look, 1)
+            finished, edges = _finish_small(edges, sums, threshold, steps, component)
+            if finished is not None:
+                merges.append(finished)
+                continue
+        rounds += 1
         found = steps.save(_nearest_to_each_other(edges), "merges")
         merges.append(found.select(F.col("b").alias("old"), F.col("a").alias("new")))
         moved = found.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), "n")
@@ -186,18 +190,27 @@ def _merge_rounds(
     return _roots(merges, steps) if merges else None
 
 
-def _rest(edges: DataFrame, sums: DataFrame, limit: int) -> DataFrame | None:
-    """(c, n, tid, s) of the clusters still in play, if they are few."""
-    sides = [F.struct(F.col(c).alias("c"), F.col(n).alias("n")) for c, n in (("a", "na"), ("b", "nb"))]
-    active = edges.select(F.explode(F.array(*sides)).alias("x")).select("x.*").distinct()
-    if active.count() > limit:
-        return None
-    rest = sums.join(active, "c").select("c", "n", "tid", "s")
-    return rest if rest.count() <= REST_ENTRIES else None
+def _finish_small(
+    edges: DataFrame, sums: DataFrame, threshold: float, steps: StepTables, limit: int
+) -> tuple[DataFrame | None, DataFrame]:
+    """(old, new) of all merges inside components of at most `limit` clusters, and the edges of the larger ones."""
+    found = steps.save(components(edges, steps), "components")
+    entries = sums.groupBy("c").agg(F.count("*").alias("entries"))
+    sizes = found.join(entries, F.col("node") == F.col("c")).groupBy("root")
+    small = sizes.agg(F.count("*").alias("size"), F.sum("entries").alias("entries"))
+    small = small.where((F.col("size") <= limit) & (F.col("entries") <= ENTRIES)).select("root")
+    nodes = steps.save(found.join(small, "root").select(F.col("node").alias("c"), "root"), "small")
+    if nodes.isEmpty():
+        return None, edges
+    sides = edges.selectExpr("explode(array(struct(a AS c, na AS n), struct(b AS c, nb AS n))) AS x").select("x.*").distinct()
+    rest = sums.join(nodes, "c").join(sides, "c").select("root", "c", "n", "tid", "s")
+    merged = steps.save(_finish(rest, threshold), "finished")
+    larger = steps.save(edges.join(nodes.select(F.col("c").alias("a")), "a", "left_anti").select(*edges.columns), "edges")
+    return merged, larger
 
 
 def _finish(rest: DataFrame, threshold: float) -> DataFrame:
-    """(old, new) of the remaining merges."""
+    """(old, new) of the merges inside each component; a group is one component, of bounded size."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         ids, at = np.unique(rows["c"].to_numpy(), return_inverse=True)
@@ -230,7 +243,7 @@ def _finish(rest: DataFrame, threshold: float) -> DataFrame:
         moved = root != np.arange(len(ids))
         return pd.DataFrame({"old": ids[moved], "new": ids[root[moved]]})
 
-    return rest.groupBy().applyInPandas(run, "old long, new long")
+    return rest.groupBy("root").applyInPandas(run, "old long, new long")
 
 
 def _add_up(sums: DataFrame, edges: DataFrame, moved: DataFrame) -> DataFrame:

@@ -100,16 +100,16 @@ def test_similar_pairs(spark, seed, min_sim, block):
     assert {(r.a, r.b): round(r.sim, 9) for r in got} == want
 
 
-@pytest.mark.parametrize("seed", range(5))
+@pytest.mark.parametrize("seed", range(6))
 def test_average_linkage(spark, seed):
     rng = random.Random(100 + seed)
     texts = random_titles(rng, rng.randint(25, 60), rng.choice([8, 20, 40])) + ["solo", "solo", ""]
     rng.shuffle(texts)
     threshold = rng.choice([0.5, 0.7, 0.83, 0.85, 1.0])
     docs = spark_docs(spark, texts)
-    # Odd seeds finish in one step, even ones go through the rounds down to very few clusters.
-    rest = 1000 if seed % 2 else 3
-    out = linkage.average_linkage(docs, threshold=threshold, max_df=0.75, block_rows=7, rest_clusters=rest).collect()
+    # Large components go through rounds: none, all down to pairs, or those of more than a few clusters.
+    limit = (1000, 1, 4)[seed % 3]
+    out = linkage.average_linkage(docs, threshold=threshold, max_df=0.75, block_rows=7, component=limit).collect()
     got = {r.doc_id: r.cluster for r in out}
     assert got == plain_clusters(plain_vectors(texts, max_df=0.75), threshold)
 
@@ -117,10 +117,11 @@ def test_average_linkage(spark, seed):
 def test_average_linkage_edge_inputs(spark):
     empty = spark.createDataFrame([], "doc_id long, text_for_cluster string")
     assert linkage.average_linkage(empty).collect() == []
-    one = linkage.average_linkage(spark_docs(spark, ["a lonely headline"])).collect()
-    assert [(r.doc_id, r.cluster) for r in one] == [(0, 0)]
-    with pytest.raises(ValueError):
-        linkage.average_linkage(one, threshold=1.2)
+    lonely = spark_docs(spark, ["a lonely headline"])
+    assert [(r.doc_id, r.cluster) for r in linkage.average_linkage(lonely).collect()] == [(0, 0)]
+    for threshold in (0, -1, 1.2):
+        with pytest.raises(ValueError):
+            linkage.average_linkage(lonely, threshold=threshold)
 
 
 def test_hot_term_is_split_and_complete(spark):
