@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions import timestamps
-from pressloom.operators import dedup, records, reports
+from pressloom.operators import dedup, features, records, reports
 from pressloom.plans import pipelines, views
 from pressloom.schemas import ARTICLE_FIELDS
 from pressloom.session import StepTables
@@ -226,7 +226,7 @@ def niqqud_titles(spark, sf):
     return rows.select("doc_id", text.normalize_text(F.col("title")).alias("normal"), text.norm_min(F.col("title")).alias("minimal"))
 
 
-def many_headlines(spark, sf):
+def _listing_pages(spark, sf) -> DataFrame:
     """Pages made of the texts of several documents, with more than fourteen headings, links and paragraphs each."""
     safe = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     title = safe(F.regexp_extract("text", r"\A[^.\n]*", 0))
@@ -234,9 +234,34 @@ def many_headlines(spark, sf):
     part = F.concat(F.lit("<"), level, F.lit(">"), title, F.lit("</"), level, F.lit("><p>s"), "doc_id", F.lit("</p><p>לפני "), "doc_id", F.lit(" דקות</p><a href='/n/"), "doc_id", F.lit("'>x</a>"))
     docs = views.table(spark, sf, "documents").select((F.col("doc_id") % 40).alias("page_id"), "doc_id", part.alias("part"))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "part"))), lambda x: x["part"]), "")
-    pages = docs.groupBy("page_id").agg(listed.alias("html")).withColumn("url", F.lit("https://site.example/list"))
-    found = html_pages.extract_headlines(pages, scraped_at=F.lit("2025-08-24T15:41:39+03:00"))
-    return records.adapt(found).select("page_id", "pos", "title", "summary", "url", "published", "published_iso")
+    pages = docs.groupBy((F.floor(F.col("doc_id") / 4000) * 40 + F.col("page_id")).alias("page_id")).agg(listed.alias("html"))
+    return pages.withColumn("url", F.lit("https://site.example/list"))
+
+
+def _adapted_headlines(spark, sf) -> DataFrame:
+    found = html_pages.extract_headlines(_listing_pages(spark, sf), scraped_at=F.lit("2025-08-24T15:41:39+03:00"))
+    return records.adapt(found)
+
+
+def daily_run(spark, sf):
+    """The whole daily run: landed pages, headlines, adapted times, records without repeats, written by day and read back."""
+    adapted = _adapted_headlines(spark, sf).withColumn("dt", F.to_date(F.substring("scraped_at", 1, 10)))
+    placed = adapted.withColumns({"_file": F.col("page_id").cast("string"), "_file_rank": F.lit(0), "_pos": F.col("pos").cast("long")})
+    folder = _folder(spark, "daily")
+    writers.write_days(pipelines.daily(placed.drop("page_id", "pos")), folder)
+    back = tables.read_processed_day(spark, folder, "2025-08-24")
+    return back.select(F.col("_file").cast("long").alias("page_id"), "_pos", "title", "url", "published_iso", "source", "record_key", "dt")
+
+
+def tfidf_stopword_table(spark, sf):
+    """TF-IDF weights with the stop words as a table, which may have any length."""
+    frame = pipelines.clustering_frame(views.articles(spark, sf))
+    stop = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{w}')" for w in STOPWORDS) + " AS t(word)")
+    return features.tfidf(frame, max_df=0.75, ngram_range=(1, 3), stopwords=stop).select("doc_id", "term", F.round("w", 6).alias("w"))
+
+
+def many_headlines(spark, sf):
+    return _adapted_headlines(spark, sf).select("page_id", "pos", "title", "summary", "url", "published", "published_iso")
 
 
 def full_text_frame(spark, sf):
@@ -265,6 +290,6 @@ QUERIES = {
     for fn in (
         landed_feed_files, landed_json_lines, landed_wrapped_files, landed_processed_day, landed_processed_other_days, landed_adapted, landed_raw, landed_clustered_csv,
         landed_cluster_summary_csv, landed_clusters_json, landed_run_stats, landed_post_csv, landed_dedup_json, landed_preview_csv, landed_stopwords, distinct_sources, union_of_feeds,
-        union_of_payloads, default_columns, pulled_field, niqqud_titles, many_headlines, full_text_frame, ranked_in_time,
+        union_of_payloads, daily_run, tfidf_stopword_table, default_columns, pulled_field, niqqud_titles, many_headlines, full_text_frame, ranked_in_time,
     )
 }

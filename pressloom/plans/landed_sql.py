@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pressloom.plans.catalog_sql import _ARTICLES, _CANONICAL, _LABELS, _SECOND, _UTC, _clean, _norm_min, _normal, _sql
-from pressloom.plans.landed import DAY, FILE_DOCS
+from pressloom.plans.catalog_sql import _ARTICLES, _CANONICAL, _LABELS, _SECOND, _UTC, _clean, _norm_min, _normal, _sql, _weights
+from pressloom.plans.landed import DAY, FILE_DOCS, STOPWORDS
 
 _FIRST = "QUALIFY row_number() OVER (PARTITION BY {} ORDER BY {}) = 1"
 _PLACE = f"row_number() OVER (PARTITION BY dt, doc_id // {FILE_DOCS}{{}} ORDER BY doc_id) - 1 AS _pos"
@@ -84,7 +84,14 @@ FROM articles GROUP BY cluster""",
     pointed = "'שָׁלוֹם ' || substr(source, 1, 3) || CASE WHEN doc_id % 2 = 0 THEN ' café' ELSE ' café' END || ' מִלְחָמָה'"
     bare = r"regexp_replace(nfc_normalize(title), '[\x{0591}-\x{05C7}]', '', 'g')"
     sql["niqqud_titles"] = f"SELECT doc_id, {_normal('title')} AS normal, {_norm_min(bare)} AS minimal FROM (SELECT doc_id, {pointed} AS title FROM documents)"
-    sql["many_headlines"] = f"""SELECT doc_id % 40 AS page_id, CAST(row_number() OVER (PARTITION BY doc_id % 40 ORDER BY doc_id) - 1 AS INTEGER) AS pos,
+    page = "doc_id // 4000 * 40 + doc_id % 40"
+    sql["daily_run"] = f"""SELECT page_id, _pos, {_normal("title")} AS title, url, published_iso, 'c14' AS source, 'c14:' || substr(sha1(url), 1, 12) AS record_key,
+  DATE '2025-08-24' AS dt FROM (
+  SELECT {page} AS page_id, row_number() OVER (PARTITION BY {page} ORDER BY doc_id) - 1 AS _pos, trim(regexp_extract(text, '^[^.\n]*', 0)) AS title,
+    'https://site.example/n/' || doc_id AS url,
+    strftime(TIMESTAMP '2025-08-24 15:41:39' - to_minutes(CAST(doc_id AS INTEGER)), {_SECOND}) || '+03:00' AS published_iso FROM documents)"""
+    sql["tfidf_stopword_table"] = _sql(_weights(3, STOPWORDS), "SELECT doc_id, term, round(w, 6) AS w FROM weights")
+    sql["many_headlines"] = f"""SELECT {page} AS page_id, CAST(row_number() OVER (PARTITION BY {page} ORDER BY doc_id) - 1 AS INTEGER) AS pos,
   trim(regexp_extract(text, '^[^.\\n]*', 0)) AS title, 's' || doc_id AS summary, 'https://site.example/n/' || doc_id AS url,
   'לפני ' || doc_id || ' דקות' AS published,
   strftime(TIMESTAMP '2025-08-24 15:41:39' - to_minutes(CAST(doc_id AS INTEGER)), {_SECOND}) || '+03:00' AS published_iso FROM documents"""

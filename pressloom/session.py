@@ -44,6 +44,16 @@ def shared_folder(spark: SparkSession) -> str:
     return found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
 
 
+def close_steps() -> None:
+    """Remove the step tables of all jobs so far.  A program calls this before it stops its session."""
+    for steps in list(_OPEN):
+        steps.close()
+
+
+_OPEN: list[StepTables] = []
+atexit.register(close_steps)
+
+
 class StepTables:
     """Parquet tables of one iterative job in the shared folder.
 
@@ -56,7 +66,7 @@ class StepTables:
         self._spark = spark
         self._root = f"{shared_folder(spark).rstrip('/')}/{job}-{uuid.uuid4().hex}"
         self._count = 0
-        atexit.register(self.close)
+        _OPEN.append(self)
 
     def folder(self) -> str:
         """A folder of the job for files that are written and read by other means than `save`."""
@@ -80,7 +90,8 @@ class StepTables:
 
     def close(self) -> None:
         """Remove what is left, once every result that reads it has been written."""
-        atexit.unregister(self.close)
+        if self in _OPEN:
+            _OPEN.remove(self)
         if self._spark.sparkContext._jsc is not None:
             self._delete(self._root)
 

@@ -8,10 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pressloom.session import local_session
+    from pressloom.session import close_steps, local_session
 
     session = local_session(cores=4, shuffle_partitions=4, app="pressloom-tests", checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield session
+    close_steps()
     session.stop()
 
 
