@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from pressloom.llm import common
+from pressloom.operators.components import components
 from pressloom.session import StepTables
 
 SHINGLE = 4
@@ -205,29 +206,6 @@ def links(units: DataFrame, radius: int = RADIUS) -> DataFrame:
     return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, steps: StepTables) -> DataFrame:
-    """(node, root) for every node of the edges (a, b), by contraction rounds."""
-    maps: list[DataFrame] = []
-    current = steps.save(edges.where("a != b").distinct(), "edges")
-    while not current.isEmpty():
-        both = current.select("a", "b").union(current.select(F.col("b"), F.col("a")))
-        order = lambda c: F.struct(F.xxhash64(c, F.lit(len(maps))).alias("h"), F.col(c).alias("v"))
-        nearest = both.groupBy("a").agg(F.min(order("b")).alias("best")).select(F.col("a").alias("node"), F.least("best", order("a"))["v"].alias("root"))
-        chosen = steps.save(nearest, "roots")
-        maps.append(chosen)
-        left, right = chosen.toDF("a", "ra"), chosen.toDF("b", "rb")
-        contracted = current.join(left, "a").join(right, "b").where("ra != rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-        following = steps.save(contracted.distinct(), "edges")
-        steps.drop(current)
-        current = following
-    if not maps:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).where(F.lit(False))
-    found = maps[0]
-    for later in maps[1:]:
-        found = found.join(later.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return found
-
-
 def groups(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of every document row, and (fp, root, component_id) of every distinct fingerprint."""
     spark = docs.sparkSession
@@ -252,10 +230,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Where no member has a number, one member stays; of rows with the same number and fingerprint one stays.
     """
     prints, named = groups(docs)
-    last = F.coalesce(F.col("doc_id"), F.lit(None))
-    first = prints.join(named, "fp").groupBy("root").agg(F.min(F.struct(last.isNull().alias("none"), last.alias("id"), F.col("fp"))).alias("m"))
-    stays = first.select(F.col("m")["id"].alias("keep_id"), F.col("m")["fp"].alias("keep_fp"))
-    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), fingerprint_of(common.whole("text")).alias("fp"))
-    both = nested.join(stays, (F.col("fp") == F.col("keep_fp")) & F.col("kept")["doc_id"].eqNullSafe(F.col("keep_id")))
-    chosen = both.groupBy("keep_fp").agg(F.min(F.struct(F.xxhash64(F.col("kept")["text"]), F.col("kept"))).alias("one"))
+    none, number = F.col("doc_id").isNull(), F.col("doc_id")
+    first = prints.join(named, "fp").groupBy("root").agg(F.min(F.struct(none.alias("none"), number.alias("id"), F.col("fp"))).alias("m"))
+    key = lambda none, number: (none.alias("none"), F.coalesce(number.cast("long"), F.lit(0)).alias("id"))
+    stays = first.select(F.col("m")["fp"].alias("fp"), *key(F.col("m")["none"], F.col("m")["id"]))
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), fingerprint_of(common.whole("text")).alias("fp"), *key(none, number))
+    # Rows with one number and fingerprint meet by the keys of the join, so the texts are dealt out once.
+    chosen = nested.join(stays, ["fp", "none", "id"]).groupBy("fp", "none", "id").agg(F.min(F.struct(F.xxhash64(F.col("kept")["text"]), F.col("kept"))).alias("one"))
     return chosen.select(*[F.col("one")["kept"][c].alias(c) for c in docs.columns])
