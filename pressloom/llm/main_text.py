@@ -507,7 +507,9 @@ def fit(pages: DataFrame, limit: int = MAX_PAGES) -> Weights:
         return pd.Series(["\n".join(b.text[:400] for b in blocks(h)[:40]) for h in htmls], dtype=object)
 
     rows = some.select("page_id", excerpt(common.whole("html")).alias("t")).orderBy(F.xxhash64("page_id"), "page_id", "t").limit(limit).collect()
-    return train(list(examples([line for r in rows for line in r["t"].split("\n")])))
+    weights = train(list(examples([line for r in rows for line in r["t"].split("\n")])))
+    _slots.clear()  # or the words of the training pages would travel with the functions
+    return weights
 
 
 def label(weights: Weights, htmls: list[str | None]) -> list[str]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+import sys
+import types
+from collections.abc import Callable
 
 #: The name of a vocabulary file of the `public_tokenizers` package; an absolute path works as well.
 BPE_JSON = "byte_bpe_50k.json"
@@ -12,6 +14,14 @@ BPE_RANKS = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 
 
+def kept(key: str, make: Callable):
+    """`make()`, once per process.  Functions travel to the executors by value, so a global of this module would not do."""
+    known = sys.modules.setdefault("_vocabularies_of_this_process", types.ModuleType("_vocabularies_of_this_process")).__dict__
+    if key not in known:
+        known[key] = make()
+    return known[key]
+
+
 def place(name: str) -> str:
     if name.startswith("/"):
         return name
@@ -20,27 +30,35 @@ def place(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
 def ranks(name: str = BPE_RANKS) -> dict[bytes, int]:
-    with open(place(name), "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    def read():
+        with open(place(name), "rb") as lines:
+            return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+    return kept(f"ranks {name}", read)
 
 
-@lru_cache(maxsize=4)
 def rank_encoder(name: str = BPE_RANKS):
     """Encoder over a rank file; text that spells a special token becomes that token, as the JSON file has it."""
-    import public_tokenizers
-    import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(name), special_tokens=SPECIAL)
+    def make():
+        import public_tokenizers
+        import tiktoken
+
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(name), special_tokens=SPECIAL)
+
+    return kept(f"encoder {name}", make)
 
 
 def encode(text: str, name: str = BPE_RANKS) -> list[int]:
     return rank_encoder(name).encode(text, allowed_special="all")
 
 
-@lru_cache(maxsize=4)
 def token_bytes(name: str = BPE_RANKS) -> list[bytes]:
     """The bytes of each token, by number."""
-    known = {rank: token for token, rank in ranks(name).items()} | {number: token.encode() for token, number in SPECIAL.items()}
-    return [known[i] for i in range(len(known))]
+
+    def make():
+        known = {rank: token for token, rank in ranks(name).items()} | {number: token.encode() for token, number in SPECIAL.items()}
+        return [known[i] for i in range(len(known))]
+
+    return kept(f"tokens {name}", make)
