@@ -39,14 +39,14 @@ LEAD_LABELS = (
     "מדריך",
     "הסבר",
 )
-# Site names that may close a headline after a pipe or dash ("~" marks an optional space).
+# Site names that may close a headline after a pipe or dash; the space in a name is optional.
 SITE_NAMES = (
     "N12",
-    "חדשות~12",
+    "חדשות 12",
     "mako",
-    "כאן~11",
-    "Kan~11",
-    "ערוץ~14",
+    "כאן 11",
+    "Kan 11",
+    "ערוץ 14",
     "ynet",
     "גלובס",
     "וואלה",
@@ -108,7 +108,7 @@ def strip_niqqud(c: Column) -> Column:
 
 def _cut_site_suffix(c: Column) -> Column:
     """Drop a site name after a pipe or dash at the end.  Reversed, the pattern is anchored and fails at once."""
-    names = "|".join(n[::-1].replace("~", f"{SPACE}?") for n in SITE_NAMES)
+    names = "|".join(n[::-1].replace(" ", f"{SPACE}?") for n in SITE_NAMES)
     pattern = rf"(?iu)\A{SPACE}*(?:{names}){SPACE}*[|\-–—]{SPACE}*"
     return F.reverse(F.regexp_replace(F.reverse(c), pattern, ""))
 

@@ -15,7 +15,7 @@ from pressloom.sources import feeds, html_pages, json_files
 
 AS_OF = "2025-08-13 12:00:00"
 QUERY_STOPWORDS = ("the", "and", "of", "to", "in", "la", "de")
-WELCOME = "ברוכים הבאים לאתר"
+WELCOME = "תודה שקראתם אותנו היום"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -53,6 +53,7 @@ def _normal(x: str) -> str:
 
 
 def _norm_min(x: str) -> str:
+    # The lead labels and site names of pressloom.functions.text, written out for SQL.
     labels = "צפו|וידאו|פרשנות|דעה|חשיפה|מיוחד|תיעוד|ראיון|ריאיון|מדריך|הסבר"
     sites = r"N12|חדשות\s?12|mako|כאן\s?11|Kan\s?11|ערוץ\s?14|ynet|גלובס|וואלה|israelhayom"
     clock = r"(^|[^\pL\pN_])((?:[01]?[0-9]|2[0-3]):[0-5][0-9])($|[^\pL\pN_])"

@@ -98,7 +98,7 @@ def test_legacy_record_form(spark):
 
 
 def test_boilerplate(spark):
-    welcome = "ברוכים הבאים לאתר"
+    welcome = "תודה שקראתם אותנו היום"
     rows = [("s1", welcome)] * 5 + [("s1", f"סיכום {i}") for i in range(5)] + [("s2", welcome)] * 3
     rows += [("s3", "")] * 6 + [(None, welcome)] * 5
     out = records.drop_boilerplate(frame(spark, rows, "source string, summary string")).collect()
