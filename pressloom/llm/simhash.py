@@ -23,7 +23,7 @@ component_id is NULL where no member has a number; other columns are not looked
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -224,17 +224,18 @@ def report(docs: DataFrame) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, grouped: Callable = groups, mark: Callable = fingerprint_of) -> DataFrame:
     """One document of each group, that with the smallest number, with all its columns.
 
     Where no member has a number, one member stays; of rows with the same number and fingerprint one stays.
+    `grouped` gives what `groups` does, with the `mark` of a text as its fingerprint.
     """
-    prints, named = groups(docs)
+    prints, named = grouped(docs)
     none, number = F.col("doc_id").isNull(), F.col("doc_id")
     first = prints.join(named, "fp").groupBy("root").agg(F.min(F.struct(none.alias("none"), number.alias("id"), F.col("fp"))).alias("m"))
     key = lambda none, number: (none.alias("none"), F.coalesce(number.cast("long"), F.lit(0)).alias("id"))
     stays = first.select(F.col("m")["fp"].alias("fp"), *key(F.col("m")["none"], F.col("m")["id"]))
-    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), fingerprint_of(common.whole("text")).alias("fp"), *key(none, number))
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), mark(common.whole("text")).alias("fp"), *key(none, number))
     # Rows with one number and fingerprint meet by the keys of the join, so the texts are dealt out once.
     chosen = nested.join(stays, ["fp", "none", "id"]).groupBy("fp", "none", "id").agg(F.min(F.struct(F.xxhash64(F.col("kept")["text"]), F.col("kept"))).alias("one"))
     return chosen.select(*[F.col("one")["kept"][c].alias(c) for c in docs.columns])
