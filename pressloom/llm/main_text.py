@@ -13,7 +13,7 @@ the weights, some 100,000 numbers, are of fixed size; the weights are broadcast
 
 Edge cases: NULL and empty pages and pages without a main block give an empty text; unclosed, crossed and stray tags are
 read as browsers do for the cases that matter (a new block closes an open paragraph, an end tag closes what is open inside
-it, an unknown end tag is skipped); an unfinished comment, script or tag reaches to the end; repeated rows get a row each;
+it, text, <body> and what cannot stand in a head close an open head, an unknown end tag is skipped); an unfinished comment, script or tag reaches to the end; repeated rows get a row each;
 NULL page_id and url are carried through; other columns are not looked at.
 """
 
@@ -45,6 +45,7 @@ CACHE = 100_000
 HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object canvas head title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD = frozenset("head html base basefont bgsound link meta title noscript noframes style script template".split())  # what does not end an open head
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -104,6 +105,12 @@ def blocks(page: str | None) -> list[Block]:
         inside -= sum(tag == "a" for tag, _ in stack[index:])
         del stack[index:]
 
+    def end_head(index: int) -> None:
+        nonlocal hidden
+        if hidden > index:
+            hidden = 0
+        pop(index)
+
     def skip(start: int) -> int:
         """Past the end of a raw element."""
         found = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, start)
@@ -114,6 +121,8 @@ def blocks(page: str | None) -> list[Block]:
     while at < len(page):
         m = _MARKUP.search(page, at)
         stop = m.start() if m else len(page)
+        if hidden and stack[-1][0] == "head" and page[at:stop].strip():
+            end_head(len(stack) - 1)
         if stop > at and not hidden:
             piece = page[at:stop]
             pieces.append(piece)
@@ -141,6 +150,10 @@ def blocks(page: str | None) -> list[Block]:
                         if stack[k][0] not in INLINE:
                             break
             continue
+        if hidden and stack[-1][0] == "head" and tag not in HEAD:
+            end_head(len(stack) - 1)
+        elif hidden and tag == "body" and "head" in (names := [name for name, _ in stack]) and "template" not in names:
+            end_head(names.index("head"))
         if tag in RAW and not (tag == "noscript"):
             if tag not in INLINE:
                 close()
