@@ -10,7 +10,7 @@ kilobytes each.  The weights, 2^BITS numbers, are broadcast, and every document
 
 Edge cases: NULL and empty texts have no features and get the score of the bias; labels without a document, with a NULL
 number or a NULL label are not learnt from; without any label the score is 0.5; a document labelled twice is learnt with
-its smallest label; repeated rows are scored each; a NULL doc_id is scored and is not held out; other columns are kept by
+its smallest label; of rows that repeat a number one is learnt, that with the smallest vector, and each is scored; a NULL doc_id is scored and is not held out; other columns are kept by
 `scored` and never read.
 """
 
@@ -126,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", limit: in
             )
 
     built = sample.mapInArrow(vectors, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, slots binary, parts binary")
-    rows = built.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").collect()  # at most `limit` documents
+    one = built.groupBy("doc_id").agg(F.min(F.struct("slots", "parts", "label")).alias("one")).select("doc_id", "one.*")  # `documents` may repeat a number
+    rows = one.orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # at most `limit` rows
     return fit([(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["parts"], np.float32), r["label"]) for r in rows], bits)
 
 
