@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, main_text, personal_data, quality_classifier, quality_rules, simhash, warc
+from pressloom.llm import chunked_bpe, decontaminate, length_histogram, licenses, main_text, packing, personal_data, quality_classifier, quality_rules, ranked_search, simhash, vector_codes, warc
 from pressloom.llm.common import table
 
 
@@ -50,6 +50,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.report(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_license_scan": op2_license_scan,
@@ -61,6 +73,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_main_text": op10_main_text,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
-SQL: dict[str, str] = {"op2_license_scan": licenses.sql(), "op8_decontaminate": decontaminate.SQL}
+SQL: dict[str, str] = {
+    "op2_license_scan": licenses.sql(),
+    "op8_decontaminate": decontaminate.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_ranked_search": ranked_search.SQL,
+}
