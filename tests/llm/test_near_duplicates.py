@@ -57,6 +57,49 @@ def test_groups_equal_comparison_with_all(spark):
     assert set(kept) < {r["doc_id"] for r in simhash.one_of_each(docs).collect()} | set(kept)
 
 
+def test_long_shingles_are_cut_into_blocks(spark):
+    """A shingle that many share, in one group of near copies and in many unlike texts, at any block size."""
+    rng = random.Random(6)
+    fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base, passage = fresh(60), fresh(30)
+    made = [edited(rng, base, rng.randrange(2)) for _ in range(50)] + [passage + fresh(3 + k % 12) for k in range(40)]
+    made += [passage + ["end"] * k for k in range(20)] + [base[:52], base[:45], base[4:]]
+    rows = list(enumerate(" ".join(w) for w in made))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = plain_firsts(rows)
+    for limit in (2, 7, 4096):
+        _, named = near_duplicates.groups(docs, limit)
+        assert sorted({r["component_id"] for r in named.collect()}) == want
+
+
+def test_units_hold_every_pair_of_groups_once(spark):
+    rng = random.Random(1)
+    rows = [(1, 5, k, 9, 0) for k in range(23)] + [(1, 100 + k // 2, 100 + k, 9, 0) for k in range(21)] + [(1, 6, 300 + k, 9, 0) for k in range(9)] + [(2, k, k, 9, 0) for k in range(4)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "key long, root long, fp long, size int, place int")
+    by = {}
+    for r in near_duplicates.units(table, 4).collect():
+        by.setdefault(r["unit"], []).append(r)
+    assert max(map(len, by.values())) < 30
+    seen = [
+        (min(x["fp"], y["fp"]), max(x["fp"], y["fp"]))
+        for unit in by.values()
+        for k, x in enumerate(unit)
+        for y in unit[:k]
+        if x["root"] != y["root"] and (not x["side"] or x["side"] != y["side"])
+    ]
+    want = {(min(x[2], y[2]), max(x[2], y[2])) for x in rows for y in rows if x[0] == y[0] and x[1] != y[1]}
+    assert len(seen) == len(set(seen)) and set(seen) == want
+
+
+def test_very_long_text_and_repeated_rows(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(300)}" for _ in range(150_000)]
+    rows = [(1, " ".join(words), "a"), (2, " ".join(edited(rng, words, 300)), "b"), (2, "x", "z"), (2, "x", "y"), (2, "x", "y"), (5, "X", None)]
+    kept = near_duplicates.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, mark string").repartition(3))
+    assert sorted((r["doc_id"], r["mark"]) for r in kept.collect()) == [(1, "a"), (2, "y")]
+
+
 def test_edges(spark):
     rows = [(3, "a b c d e f", "p"), (1, "A b c d e f", "q"), (1, "A b c d e f", "q"), (9, "z y x w v u t", "r"), (None, None, None), (None, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
