@@ -11,7 +11,9 @@ until one group is left; so at most `OPEN` sequences in all are left to chance,
 Rows carry lengths and digests, no tokens.  Each level is a written table, so a lost task is run again alone.
 
 Encoding.  The tokenizer cuts at white space before anything else, so each run between ASCII spaces, tabs and line ends is
-encoded by itself, and a worker keeps the ids of short runs it has seen.
+encoded by itself, and a worker keeps the ids of short runs it has seen.  It also cuts between letters and symbols, so a run
+of letters with symbols around it is put together of those; the new letter parts of a batch are encoded in one call, one to a
+line, and each ends at the first id that ends a word.  Any other new run is encoded alone.
 
 Edge cases: NULL and empty texts are the end id alone; repeated rows and doc_ids are packed row by row, pieces counted from 0
 in each; a NULL doc_id is carried through; an empty table gives no rows; other columns are never looked at.  Sequence numbers
@@ -35,38 +37,93 @@ END = 1
 OPEN = 256
 FAN_IN = 16
 VOCABULARY = "word_bpe_49k.json"
-#: Runs of up to so many bytes are kept with their ids, up to so many of them.
+#: Texts of up to so many bytes are kept with their ids, in two generations of up to so many of them.
 SHORT, KEPT = 64, 300_000
+#: Symbols that stand apart from letters in the tokenizer's cut, whatever is beside them.
+SYMBOLS = ".,;:!?#$%&*()[]{}-_+=/@~^\""
 
 
-def run_ids(vocabulary: str = VOCABULARY):
-    """A table from a run of UTF-8 without ASCII white space to its ids, as little-endian 32-bit numbers."""
+class Recent(dict):
+    """A table that forgets: between batches, when it has grown beyond its limit, it becomes the older generation."""
 
-    def make():
-        from tokenizers import Tokenizer
+    def __init__(self, limit: int = KEPT):
+        super().__init__()
+        self.limit, self.older = limit, {}
 
-        tokenizer = Tokenizer.from_file(tokenizer_files.place(vocabulary))
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+    def unknown(self, keys: set) -> set:
+        """The keys that neither generation has; those of the older one return."""
+        away = keys.difference(self)
+        back = away.intersection(self.older)
+        self.update((k, self.older[k]) for k in back)
+        return away - back
 
-        class Known(dict):
-            def __missing__(self, run: bytes) -> bytes:
-                ids = np.array(tokenizer.encode(run.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-                if len(run) <= SHORT:
-                    if len(self) >= KEPT:
-                        self.clear()
-                    self[run] = ids
-                return ids
+    def turn(self, long: list) -> None:
+        for key in long:
+            del self[key]
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
 
-        return Known()
 
-    return tokenizer_files.kept(f"runs {vocabulary}", make)
+class Encoder:
+    """Ids of texts, as little-endian 32-bit numbers."""
 
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
 
-def encoded(text: bytes | None, vocabulary: str = VOCABULARY) -> bytes:
-    """The ids of a document, its end id included."""
-    known = run_ids(vocabulary)
-    return b"".join([known[run] for run in (text or b"").split()]) + END.to_bytes(4, "little")
+        self.tokenizer = Tokenizer.from_file(tokenizer_files.place(vocabulary))
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
+        self.runs, self.parts = Recent(), Recent()
+
+    def alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, which are one piece each to the tokenizer."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, "<u4") if words else np.empty(0, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return [self.alone(w) for w in words]
+        flat, stops = ids.tobytes(), (4 * stops).tolist()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _learn(self, runs: set[bytes]) -> None:
+        cut = {}
+        for run in runs:
+            text = run.decode("utf-8", "replace")
+            word = text.strip(SYMBOLS)
+            # Letters below U+0250 are composed already, and letters in lower case as well but for one.
+            if word and word.isalpha() and (word.isascii() or max(word) < "\u0250" and word.lower().isalpha()):
+                head, _, tail = text.partition(word)
+                cut[run] = (head, word.lower() if word.isascii() else word, tail)
+            else:
+                self.runs[run] = self.alone(text)
+        words = list(self.parts.unknown({word for _, word, _ in cut.values()}))
+        self.parts.update(zip(words, self._letters(words)))
+        around = self.parts.unknown({part for head, _, tail in cut.values() for part in (head, tail)})
+        self.parts.update((part, self.alone(part)) for part in around)
+        part = self.parts.__getitem__
+        self.runs.update((run, b"".join(map(part, parts))) for run, parts in cut.items())
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        split = [(t or b"").split() for t in texts]
+        new = self.runs.unknown({run for runs in split for run in runs})
+        self._learn(new)
+        ids = self.runs.__getitem__
+        out = [b"".join(map(ids, runs)) for runs in split]
+        self.runs.turn([run for run in new if len(run) > SHORT])
+        self.parts.turn([part for part in self.parts if len(part) > SHORT] if any(len(run) > SHORT for run in new) else [])
+        return out
+
+
+def encoded(texts: list[bytes | None], vocabulary: str = VOCABULARY) -> list[bytes]:
+    """The ids of the documents, their end ids included, as little-endian 32-bit numbers."""
+    encoder = tokenizer_files.kept(f"runs {vocabulary}", lambda: Encoder(vocabulary))
+    return [ids + END.to_bytes(4, "little") for ids in encoder.encode(texts)]
 
 
 def pieces(docs: DataFrame, with_ids: bool = False, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -79,8 +136,7 @@ def pieces(docs: DataFrame, with_ids: bool = False, capacity: int = CAPACITY, vo
         for batch in batches:
             numbers, texts = batch.column("doc_id"), batch.column("text").cast(pa.binary())
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for k, text in enumerate(texts):
-                whole = encoded(text.as_py(), vocabulary)
+            for k, whole in enumerate(encoded(texts.to_pylist(), vocabulary)):
                 for number, at in enumerate(range(0, len(whole), 4 * capacity)):
                     cut = whole[at : at + 4 * capacity]
                     row.append(k)

@@ -25,10 +25,26 @@ def texts():
     return [mixed(rng.choice([1, 5, 60, 700])) for _ in range(60)] + ["word " * 9000, "w" * 20_000, "", None, " \n", "́ ́"]
 
 
-def test_ids_equal_the_library(tokenizer):
-    for text in texts():
-        own = np.frombuffer(packing.encoded(None if text is None else text.encode()), "<u4").tolist()
-        assert own == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+@pytest.mark.parametrize("kept", [packing.KEPT, 3])
+def test_ids_equal_the_library(tokenizer, kept, monkeypatch):
+    """Whether runs are kept or fall out of the tables again and again."""
+    encoder = packing.Encoder(packing.VOCABULARY)
+    encoder.runs, encoder.parts = packing.Recent(kept), packing.Recent(kept)
+    some = texts()
+    for k in range(0, len(some), 7):
+        batch = some[k : k + 7]
+        got = encoder.encode([None if t is None else t.encode() for t in batch])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in batch]
+
+
+def test_runs_put_together_equal_the_library(tokenizer):
+    """Letters with symbols around them, each in a text of its own, and against neighbours that a cut might miss."""
+    rng = random.Random(7)
+    letters = ["resh", "It", "ñaÑó", "straße", "ÀÉ", "İx", "aº", "x́y", "Ĳ", "ΑΣ", "ab1", "ﬁn", "שלום", "ÿ", "ŉa", "s", "t", "re"]
+    around = ["", ".", ",", "...", "$$$", "(", ")", "'", "'s", "’", "<|endoftext|>", "-", "_", "#", "́", "1", "²", "—", "<", "|>"]
+    made = ["".join(rng.choice(around) + rng.choice(letters) + rng.choice(around) for _ in range(rng.choice([1, 1, 2]))) for _ in range(4000)]
+    got = packing.Encoder(packing.VOCABULARY).encode([t.encode() for t in made])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(made, add_special_tokens=False)]
 
 
 def best_fit(lengths, capacity, limit):
