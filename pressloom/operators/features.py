@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.functions.text import WORD
+from pressloom.functions.text import SPACE, WORD
 from pressloom.session import StepTables
 
 ANY_WORD = f"{WORD}{{2,}}"
@@ -51,6 +52,39 @@ def _with_space(a: Column, b: Column) -> Column:
     return F.concat(a, F.lit(" "), b)
 
 
+class CharGrams(NamedTuple):
+    """Character n-grams as a second block of features, beside the words, and how much that block weighs."""
+
+    weight: float = 0.5
+    ngram_range: tuple[int, int] = (3, 5)
+    min_df: int = 2
+    max_df: float = 0.8
+
+
+#: Stands before a character n-gram where it is kept among words; no word holds it.
+CHAR_MARK = "\x01"
+
+
+def characters(text: Column) -> Column:
+    """The characters of the lower-case text by code point, each run of white space of two or more as one blank."""
+    return F.regexp_extract_all(F.regexp_replace(F.lower(text), f"{SPACE}{{2,}}", " "), F.lit(r"(?s)."), F.lit(0))
+
+
+def char_ngrams(chars: Column, low: int = 3, high: int = 5) -> Column:
+    """All substrings of `low` to `high` characters; a text that is shorter than `low` has none."""
+    every = F.transform(chars, lambda c, i: i)
+    starts = lambda n: F.slice(every, 1, F.greatest(F.size(chars) - (n - 1), F.lit(0)))
+    run = lambda n: F.transform(starts(n), lambda i: F.concat(*[F.get(chars, i + j) for j in range(n)]))
+    return F.concat(*[run(n) for n in range(low, high + 1)])
+
+
+def char_counts(docs: DataFrame, doc: str, text: Column, ngram_range: tuple[int, int] = (3, 5)) -> DataFrame:
+    """(doc, term, tf) of the character n-grams of each text."""
+    cut = docs.select(doc, characters(text).alias("_chars"))
+    terms = cut.select(doc, F.explode(char_ngrams(F.col("_chars"), *ngram_range)).alias("term"))
+    return terms.groupBy(doc, "term").agg(F.count("*").alias("tf"))
+
+
 def without_words(cut: DataFrame, doc: str, stopwords: DataFrame) -> DataFrame:
     """Rows (doc, _tokens) without the words of a table (word), which may have any length: an anti join per token."""
     each = cut.select(doc, F.posexplode("_tokens").alias("_at", "word"))
@@ -98,9 +132,18 @@ def tfidf(
 
     The texts and the counts are each read more than once, so both are written down in between.
     """
+    return _weights(docs, doc, text, lambda rows: term_counts(rows, doc, F.col(text), ngram_range, stopwords), min_df, max_df)
+
+
+def char_tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text_for_cluster", ngram_range: tuple[int, int] = (3, 5), min_df: int = 2, max_df: float = 0.8) -> DataFrame:
+    """(doc, term, w) as `tfidf` gives them, over character n-grams."""
+    return _weights(docs, doc, text, lambda rows: char_counts(rows, doc, F.col(text), ngram_range), min_df, max_df)
+
+
+def _weights(docs: DataFrame, doc: str, text: str, counted: Callable[[DataFrame], DataFrame], min_df: int, max_df: float) -> DataFrame:
     steps = StepTables(docs.sparkSession, "tfidf")
     docs = steps.save(docs.select(doc, text), "texts")
-    counts = steps.save(term_counts(docs, doc, F.col(text), ngram_range, stopwords), "term-counts")
+    counts = steps.save(counted(docs), "term-counts")
     n_docs = docs.agg(F.count("*")).scalar()
     raw = counts.join(vocabulary(counts, n_docs, min_df, max_df), "term")
     raw = raw.select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.operators.components import components
-from pressloom.operators.features import term_counts, vocabulary
+from pressloom.operators.features import CHAR_MARK, CharGrams, char_counts, term_counts, vocabulary
 from pressloom.operators.similarity import BLOCK_ROWS, index_vectors, rank_terms, similar_pairs
 from pressloom.session import StepTables
 
@@ -54,16 +54,17 @@ def cosine_pairs(
     max_df: float = 0.75,
     stopwords: Sequence[str] | DataFrame = (),
     block_rows: int = BLOCK_ROWS,
+    chars: CharGrams | None = None,
 ) -> DataFrame:
     """(a, b, sim, copies_a, copies_b): headlines at a cosine distance below `threshold`.
 
     A pair is given once per two distinct texts, by their smallest document numbers, with the number of documents that
-    carry each text: copies_a times copies_b document pairs have this similarity.
+    carry each text: copies_a times copies_b document pairs have this similarity.  `chars` adds character n-grams.
     """
     steps = StepTables(docs.sparkSession, "pairs")
     texts = steps.save(distinct_texts(docs, doc, text), "texts")
     n_docs = texts.agg(F.sum("copies")).scalar()
-    vectors = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
+    vectors = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords, chars)
     min_sim = 1.0 - threshold
     vectors = steps.save(index_vectors(vectors, min_sim), "vectors")
     pairs = similar_pairs(vectors, "doc", min_sim - 1e-9, steps, block_rows)
@@ -82,21 +83,35 @@ def text_vectors(
     min_df: int,
     max_df: float,
     stopwords: Sequence[str] | DataFrame,
+    chars: CharGrams | None = None,
 ) -> DataFrame:
     """(doc, copies, signature, v) of distinct texts (doc, text, copies): TF-IDF vectors of length one.
 
-    `v` holds (tid, w) in rank order and `signature` the terms and counts it comes from.
+    `v` holds (tid, w) in rank order and `signature` the terms and counts it comes from.  With `chars` a vector is the one of
+    words beside the one of character n-grams, each of length one, the second times its weight, and the whole scaled to
+    length one; both kinds of terms stand in one vocabulary.
     """
     counts = steps.save(term_counts(texts, "doc", F.col("text"), ngram_range, stopwords), "term-counts")
     counts = counts.join(texts.select("doc", "copies"), "doc")
-    terms = rank_terms(vocabulary(counts, n_docs, min_df, max_df, copies="copies"), steps)
+    kept = vocabulary(counts, n_docs, min_df, max_df, copies="copies")
+    if chars:
+        grams = steps.save(char_counts(texts, "doc", F.col("text"), chars.ngram_range), "char-counts")
+        grams = grams.withColumn("term", F.concat(F.lit(CHAR_MARK), "term")).join(texts.select("doc", "copies"), "doc")
+        kept = kept.unionByName(vocabulary(grams, n_docs, chars.min_df, chars.max_df, copies="copies"))
+        counts = counts.unionByName(grams)
+    terms = rank_terms(kept, steps)
     found = counts.join(terms.select("term", "tid", "idf"), "term")
-    entry = F.struct("tid", "tf", (F.col("tf") * F.col("idf")).alias("w"))
+    entry = F.struct("tid", "tf", (F.col("tf") * F.col("idf")).alias("w"), F.startswith("term", F.lit(CHAR_MARK)).alias("char"))
     # One row per text: the list is bounded by the length of one headline.
     packed = found.groupBy("doc", "copies").agg(F.array_sort(F.collect_list(entry)).alias("_raw"))
-    norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    packed = packed.withColumn("_norm", norm)
-    unit = F.transform("_raw", lambda x: F.struct(x["tid"].alias("tid"), (x["w"] / F.col("_norm")).alias("w")))
+    square = lambda char: F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + F.when(x["char"] == char, x["w"] * x["w"]).otherwise(0.0))
+    packed = packed.select("*", F.sqrt(square(False)).alias("_words"), *([F.sqrt(square(True)).alias("_chars")] if chars else []))
+    scale = lambda x: F.col("_words")
+    if chars:
+        whole = F.sqrt((F.col("_words") > 0).cast("double") + F.when(F.col("_chars") > 0, chars.weight**2).otherwise(0.0))
+        packed = packed.select("*", (F.col("_words") * whole).alias("_by_word"), (F.col("_chars") * whole / chars.weight).alias("_by_char"))
+        scale = lambda x: F.when(x["char"], F.col("_by_char")).otherwise(F.col("_by_word"))
+    unit = F.transform("_raw", lambda x: F.struct(x["tid"].alias("tid"), (x["w"] / scale(x)).alias("w")))
     signature = F.transform("_raw", lambda x: F.struct(x["tid"].alias("tid"), x["tf"].alias("tf")))
     return packed.select("doc", "copies", signature.alias("signature"), unit.alias("v"))
 
@@ -112,8 +127,12 @@ def average_linkage(
     stopwords: Sequence[str] | DataFrame = (),
     block_rows: int = BLOCK_ROWS,
     component: int = COMPONENT,
+    chars: CharGrams | None = None,
 ) -> DataFrame:
-    """Adds `cluster` to `docs`: the smallest `doc` of the cluster.  `doc` must be a unique integer column."""
+    """Adds `cluster` to `docs`: the smallest `doc` of the cluster.  `doc` must be a unique integer column.
+
+    `chars` adds character n-grams to the words that headlines are compared by.
+    """
     if not 0 < threshold <= 1:
         raise ValueError("the distance threshold must be in (0, 1]")
     spark = docs.sparkSession
@@ -122,7 +141,7 @@ def average_linkage(
     # Equal texts have equal vectors, hence distance 0: they stand as one row with a count from here on.
     texts = steps.save(distinct_texts(docs, doc, text), "texts")
     n_docs = texts.agg(F.sum("copies")).scalar()
-    per_text = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords)
+    per_text = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords, chars)
     per_text = steps.save(per_text, "text-vectors")
 
     # Texts that differ only in dropped terms have equal vectors too: one vector stands for all.

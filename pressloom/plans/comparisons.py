@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressloom.operators import coverage, records
-from pressloom.plans import views
+from pressloom.operators import coverage, features, linkage, records
+from pressloom.plans import pipelines, views
 
 
 def _rounded(df, *columns):
@@ -32,4 +32,17 @@ def coverage_grid(spark, sf):
     return _rounded(coverage.coverage_grid(records.with_instant(views.clustered(spark, sf))), "running_share")
 
 
-QUERIES = {fn.__name__: fn for fn in (outlet_overlap, event_volume, first_publisher_lag, headline_lengths, coverage_grid)}
+def _frame(spark, sf):
+    return pipelines.clustering_frame(views.articles(spark, sf))
+
+
+def char_tfidf_weights(spark, sf):
+    return _rounded(features.char_tfidf(_frame(spark, sf)), "w")
+
+
+def stacked_cosine_pairs(spark, sf):
+    """Pairs by words and character n-grams together."""
+    return _rounded(linkage.cosine_pairs(_frame(spark, sf), chars=features.CharGrams()), "sim")
+
+
+QUERIES = {fn.__name__: fn for fn in (outlet_overlap, event_volume, first_publisher_lag, headline_lengths, coverage_grid, char_tfidf_weights, stacked_cosine_pairs)}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pressloom.operators.coverage import PERCENTS
-from pressloom.plans.catalog_sql import _ARTICLES, _sql, _tfidf
+from pressloom.plans.catalog_sql import _ARTICLES, _sql, _tfidf, _weights
 
 
 def comparisons_sql() -> dict[str, str]:
@@ -59,5 +59,23 @@ UNION ALL SELECT 'cell', source, NULL, count(*), count(DISTINCT cluster), NULL,
 UNION ALL SELECT 'day', NULL, NULL, count(*), count(DISTINCT cluster), NULL, NULL FROM dated WHERE day IS NULL HAVING count(*) > 0
 UNION ALL SELECT 'outlet', source, NULL, count(*), count(DISTINCT cluster), NULL, NULL FROM dated GROUP BY source
 UNION ALL SELECT 'all', NULL, NULL, count(*), count(DISTINCT cluster), NULL, NULL FROM dated""",
+    )
+    grams = f"""{_weights()},
+pieces AS (SELECT doc_id, regexp_replace(lower(title_norm_min), '\\s\\s+', ' ', 'g') AS t FROM frame),
+grams AS ({" UNION ALL ".join(f"SELECT doc_id, unnest(list_transform(range(1, length(t) - {n} + 2), lambda i: substr(t, i, {n}))) AS term FROM pieces" for n in (3, 4, 5))}),
+gram_counts AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+gram_vocab AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf
+  FROM (SELECT term, count(*) AS df FROM gram_counts GROUP BY term), (SELECT count(*) AS n FROM frame) WHERE df >= 2 AND df <= 0.8 * n),
+gram_weights AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS w
+  FROM (SELECT doc_id, term, tf * idf AS x FROM gram_counts JOIN gram_vocab USING (term)))"""
+    sql["char_tfidf_weights"] = _sql(grams, "SELECT doc_id, term, round(w, 6) AS w FROM gram_weights")
+    sql["stacked_cosine_pairs"] = _sql(
+        f"""{grams},
+beside AS (SELECT doc_id, 'w' || term AS term, w FROM weights UNION ALL SELECT doc_id, 'c' || term, 0.5 * w FROM gram_weights),
+stacked AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM beside),
+texts AS (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM frame GROUP BY title_norm_min),
+lead AS (SELECT stacked.*, copies FROM stacked JOIN texts USING (doc_id))""",
+        """SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.w * b.w), 6) AS sim, any_value(a.copies) AS copies_a, any_value(b.copies) AS copies_b
+FROM lead a JOIN lead b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id HAVING round(1 - sum(a.w * b.w), 12) < 0.83""",
     )
     return sql

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.operators import dedup, records, reports
+from pressloom.operators.features import CharGrams
 from pressloom.operators.linkage import average_linkage
 
 
@@ -50,10 +51,11 @@ def events(
     min_df: int = 2,
     max_df: float = 0.75,
     stopwords: Sequence[str] | DataFrame = (),
+    chars: CharGrams | None = None,
 ) -> DataFrame:
-    """Articles with the `cluster` they belong to."""
+    """Articles with the `cluster` they belong to; `chars` compares headlines by character n-grams as well."""
     return average_linkage(
-        frame, doc, "text_for_cluster", threshold, ngram_range, min_df, max_df, stopwords
+        frame, doc, "text_for_cluster", threshold, ngram_range, min_df, max_df, stopwords, chars=chars
     )
 
 
