@@ -1,7 +1,8 @@
 """Landed JSON files as article rows.
 
-A file is read whole and then exploded, because the arrival order inside a file decides which duplicate is "first".
-A file that is not valid JSON, or not of the expected shape, gives no rows.
+The arrival order inside a file decides which duplicate is "first", so every row has its position in its file.  Arrays are
+read by byte ranges (`json_ranges`), objects that hold an array whole.  A file that is not valid JSON, or not of the expected
+shape, gives no rows.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.schemas import ARTICLE_FIELDS
+from pressloom.sources.json_ranges import read_arrays
 
 _RECORD = "map<string,string>"
 _DAY = r"(?:\A|_)(\d{4}-\d{2}-\d{2})\z"
@@ -65,9 +67,8 @@ def read_feed_files(spark: SparkSession, folder: str, pattern: str, rank: int =
 
     `rank` orders feeds among each other; inside a feed the file name orders the files.
     """
-    files = _read_whole(spark, folder, pattern).withColumn("dt", file_day(F.col("_file")))
-    rows = explode_arrays(files.where("dt IS NOT NULL"))
-    return rows.withColumn("_file_rank", F.lit(rank))
+    rows = read_arrays(spark, folder, pattern).withColumn("dt", file_day(F.col("_file")))
+    return rows.where("dt IS NOT NULL").withColumn("_file_rank", F.lit(rank))
 
 
 def read_daily_inputs(spark: SparkSession, adapted_folder: str, raw_folder: str) -> DataFrame:
@@ -106,4 +107,4 @@ def read_json_lines(spark: SparkSession, folder: str, fields: Sequence[str], pat
 
 def read_grouped(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
     """Clustered articles kept as JSON arrays; absent fields come back as NULL."""
-    return explode_arrays(_read_whole(spark, path, "*.json"), fields).drop("extra")
+    return read_arrays(spark, path, "*.json", fields).drop("extra")
