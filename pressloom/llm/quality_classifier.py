@@ -5,13 +5,13 @@ classes, and a mark for a word that repeats its neighbour) hashed into `BITS` bi
 so the length of a text does not matter.  The score is the logistic function of a sparse dot product.
 
 Training runs FTRL-proximal over at most `MAX_TRAIN` labelled documents, those first in the order of a hash of their
-number.  Their numbers are broadcast, their vectors are built on the executors and come back to the driver, a few
-kilobytes each.  The weights, 2^BITS numbers, are broadcast, and every document is scored where it is read.
+number.  Their numbers are broadcast, their vectors are built on the executors, written down, and read by the driver: once if
+all have at most `MAX_BYTES`, else in parts in every epoch, since a very long text has a long vector.  The weights, 2^BITS numbers, are broadcast, and every document is scored where it is read.
 
 Edge cases: NULL and empty texts have no features and get the score of the bias; labels without a document, with a NULL
 number or a NULL label are not learnt from; without any label the score is 0.5; a document labelled twice is learnt with
-its smallest label; of rows that repeat a number one is learnt, that with the smallest vector, and each is scored; a NULL doc_id is scored and is not held out; other columns are kept by
-`scored` and never read.
+its smallest label; of rows that repeat a number one is learnt, that with the smallest vector, and each is scored; a NULL
+doc_id is scored and is not held out; other columns are kept by `accepted` and never read.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from pressloom.llm import common
+from pressloom.session import StepTables
 
 BITS = 18
 MAX_TRAIN = 4000
@@ -36,6 +37,9 @@ ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.05
 THRESHOLD = 0.7
 HELD_OUT_OF, HELD_OUT = 4, 2
 CACHE = 200_000
+#: Bytes of training vectors that the driver keeps, and in how many parts more than that are read.
+MAX_BYTES, PARTS = 256 << 20, 64
+_ORDER = ("part", "doc_id")
 
 _SHAPES = ((re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1"))
 _known: dict[str, tuple[int, int]] = {}
@@ -45,13 +49,14 @@ def _word(word: str) -> tuple[int, int]:
     """Hash of a word and of its shape; the worker remembers the frequent ones."""
     got = _known.get(word)
     if got is None:
-        shape = word[:64]
+        shape = word
         for pattern, by in _SHAPES:
             shape = pattern.sub(by, shape)
         got = zlib.crc32(word.encode("utf-8", "surrogatepass")), zlib.crc32(shape.encode("utf-8", "surrogatepass"), 7)
-        if len(_known) >= CACHE:
-            _known.clear()
-        _known[word] = got
+        if len(word) <= 64:  # longer ones are worked out each time
+            if len(_known) >= CACHE:
+                _known.clear()
+            _known[word] = got
     return got
 
 
@@ -83,8 +88,8 @@ def logistic(x: float) -> float:
     return 1 / (1 + math.exp(-x)) if x > -30 else math.exp(x)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """FTRL-proximal weights, the bias last; rows are taken in the given order in every epoch."""
+def fit(rows: Iterable[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
+    """FTRL-proximal weights, the bias last; rows are taken in the given order in every epoch, and may be read anew in each."""
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -127,8 +132,30 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", limit: in
 
     built = sample.mapInArrow(vectors, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, slots binary, parts binary")
     one = built.groupBy("doc_id").agg(F.min(F.struct("slots", "parts", "label")).alias("one")).select("doc_id", "one.*")  # `documents` may repeat a number
-    rows = one.orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # at most `limit` rows
-    return fit([(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["parts"], np.float32), r["label"]) for r in rows], bits)
+    saved = StepTables(docs.sparkSession, "classifier").save(one.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), "vectors")
+    return fit(_Rows(saved), bits)
+
+
+class _Rows:
+    """At most `limit` training rows, in one order.  They are kept if they have at most `MAX_BYTES`; otherwise every epoch
+    reads them again, one of `PARTS` parts at a time."""
+
+    def __init__(self, saved: DataFrame):
+        size = saved.agg(F.sum(F.octet_length("slots") + F.octet_length("parts"))).first()[0] or 0
+        self.saved, self.kept = saved, None
+        if size <= MAX_BYTES:
+            self.kept = [self._row(r) for r in saved.orderBy(*_ORDER).collect()]
+
+    @staticmethod
+    def _row(r) -> tuple[np.ndarray, np.ndarray, int]:
+        return np.frombuffer(r["slots"], np.int32), np.frombuffer(r["parts"], np.float32), r["label"]
+
+    def __iter__(self):
+        if self.kept is not None:
+            yield from self.kept
+            return
+        for part in range(PARTS):
+            yield from map(self._row, self.saved.where(F.col("part") == part).orderBy(*_ORDER).collect())
 
 
 def scorer(spark, weights: np.ndarray, bits: int = BITS) -> Callable[[Column], Column]:
