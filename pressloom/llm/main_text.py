@@ -39,6 +39,8 @@ WORD_RATE = 0.05
 PATH_BITS, WORD_BITS = 12, 12
 PATH_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 16, 6, 7, 16
 LABEL_BATCH = 64
+#: So many of the blocks around a block are told to the labeller, from the innermost on; its text is not touched.
+PATH_DEPTH = 64
 CACHE = 100_000
 
 # Elements whose text is never shown as text, elements inside a line, elements without an end tag.
@@ -46,6 +48,7 @@ HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object c
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = frozenset("head html base basefont bgsound link meta title noscript noframes style script template".split())  # what does not end an open head
+ALIKE = tuple(frozenset(kind.split()) for kind in ("li", "td th", "tr", "dt dd"))  # one ends the other
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -75,13 +78,77 @@ def _element(tag: str, rest: str) -> tuple[str, ...]:
     return tuple(names)
 
 
+class _Open:
+    """The open elements of a page, with the places of each name, so that no end tag is searched for in vain."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.outer: list[int] = []  # places of the elements that are not inside a line
+
+    def __len__(self) -> int:
+        return len(self.stack)
+
+    def last(self, *names: str) -> int:
+        """The place of the innermost open element of these names, -1 without one."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, tag: str, element: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        self.stack.append((tag, element))
+
+    def cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag, _ = self.stack.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.outer.pop()
+
+    def ended_by(self, tag: str) -> int:
+        """The place of the element that an end tag closes, -1 for none.
+
+        The end of an element inside a line does not reach past the block that it stands in, that of a paragraph not past any
+        other block, that of a list item not past its list.
+        """
+        place, outer = self.last(tag), self.outer[-1] if self.outer else -1
+        reach = outer + 1 if tag in INLINE else outer if tag == "p" else self.last("ul", "ol") if tag == "li" else 0
+        return place if place >= reach else -1
+
+    def ended_before(self, tag: str) -> int:
+        """The place of the element that the start of a block closes, -1 for none."""
+        for place in reversed(self.outer):
+            name = self.stack[place][0]
+            if name == "p" or any(tag in kind and name in kind for kind in ALIKE):
+                return place
+            if not (tag == "tr" and name in ("td", "th")):
+                return -1
+        return -1
+
+    def path(self) -> tuple[str, ...]:
+        """Features of the innermost `PATH_DEPTH` blocks around."""
+        names: list[str] = []
+        before = "-" if len(self.outer) <= PATH_DEPTH else self.stack[self.outer[-PATH_DEPTH - 1]][0]
+        for place in self.outer[-PATH_DEPTH:]:
+            tag, element = self.stack[place]
+            names += element
+            names.append(f"{before}>{tag}")
+            before = tag
+        return tuple(names) or ("-",)
+
+
 def blocks(page: str | None) -> list[Block]:
-    """The blocks of a page in order; a block's text has its references decoded and its white space joined."""
+    """The blocks of a page in order; a block's text has its references decoded and its white space joined.
+
+    The work grows with the length of the page, whatever its markup: each tag looks at a few places.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open()
     pieces: list[str] = []
-    links, inside, place = 0, 0, 0  # characters inside links; open links
+    links, place = 0, 0  # characters inside links; blocks so far
+    hidden = 0  # depth of the outermost hidden element, 0 without one
 
     def close() -> None:
         nonlocal links
@@ -89,27 +156,18 @@ def blocks(page: str | None) -> list[Block]:
             raw = "".join(pieces)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
-                names: list[str] = []
-                last = "-"
-                for tag, element in stack:
-                    if tag not in INLINE:
-                        names += element
-                        names.append(f"{last}>{tag}")
-                        last = tag
-                out.append(Block(text, tuple(names) or ("-",), links, len(stack), place))
+                out.append(Block(text, open_.path(), links, len(open_), place))
             pieces.clear()
         links = 0
 
-    def pop(index: int) -> None:
-        nonlocal inside
-        inside -= sum(tag == "a" for tag, _ in stack[index:])
-        del stack[index:]
-
-    def end_head(index: int) -> None:
+    def cut(index: int) -> None:
         nonlocal hidden
         if hidden > index:
             hidden = 0
-        pop(index)
+        open_.cut(index)
+
+    def in_head() -> bool:
+        return bool(hidden) and open_.stack[-1][0] == "head"
 
     def skip(start: int) -> int:
         """Past the end of a raw element."""
@@ -117,16 +175,15 @@ def blocks(page: str | None) -> list[Block]:
         return found.end() if found else len(page)
 
     at = 0
-    hidden = 0  # depth of the outermost hidden element, 0 without one
     while at < len(page):
         m = _MARKUP.search(page, at)
         stop = m.start() if m else len(page)
-        if hidden and stack[-1][0] == "head" and page[at:stop].strip():
-            end_head(len(stack) - 1)
+        if in_head() and page[at:stop].strip():
+            cut(len(open_) - 1)
         if stop > at and not hidden:
             piece = page[at:stop]
             pieces.append(piece)
-            links += len(piece) if inside else 0
+            links += len(piece) if open_.places.get("a") else 0
         if not m:
             break
         at = m.end()
@@ -135,25 +192,16 @@ def blocks(page: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         if m[1]:
-            if tag in INLINE or tag not in VOID:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        if tag not in INLINE:
-                            close()
-                        if hidden > k:
-                            hidden = 0
-                        pop(k)
-                        break
-                    if tag in INLINE and stack[k][0] not in INLINE:
-                        break
-                    if tag == "p" or (tag == "li" and stack[k][0] in ("ul", "ol")):
-                        if stack[k][0] not in INLINE:
-                            break
+            ended = open_.ended_by(tag)
+            if ended >= 0:
+                if tag not in INLINE:
+                    close()
+                cut(ended)
             continue
-        if hidden and stack[-1][0] == "head" and tag not in HEAD:
-            end_head(len(stack) - 1)
-        elif hidden and tag == "body" and "head" in (names := [name for name, _ in stack]) and "template" not in names:
-            end_head(names.index("head"))
+        if in_head() and tag not in HEAD:
+            cut(len(open_) - 1)
+        elif hidden and tag == "body" and open_.places.get("head") and not open_.places.get("template"):
+            cut(open_.places["head"][0])
         if tag in RAW and not (tag == "noscript"):
             if tag not in INLINE:
                 close()
@@ -165,20 +213,14 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in INLINE:
             close()
             place += 1
-            for k in range(len(stack) - 1, -1, -1):
-                open_tag = stack[k][0]
-                if open_tag == "p" or (tag == "li" and open_tag == "li") or (tag in ("td", "th") and open_tag in ("td", "th")) or (tag == "tr" and open_tag == "tr") or (tag in ("dt", "dd") and open_tag in ("dt", "dd")):
-                    pop(k)
-                    break
-                if open_tag not in INLINE and not (tag in ("tr",) and open_tag in ("td", "th")):
-                    break
+            ended = open_.ended_before(tag)
+            if ended >= 0:
+                open_.cut(ended)
         if tag in VOID:
             continue
-        stack.append((tag, _element(tag, m[3].strip().rstrip("/"))))
-        if tag == "a":
-            inside += 1
+        open_.push(tag, _element(tag, m[3].strip().rstrip("/")))
         if tag in HIDDEN_TAGS and not hidden:
-            hidden = len(stack)
+            hidden = len(open_)
     close()
     return out
 
@@ -517,7 +559,7 @@ def fit(pages: DataFrame, limit: int = MAX_PAGES) -> Weights:
 
     @F.pandas_udf(StringType())
     def excerpt(htmls: pd.Series) -> pd.Series:
-        return pd.Series(["\n".join(b.text[:400] for b in blocks(h)[:40]) for h in htmls], dtype=object)
+        return pd.Series(["\n".join(b.text for b in blocks(h)) for h in htmls], dtype=object)
 
     rows = some.select("page_id", excerpt(common.whole("html")).alias("t")).orderBy(F.xxhash64("page_id"), "page_id", "t").limit(limit).collect()
     weights = train(list(examples([line for r in rows for line in r["t"].split("\n")])))
