@@ -1,8 +1,10 @@
 """WARC derivatives: each response record gives a linked metadata record and a plain-text conversion record.
 
 A record is a row: `warc_type`, `record_id`, `target_uri`, `warc_date`, `headers` (all named fields, in a map) and `block`
-(bytes).  Derivatives name the response in WARC-Refers-To, repeat its target, date, payload digest and HTTP content type,
-and carry digests of their own blocks.  Their ids follow from the response's id, so a second run, or a task that runs
+(bytes); a field that a record repeats has its values on lines of its own in the map.  Derivatives name the response in
+WARC-Refers-To, repeat its target and date, carry digests of their own blocks, and preserve its headers: every WARC field as
+it is where it also holds for them (`SHARED`), else under WARC-Source-; the metadata record lists every HTTP field, in order
+and with repeats.  Their ids follow from the response's id, so a second run, or a task that runs
 again, makes the same records.
 
 `responses` wraps fetched pages as response records, `derive` builds the derivatives in one pass over the responses without
@@ -23,7 +25,7 @@ import html as entities
 import io
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,7 @@ RECORD = "warc_type string, record_id string, target_uri string, warc_date strin
 #: Name spaces of the derivatives' ids.
 METADATA, CONVERSION = uuid.uuid5(uuid.NAMESPACE_URL, "warc:metadata"), uuid.uuid5(uuid.NAMESPACE_URL, "warc:conversion")
 #: Fields of the response that its derivatives repeat under their own names.
-KEPT = ("WARC-IP-Address", "WARC-Warcinfo-ID", "WARC-Payload-Digest", "WARC-Block-Digest")
+SHARED = ("WARC-IP-Address", "WARC-Warcinfo-ID")
 _LINK = re.compile(rb"<(a|img|link|script|iframe|area|form)\b[^>]*?\s(href|src|action)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _CHARSET = re.compile(rb"charset=[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
@@ -68,17 +70,32 @@ def responses(pages: DataFrame, fetched: str = "2024-01-01T00:00:00Z") -> DataFr
     )
 
 
-def _http(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """Status line, header fields (lower-case names) and payload of an HTTP response."""
+def _fields(lines: Iterable[str]) -> list[tuple[str, str]]:
+    """Names and values of header lines, in order; a line that begins with white space goes on with the value before."""
+    out: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = out[-1][0], f"{out[-1][1]} {line.strip()}".strip()
+        else:
+            name, _, value = line.partition(":")
+            out.append((name.strip(), value.strip()))
+    return out
+
+
+def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """Status line, header fields and payload of an HTTP response."""
     if not block.startswith(b"HTTP/"):
-        return "", {}, block
+        return "", [], block
     head, _, payload = block.partition(b"\r\n\r\n")
-    lines = head.decode("iso-8859-1").split("\r\n")
-    fields = {}
-    for line in lines[1:]:
-        name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
-    return lines[0], fields, payload
+    status, *lines = head.decode("iso-8859-1").split("\r\n")
+    return status, _fields(lines), payload
+
+
+def _source_name(name: str) -> str:
+    """Under which name a derivative carries a WARC field of its response."""
+    if name in SHARED:
+        return name
+    return "WARC-Source-" + (name.removeprefix("WARC-") if name.startswith("WARC-") else f"Record-{name}")
 
 
 def _decoded(payload: bytes, content_type: str) -> str:
@@ -99,14 +116,16 @@ def plain_text(payload: bytes, content_type: str) -> str:
 
 def _derivatives(record_id: str | None, target: str | None, date: str | None, headers: dict[str, str], block: bytes) -> Iterator[dict]:
     status, fields, payload = _http(block)
-    kind = fields.get("content-type", "")
+    kind = next((value for name, value in fields if name.lower() == "content-type"), "")
     links = []
     for m in _LINK.finditer(payload) if "html" in kind or not kind else ():
         value = entities.unescape((m[3] or m[4] or m[5] or b"").decode("utf-8", "replace"))
         links.append(f"outlink: {' '.join(value.split())} {m[1].decode().lower()}/@{m[2].decode().lower()}")
     stated = headers.get("WARC-Payload-Digest")
     actual = digest(payload)
-    lines = [f"http-status: {status.split(' ')[1] if status.count(' ') else ''}", f"http-content-type: {kind}", f"payload-length: {len(payload)}", f"payload-digest: {actual}", *links]
+    lines = [f"http-status: {status.split(' ')[1] if status.count(' ') else ''}", f"http-content-type: {kind}", f"payload-length: {len(payload)}", f"payload-digest: {actual}"]
+    lines += [f"http-header: {name}: {value}" for name, value in fields]
+    lines += links
     source = record_id or digest(block)
     for warc_type, space, content_type, own in (
         ("metadata", METADATA, "application/warc-fields", "".join(f"{line}\r\n" for line in lines).encode("utf-8", "replace")),
@@ -115,7 +134,7 @@ def _derivatives(record_id: str | None, target: str | None, date: str | None, he
         named = {"WARC-Refers-To": record_id, "WARC-Refers-To-Target-URI": target, "WARC-Refers-To-Date": date}
         if warc_type == "conversion":
             named["WARC-Source-Content-Type"] = kind
-        named |= {f"{'WARC-Source-' if 'Digest' in k else ''}{k.removeprefix('WARC-') if 'Digest' in k else k}": headers[k] for k in KEPT if headers.get(k)}
+        named |= {_source_name(k): v for k, v in headers.items() if v and k != "Content-Length"}
         named |= {"Content-Type": content_type, "WARC-Block-Digest": digest(own), "Content-Length": str(len(own))}
         yield {
             "warc_type": warc_type,
@@ -168,7 +187,8 @@ def write(records: DataFrame, path: str) -> None:
         field("WARC-Target-URI", F.col("target_uri")),
         field("WARC-Date", F.col("warc_date")),
     ]
-    more = F.transform(F.array_sort(F.map_entries(own)), lambda e: F.concat(e["key"], F.lit(": "), clean(e["value"])))
+    values = lambda e: F.transform(F.split(e["value"], "\n", -1), lambda v: F.concat(e["key"], F.lit(": "), clean(v)))
+    more = F.flatten(F.transform(F.array_sort(F.map_entries(own)), values))
     length = F.concat(F.lit("Content-Length: "), F.coalesce(F.octet_length("block"), F.lit(0)).cast("string"))
     lines = F.concat(F.array(F.lit(VERSION)), F.filter(F.array(*named), lambda x: x.isNotNull()), more, F.array(length))
     text = F.concat(F.array_join(lines, "\r\n"), F.lit("\r\n\r\n"), F.coalesce(F.decode("block", "UTF-8"), F.lit("")))
@@ -184,10 +204,12 @@ def parse(data: bytes) -> Iterator[dict]:
             return
         if not line.startswith(b"WARC/"):
             continue
-        named: dict[str, str] = {}
+        lines = []
         while (line := stream.readline().rstrip(b"\r\n")) != b"":
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            named[name.strip()] = value.strip()
+            lines.append(line.decode("utf-8", "replace"))
+        named: dict[str, str] = {}
+        for name, value in _fields(lines):
+            named[name] = f"{named[name]}\n{value}" if name in named else value
         block = stream.read(int(named.pop("Content-Length", "0") or 0))
         yield {
             "warc_type": named.pop("WARC-Type", None),
@@ -200,7 +222,7 @@ def parse(data: bytes) -> Iterator[dict]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all WARC files below `path`, plain or gzip; a task reads a file at a time."""
+    """Records of all WARC files below `path`, plain or gzip; a task reads a file at a time, of at most 2 GB."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -54,6 +54,24 @@ def test_odd_records(spark):
     assert {r["payload_intact"] for r in got if r["headers"].get("WARC-Refers-To") == "<urn:uuid:2>"} == {None}
 
 
+def test_all_source_headers_are_preserved(spark, tmp_path):
+    """Every field of a response that was read from a file, also repeated and folded ones, reaches its derivatives."""
+    http = b"HTTP/1.1 200 OK\r\nLast-Modified: Mon, 1 Jan 2024\r\nETag: \"x\"\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one\r\n two\r\nContent-Type: text/html\r\n\r\n<p>t</p>"
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:7>\r\nWARC-Truncated: length\r\nWARC-Concurrent-To: <urn:a>\r\nWARC-Concurrent-To: <urn:b>\r\nWARC-IP-Address: 1.2.3.4\r\nContent-Type: application/http\r\n"
+    (tmp_path / "one.warc").write_bytes(head + b"Content-Length: %d\r\n\r\n" % len(http) + http + b"\r\n\r\n")
+    made = warc.derive(warc.read(spark, str(tmp_path / "one.warc")))
+    warc.write(made, str(tmp_path / "out"))
+    for rows in (made.collect(), warc.read(spark, str(tmp_path / "out")).collect()):
+        assert len(rows) == 2
+        for r in rows:
+            assert r["headers"]["WARC-Source-Truncated"] == "length" and r["headers"]["WARC-IP-Address"] == "1.2.3.4"
+            assert r["headers"]["WARC-Source-Concurrent-To"].split("\n") == ["<urn:a>", "<urn:b>"]
+            assert r["headers"]["WARC-Source-Record-Content-Type"] == "application/http"
+        text = next(bytes(r["block"]).decode() for r in rows if r["warc_type"] == "metadata")
+        want = ['Last-Modified: Mon, 1 Jan 2024', 'ETag: "x"', "Set-Cookie: a=1", "Set-Cookie: b=2", "X-Long: one two", "Content-Type: text/html"]
+        assert [line.removeprefix("http-header: ") for line in text.split("\r\n") if line.startswith("http-header: ")] == want
+
+
 def test_files_round_trip(spark, tmp_path):
     made = warc.derive(warc.responses(pages(spark)))
     warc.write(made, str(tmp_path / "out"))
