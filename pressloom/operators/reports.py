@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import blank_if_null
@@ -214,8 +214,32 @@ def top_summaries(df: DataFrame, k: int = 20) -> DataFrame:
     return counted.orderBy(F.desc("n"), "source", "summary").limit(k)
 
 
-def stage_counts(loaded: DataFrame, kept: DataFrame, day: str = "dt") -> DataFrame:
-    """Rows per day before and after duplicates are dropped."""
-    before = loaded.groupBy(day).agg(F.count("*").alias("loaded"))
-    after = kept.groupBy(day).agg(F.count("*").alias("kept"))
-    return before.join(after, day, "left").select(day, "loaded", F.coalesce("kept", F.lit(0)).alias("kept"))
+def stage_counts(loaded: DataFrame, day: str = "dt", key: str = "record_key") -> DataFrame:
+    """Rows per day before and after duplicates are dropped, in one pass: a row per key and day is what is kept."""
+    per_key = loaded.groupBy(day, key).agg(F.count("*").alias("n"))
+    return per_key.groupBy(day).agg(F.sum("n").alias("loaded"), F.count("*").alias("kept"))
+
+
+def counted(df: DataFrame, seen: Observation, day: str = "dt") -> DataFrame:
+    """`df`, with its `rows` and `undated` rows counted into `seen` by whatever job reads it.
+
+    The counts cost no job and no second look at the input.  Put it where the rows pass once: on what is read, or behind the
+    last exchange, since a range partitioning looks at its input twice.
+    """
+    return df.observe(seen, F.count("*").alias("rows"), F.count(F.when(F.col(day).isNull(), 1)).alias("undated"))
+
+
+def running_places(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Adds `place`, from 1 on, in the order of the given columns, which must be total.
+
+    Rows are range-partitioned, sorted and written down with a running number; a place is that number less the first one of
+    its range, plus what the earlier ranges hold.  No task gets more than a range, whatever values repeat, and the windows
+    run over one row per range.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = StepTables(df.sparkSession, "places").save(ranged.withColumn("_range", F.shiftright("_at", 33)), "ranged")
+    heads = ranged.groupBy("_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # one row per range
+    heads = heads.select("_range", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return ranged.join(F.broadcast(heads), "_range").select(*df.columns, place.alias("place"))

@@ -235,8 +235,7 @@ def dedup_url_keep_blank(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    p = _canonical(spark, sf)
-    return reports.stage_counts(p, dedup.keep_first_by_record_key(p))
+    return reports.stage_counts(_canonical(spark, sf))
 
 
 def _canonical(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pressloom.functions import timestamps
@@ -11,7 +11,7 @@ from pressloom.plans import pipelines, views
 from pressloom.schemas import ARTICLE_FIELDS
 from pressloom.session import StepTables
 from pressloom.sinks import writers
-from pressloom.sources import html_pages, json_files, tables
+from pressloom.sources import feeds, html_pages, json_files, tables
 
 DAY = "2025-08-12"
 STOPWORDS = ("the", "and", "of", "to", "in", "la", "de")
@@ -30,6 +30,20 @@ def _land_texts(rows: DataFrame, folder: str) -> None:
     rows.repartition("bucket", "name").write.mode("overwrite").partitionBy("bucket", "name").text(folder)
 
 
+def _land_named(rows: DataFrame, folder: str) -> None:
+    """As `_land_texts`, and each file gets its name; the files of one name stand in different folders."""
+    _land_texts(rows, folder)
+    spark = rows.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            place = path.getParent()
+            fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(place, place.getName().partition("=")[2]))
+
+
 def _packed(rows: DataFrame, name: Column, fields=(*FEED_FIELDS, "doc_id"), wrap: str | None = None) -> DataFrame:
     """(bucket, name, value): up to FILE_DOCS records of a name as a JSON array, or as an object that holds it."""
     record = F.struct(*fields)
@@ -49,9 +63,8 @@ def landed_feed_files(spark, sf):
     a = views.articles(spark, sf)
     day = F.when(F.col("doc_id") % 7 == 0, F.lit("undated")).otherwise(F.date_format("dt", "yyyy-MM-dd"))
     folder = _folder(spark, "feeds")
-    _land_texts(_packed(a, F.concat(F.lit("n12_rss_"), day, F.lit(".json"))), folder)
-    files = _by_folder(spark, folder, F.col("name")).withColumn("dt", json_files.file_day(F.col("_file")))
-    rows = json_files.explode_arrays(files.where("dt IS NOT NULL"))
+    _land_named(_packed(a, F.concat(F.lit("n12_rss_"), day, F.lit(".json"))), folder)
+    rows = json_files.read_feed_files(spark, folder, "n12_rss_*.json")
     return rows.select(F.col("extra")["doc_id"].cast("long").alias("doc_id"), "title", "url", "published", "dt", "_pos")
 
 
@@ -150,20 +163,65 @@ def landed_run_stats(spark, sf):
     return stats.select("articles", "clusters", "singletons", F.round("pct_singletons", 6).alias("pct_singletons"), F.col("params.threshold").alias("threshold"))
 
 
-def landed_post_csv(spark, sf):
-    """Grouped articles as JSON arrays, post-processed, the summary written as CSV and read back."""
+def _post(spark, sf) -> dict[str, DataFrame]:
     c = views.clustered(spark, sf)
     folder = _folder(spark, "grouped")
     fields = ("cluster_id", "title", "url", "source", "published_dt", "scraped_at", "doc_id")
-    _land_texts(_packed(c, F.concat(F.lit("combined_"), (F.col("cluster") % 10).cast("string"), F.lit(".json")), fields), folder)
-    grouped = json_files.explode_arrays(_by_folder(spark, folder, F.col("name")), fields)
-    grouped = grouped.withColumn("cluster_id", F.col("cluster_id").cast("long")).withColumn("_pos", F.col("doc_id").cast("long")).drop("extra", "_file")
+    _land_named(_packed(c, F.concat(F.lit("combined_"), (F.col("cluster") % 10).cast("string"), F.lit(".json")), fields), folder)
+    grouped = json_files.read_grouped(spark, folder, fields)
+    grouped = grouped.withColumn("cluster_id", F.col("cluster_id").cast("long")).withColumn("_pos", F.col("doc_id").cast("long")).drop("_file")
+    return pipelines.postprocess(grouped)
+
+
+def landed_post_csv(spark, sf):
+    """Grouped articles as JSON arrays, post-processed, the summary written as CSV and read back."""
     out = _folder(spark, "post")
-    writers.write_csv(pipelines.postprocess(grouped)["clusters_summary"], out)
+    writers.write_csv(_post(spark, sf)["clusters_summary"], out)
     back = tables.read_clustered_csv(spark, out)
     return back.select(F.col("cluster_id").cast("long").alias("cluster_id"), F.col("size").cast("long").alias("size"), "repr_title", "repr_source")
 
 
+def landed_post_articles_csv(spark, sf):
+    """The article list of the same run, by cluster, as CSV read back."""
+    out = _folder(spark, "post-articles")
+    writers.write_csv(_post(spark, sf)["articles_by_cluster"], out)
+    back = tables.read_clustered_csv(spark, out)
+    return back.select(F.col("cluster_id").cast("long").alias("cluster_id"), "title", "url", "source", "published_dt", "scraped_at")
+
+
+def landed_scraped(spark, sf):
+    """Scraped files by day, read for the adapter, with their labels resolved."""
+    e = views.labelled_events(spark, sf).select(F.col("event_id").alias("doc_id"), F.col("label").alias("published"), "scraped_at", F.col("event_id").alias("_pos"))
+    rows = e.withColumns({c: F.lit(None).cast("string") for c in ("title", "summary", "url")}).withColumn("source", F.lit("c14"))
+    folder = _folder(spark, "scraped")
+    _land_named(_packed(rows, F.concat(F.lit("c14_scraped_"), F.substring("scraped_at", 1, 10), F.lit(".json"))), folder)
+    adapted = records.adapt(json_files.read_scraped(spark, folder))
+    return adapted.select(F.col("extra")["doc_id"].cast("long").alias("event_id"), "published", "published_iso", "dt")
+
+
+def landed_daily(spark, sf):
+    """The daily run over landed files: adapted and raw arrays by day, read, processed, written by day and read back."""
+    a = views.articles(spark, sf)
+    day = F.concat(F.date_format("dt", "yyyy-MM-dd"), F.lit(".json"))
+    adapted, raw = _folder(spark, "daily-adapted"), _folder(spark, "daily-raw")
+    _land_named(_packed(a.where("doc_id % 2 = 0"), F.concat(F.lit("c14_adapted_"), day)), adapted)
+    _land_named(_packed(a.where("doc_id % 2 = 1"), F.concat(F.lit("n12_rss_"), day)), raw)
+    landed = json_files.read_daily_inputs(spark, adapted, raw).withColumn("_pos", F.col("extra")["doc_id"].cast("long"))
+    folder = _folder(spark, "daily")
+    writers.write_days(pipelines.daily(landed.drop("extra")), folder)
+    back = spark.read.json(folder)
+    return back.select(F.col("_pos").alias("doc_id"), "title", "url", "source", "record_key", F.col("dt").cast("date").alias("dt"), F.col("_file_rank").cast("int").alias("feed"))
+
+
+def landed_rss(spark, sf):
+    """Articles as RSS files, written and read by row tag, and taken in as raw articles."""
+    a = views.articles(spark, sf)
+    items = a.select("title", F.col("url").alias("link"), F.col("published").alias("pubDate"), F.lit(None).cast("string").alias("shortDescription"), F.col("summary").alias("description"))
+    folder = _folder(spark, "rss")
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(folder)
+    return feeds.n12_articles(feeds.read_rss_items(spark, folder), F.lit("2025-08-24T12:00:00+03:00"))
+
+
 def landed_dedup_json(spark, sf):
     """The legacy run: first row of each key, as JSON."""
     a = views.articles(spark, sf).withColumn("published_iso", F.col("published"))
@@ -194,10 +252,10 @@ def distinct_sources(spark, sf):
 
 
 def union_of_feeds(spark, sf):
-    """Two feeds of the same days as one: adapted before raw, so the adapted row is the first of its key."""
+    """Two feeds of the same days as one, which share some rows: adapted before raw, so the adapted row is the first of its key."""
     a = views.articles(spark, sf)
     first = a.where("doc_id % 2 = 0").withColumn("_file_rank", F.lit(0))
-    second = a.where("doc_id % 3 = 0").withColumn("_file_rank", F.lit(1)).withColumn("title", F.concat(F.lit("raw "), "title"))
+    second = a.where("doc_id % 2 = 1 OR doc_id % 3 = 0").withColumn("_file_rank", F.lit(1)).withColumn("title", F.concat(F.lit("raw "), "title"))
     both = second.unionByName(first, allowMissingColumns=True)
     return pipelines.daily(both).select("doc_id", "dt", "title", F.col("_file_rank").alias("feed"))
 
@@ -218,10 +276,11 @@ def pulled_field(spark, sf):
 
 
 def niqqud_titles(spark, sf):
-    """Texts in composed and decomposed forms with vowel points, and their normal and minimal forms."""
+    """Headlines between words with vowel points, in composed and decomposed forms, and their normal and minimal forms."""
     from pressloom.functions import text
 
-    pointed = F.concat(F.lit("שָׁלוֹם "), F.substring("source", 1, 3), F.when(F.col("doc_id") % 2 == 0, F.lit(" café")).otherwise(F.lit(" café")), F.lit(" מִלְחָמָה"))
+    headline = F.coalesce(F.regexp_extract("text", r"\A[^.\n]*", 0), F.lit(""))
+    pointed = F.concat(F.lit("שָׁלוֹם "), headline, F.when(F.col("doc_id") % 2 == 0, F.lit(" café")).otherwise(F.lit(" café")), F.lit(" מִלְחָמָה"))
     rows = views.table(spark, sf, "documents").select("doc_id", pointed.alias("title"))
     return rows.select("doc_id", text.normalize_text(F.col("title")).alias("normal"), text.norm_min(F.col("title")).alias("minimal"))
 
@@ -272,17 +331,18 @@ def full_text_frame(spark, sf):
 
 def ranked_in_time(spark, sf):
     """The time order with each row's rank, so that the order itself is in the result."""
-    from pyspark.sql import Window
-
     a = records.with_instant(views.articles(spark, sf))
-    spread = a.select("doc_id", "_dt", *[c for c in dedup.ARRIVAL if c in a.columns])
-    by_day = spread.withColumn("_day", F.to_date("_dt"))
-    counts = by_day.groupBy("_day").agg(F.count("*").alias("n"))
-    before = Window.orderBy(F.asc_nulls_first("_day")).rowsBetween(Window.unboundedPreceding, -1)  # one row per day
-    offsets = counts.select(F.col("_day").alias("_d"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("_day").orderBy(F.asc_nulls_first("_dt"), *dedup.arrival_order(a)))
-    ranked = by_day.withColumn("_in", inside).join(offsets, F.col("_day").eqNullSafe(F.col("_d")))
-    return ranked.select("doc_id", timestamps.utc_iso(F.col("_dt")).alias("utc"), (F.col("offset") + F.col("_in")).alias("rank"))
+    ranked = pipelines.ranked_in_time(a.select("doc_id", "_dt", *[c for c in dedup.ARRIVAL if c in a.columns]))
+    return ranked.select("doc_id", timestamps.utc_iso(F.col("_dt")).alias("utc"), F.col("place").alias("rank"))
+
+
+def observed_counts(spark, sf):
+    """What the daily run has read and kept, counted while it writes its result."""
+    loaded, kept = Observation(), Observation()
+    processed = pipelines.daily(reports.counted(views.articles(spark, sf), loaded))
+    writers.write_days(processed.drop("doc_id"), _folder(spark, "observed"), written=kept)
+    rows = [("loaded", *loaded.get.values()), ("kept", *kept.get.values())]
+    return spark.createDataFrame(rows, "stage string, rows long, undated long")
 
 
 QUERIES = {
@@ -291,5 +351,6 @@ QUERIES = {
         landed_feed_files, landed_json_lines, landed_wrapped_files, landed_processed_day, landed_processed_other_days, landed_adapted, landed_raw, landed_clustered_csv,
         landed_cluster_summary_csv, landed_clusters_json, landed_run_stats, landed_post_csv, landed_dedup_json, landed_preview_csv, landed_stopwords, distinct_sources, union_of_feeds,
         union_of_payloads, daily_run, tfidf_stopword_table, default_columns, pulled_field, niqqud_titles, many_headlines, full_text_frame, ranked_in_time,
+        observed_counts, landed_post_articles_csv, landed_scraped, landed_daily, landed_rss,
     )
 }

@@ -61,6 +61,27 @@ WINDOW w AS (PARTITION BY cluster ORDER BY published NULLS LAST, doc_id)""",
         _ARTICLES,
         f"""SELECT cluster AS cluster_id, count(*) AS size, first(title {_REPRESENTATIVE}) AS repr_title, first(source {_REPRESENTATIVE}) AS repr_source
 FROM articles GROUP BY cluster""",
+    )
+    sql["landed_post_articles_csv"] = _sql(_ARTICLES, "SELECT cluster AS cluster_id, title, url, source, published AS published_dt, scraped_at FROM articles")
+    sql["landed_scraped"] = _sql(
+        _LABELS,
+        f"""SELECT event_id, CASE WHEN is_label THEN s ELSE '' END AS published,
+  CASE WHEN is_label THEN coalesce(strftime(t, {_SECOND}) || '+03:00', '') ELSE '' END AS published_iso, CAST(now AS DATE) AS dt FROM strict""",
+    )
+    sql["landed_daily"] = _sql(
+        keyed,
+        f"""SELECT doc_id, {_normal('title')} AS title, can AS url, source, record_key, dt, CAST(doc_id % 2 AS INTEGER) AS feed FROM keyed
+{_FIRST.format('dt, record_key', 'doc_id % 2, doc_id')}""",
+    )
+    sql["landed_rss"] = _sql(
+        _ARTICLES,
+        f"""SELECT title, coalesce(summary, '') AS summary, coalesce(url, '') AS url, published, CASE WHEN doc_id % 3 = 1 THEN {_UTC} ELSE '' END AS published_iso,
+  'n12' AS source, '2025-08-24T12:00:00+03:00' AS scraped_at FROM articles""",
+    )
+    sql["observed_counts"] = _sql(
+        keyed,
+        """SELECT 'loaded' AS stage, count(*) AS rows, CAST(0 AS BIGINT) AS undated FROM keyed
+UNION ALL SELECT 'kept', count(*), CAST(0 AS BIGINT) FROM (SELECT DISTINCT dt, record_key FROM keyed)""",
     )
     day = "coalesce(strftime(dt_pub, '%Y-%m-%d'), 'no-date')"
     sections = "('אוכל', 'תרבות', 'חדשות', 'דעה', 'ספורט', 'בעולם')"
@@ -75,13 +96,13 @@ FROM articles GROUP BY cluster""",
     sql["union_of_feeds"] = _sql(
         keyed,
         f"""SELECT doc_id, dt, {_normal("t")} AS title, CAST(feed AS INTEGER) AS feed FROM (
-  SELECT *, title AS t, 0 AS feed FROM keyed WHERE doc_id % 2 = 0 UNION ALL SELECT *, 'raw ' || title AS t, 1 AS feed FROM keyed WHERE doc_id % 3 = 0)
+  SELECT *, title AS t, 0 AS feed FROM keyed WHERE doc_id % 2 = 0 UNION ALL SELECT *, 'raw ' || title AS t, 1 AS feed FROM keyed WHERE doc_id % 2 = 1 OR doc_id % 3 = 0)
 {_FIRST.format("dt, record_key", "feed, doc_id")}""",
     )
     sql["union_of_payloads"] = _sql(_ARTICLES, "SELECT doc_id, title, source FROM articles UNION ALL SELECT doc_id, title, source FROM articles")
     sql["default_columns"] = "SELECT doc_id, source, '' AS title, CAST(NULL AS VARCHAR) AS url FROM documents"
     sql["pulled_field"] = _sql(_ARTICLES, "SELECT published FROM articles")
-    pointed = "'שָׁלוֹם ' || substr(source, 1, 3) || CASE WHEN doc_id % 2 = 0 THEN ' café' ELSE ' café' END || ' מִלְחָמָה'"
+    pointed = r"'שָׁלוֹם ' || coalesce(regexp_extract(text, '^[^.\n]*', 0), '') || CASE WHEN doc_id % 2 = 0 THEN ' café' ELSE ' café' END || ' מִלְחָמָה'"
     bare = r"regexp_replace(nfc_normalize(title), '[\x{0591}-\x{05C7}]', '', 'g')"
     sql["niqqud_titles"] = f"SELECT doc_id, {_normal('title')} AS normal, {_norm_min(bare)} AS minimal FROM (SELECT doc_id, {pointed} AS title FROM documents)"
     page = "doc_id // 4000 * 40 + doc_id % 40"

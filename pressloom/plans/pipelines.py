@@ -39,6 +39,11 @@ def in_time_order(frame: DataFrame) -> DataFrame:
     return frame.orderBy(F.asc_nulls_first("_dt"), *dedup.arrival_order(frame))
 
 
+def ranked_in_time(frame: DataFrame) -> DataFrame:
+    """The frame with each row's `place` in time, undated rows first."""
+    return reports.running_places(frame, [F.asc_nulls_first("_dt"), *dedup.arrival_order(frame)])
+
+
 def oldest(frame: DataFrame, n: int) -> DataFrame:
     return in_time_order(frame).limit(n)
 

@@ -39,9 +39,13 @@ def local_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, one below the warehouse, which executors share as well."""
+    """The folder in spark.checkpoint.dir.  Only a session of one machine may leave that unset; it gets one below its warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return found or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
 
 
 def close_steps() -> None:

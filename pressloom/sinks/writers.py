@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pressloom.operators.reports import counted
+
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "emptyValue": ""}
 _ARRIVAL = ("_file", "_file_rank", "_pos")
 
 
-def write_days(df: DataFrame, path: str, keys: tuple[str, ...] = ("dt",)) -> None:
+def write_days(df: DataFrame, path: str, keys: tuple[str, ...] = ("dt",), written: Observation | None = None) -> None:
     """JSON lines, one folder per day (and source, if asked); days that are not in `df` keep their files.
 
     Rows are range-partitioned by day and arrival, so a day is written by few tasks, a heavy day by several, in order.
-    The arrival columns stay, so that "first" and "latest" mean the same after reading back.
+    The arrival columns stay, so that "first" and "latest" mean the same after reading back.  `written` gets the counts of
+    `reports.counted`, from the run that writes.
     """
     order = [*keys, *[c for c in _ARRIVAL if c in df.columns]]
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if written is not None:
+        ordered = counted(ordered, written, keys[0])
     writer = ordered.write.partitionBy(*keys).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.json(path)
 

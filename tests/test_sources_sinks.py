@@ -250,3 +250,47 @@ def test_preview_and_pull_field(spark):
     assert [r.url for r in reports.preview(df, "cluster").collect()] == ["u2", "u1", "u3", "u4"]
     order = dedup.arrival_order(df)
     assert [r.url for r in reports.cluster_samples(df, order, k=2).orderBy("_pos").collect()] == ["u1", "u2", "u4"]
+
+
+def test_counts_come_from_the_run_that_writes(spark, tmp_path):
+    """One look at the source: what is read and what is kept are counted on the way, by day in one pass as well."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from pressloom.operators import dedup, reports
+
+    spark.range(300).selectExpr("id AS _pos", "concat('k', id % 70) AS record_key", "if(id % 70 < 9, NULL, date'2025-08-11') AS dt").repartition(5).write.parquet(str(tmp_path / "in"))
+    seen = spark.sparkContext.accumulator(0)
+    source = spark.read.parquet(str(tmp_path / "in"))
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    loaded, kept = Observation(), Observation()
+    read = reports.counted(source.mapInArrow(look, source.schema), loaded)
+    writers.write_days(dedup.keep_first_by_record_key(read), str(tmp_path / "out"), written=kept)
+    assert seen.value == 300
+    assert (loaded.get, kept.get) == ({"rows": 300, "undated": 45}, {"rows": 70, "undated": 9})
+    plan = reports.stage_counts(source)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+    by_day = {r["dt"] and str(r["dt"]): (r["loaded"], r["kept"]) for r in reports.stage_counts(source).collect()}
+    assert by_day == {None: (45, 9), "2025-08-11": (255, 61)}
+    assert reports.stage_counts(source.where(F.lit(False))).collect() == []
+
+
+def test_places_do_not_depend_on_ranges(spark):
+    """A value that most rows share is cut into ranges like any other."""
+    from pyspark.sql import functions as F
+
+    from pressloom.operators import reports
+
+    rows = spark.range(2000).selectExpr("if(id % 5 > 0, NULL, id % 7) AS _dt", "id AS _pos").repartition(7)
+    for parts in ("1", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = reports.running_places(rows, [F.asc_nulls_first("_dt"), F.col("_pos")]).collect()
+        want = sorted(((r["_dt"] is not None, r["_dt"] or 0, r["_pos"]) for r in got))
+        assert [(r["_dt"] is not None, r["_dt"] or 0, r["_pos"]) for r in sorted(got, key=lambda r: r["place"])] == want
+        assert sorted(r["place"] for r in got) == list(range(1, 2001))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
