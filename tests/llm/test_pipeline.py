@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressloom.llm import catalog, personal_data, quality_classifier, simhash, tokenizer_files
@@ -15,6 +16,11 @@ def plain_words(text):
     return "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in lower).split(" ")
 
 
+def plain_set(text):
+    w = (text or "").lower().split()
+    return frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     """Good and bad texts with labels, copies, near copies, benchmark passages and personal data."""
@@ -33,6 +39,12 @@ def tables(spark, tmp_path_factory):
         rows.append((k, text, "en", f"s{k % 3}", len(text)))
         labels.append((k, int(k % 4 != 1), 0))
     rows += [(300 + k, rows[10 * k][1], "en", "s", None) for k in range(5)] + [(400, rows[0][1] + " end", None, None, 3), rows[0]]
+    for k in (0, 2, 8):
+        words = (rows[k][1] + " " + good(20)).split()
+        rows.append((600 + k, " ".join(words), "en", "s", None))
+        for at in (20, 60, 100):
+            words[at] = "other" + str(at)
+        rows.append((700 + k, " ".join(words), "en", "s", None))
     rows += [(500, None, None, None, None), (501, "", "en", "s", 0)]
     place = tmp_path_factory.mktemp("tables")
     write = lambda data, schema, name: spark.createDataFrame(data, schema).coalesce(2).write.parquet(f"{place}/{name}.parquet")
@@ -46,7 +58,7 @@ def test_stages_do_what_plain_versions_do(spark, tables):
     sf_dir, rows, items = tables
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
-    states = []
+    states, docs_schema = [], docs.schema
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir).cache()
         if name != corpus_pipeline.STAGES[-1][0]:
@@ -65,15 +77,17 @@ def test_stages_do_what_plain_versions_do(spark, tables):
     assert {k for k in range(160) if k % 4 == 1}.isdisjoint(r["doc_id"] for r in accepted)
     assert {k for k in range(160) if k % 4 != 1} <= {r["doc_id"] for r in accepted}
 
-    marks = [(r["doc_id"], simhash.fingerprint(r["text"]) & (2**64 - 1)) for r in accepted]
-    group = list(range(len(marks)))
-    for i in range(len(marks)):
-        for j in range(i):
-            if (marks[i][1] ^ marks[j][1]).bit_count() <= 4:
+    sets = [(r["doc_id"], plain_set(r["text"])) for r in accepted]
+    group = list(range(len(sets)))
+    for i, (_, x) in enumerate(sets):
+        for j, (_, y) in enumerate(sets[:i]):
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
                 old, new = group[i], group[j]
                 group = [new if g == old else g for g in group]
-    firsts = {min(m[0] for m, g in zip(marks, group) if g == one) for one in set(group)}
+    firsts = {min(m[0] for m, g in zip(sets, group) if g == one) for one in set(group)}
     assert sorted(r["doc_id"] for r in single) == sorted(firsts)
+    # The texts tell this rule from that of four SimHash bits.
+    assert sorted(firsts) != sorted(r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(accepted, docs_schema)).collect())
 
     windows = {tuple(w[k : k + 10]) for w in ([x for x in plain_words(t) if x] for t in items) for k in range(max(len(w) - 9, 1))}
     hit = lambda text: any(tuple(w[k : k + 10]) in windows for w in [[x for x in plain_words(text) if x]] for k in range(len(w)))
@@ -104,5 +118,33 @@ def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(catalog.SQL) <= set(catalog.QUERIES)
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels", "benchmark"])
+def test_empty_tables(spark, tables, tmp_path, empty):
+    """Without labels every document has the score of a half, so none is accepted; without a benchmark all are clean."""
+    sf_dir, rows, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        source = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        source.where("false" if name == empty else "true").write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(got) == (empty == "benchmark")
+    if got:
+        whole = {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()}
+        assert whole < {r["doc_id"] for r in got}
+
+
+def test_columns_with_the_stages_own_names(spark, tables):
+    """Every column goes through all stages, whatever it is called."""
+    sf_dir, _, _ = tables
+    names = ["score", "mark", "kept", "fp", "row", "root", "none", "id", "bytes", "length", "label", "at"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).cache()
+        assert set(names) <= set(docs.columns)
+    assert all(r[n] == f"{n} of {r['doc_id']}" for r in docs.where("doc_id IS NOT NULL").collect() for n in names)
+    assert docs.count()
