@@ -11,9 +11,11 @@ until one group is left; so at most `OPEN` sequences in all are left to chance,
 Rows carry lengths and digests, no tokens.  Each level is a written table, so a lost task is run again alone.
 
 Encoding.  The tokenizer cuts at white space before anything else, so each run between ASCII spaces, tabs and line ends is
-encoded by itself, and a worker keeps the ids of short runs it has seen.  It also cuts between letters and symbols, so a run
-of letters with symbols around it is put together of those; the new letter parts of a batch are encoded in one call, one to a
-line, and each ends at the first id that ends a word.  Any other new run is encoded alone.
+encoded by itself, and a worker keeps the ids of short runs it has seen.  It also cuts between letters and symbols, so full
+stops and commas behind letters become runs of their own, and a run of letters with other symbols around it is put together
+of those.  A-Z become lower case first, as the tokenizer does, in texts where nothing can compose with them.  The new runs of
+letters of a batch are encoded in one call, one to a line, and each ends at the first id that ends a word.  Any other new run
+is encoded alone.
 
 Edge cases: NULL and empty texts are the end id alone; repeated rows and doc_ids are packed row by row, pieces counted from 0
 in each; a NULL doc_id is carried through; an empty table gives no rows; other columns are never looked at.  Sequence numbers
@@ -22,7 +24,9 @@ are unique, but neither dense nor the same from run to run.
 
 from __future__ import annotations
 
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -41,6 +45,8 @@ VOCABULARY = "word_bpe_49k.json"
 SHORT, KEPT = 64, 300_000
 #: Symbols that stand apart from letters in the tokenizer's cut, whatever is beside them.
 SYMBOLS = ".,;:!?#$%&*()[]{}-_+=/@~^\""
+_STOP = re.compile(rb"[.,](?<=[a-z][.,])(?=[ \n])")
+_BEYOND = re.compile("[\u0250-\U0010ffff]")
 
 
 class Recent(dict):
@@ -57,7 +63,7 @@ class Recent(dict):
         self.update((k, self.older[k]) for k in back)
         return away - back
 
-    def turn(self, long: list) -> None:
+    def turn(self, long: set) -> None:
         for key in long:
             del self[key]
         if len(self) > self.limit:
@@ -77,49 +83,62 @@ class Encoder:
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
-        self.runs, self.parts = Recent(), Recent()
+        self.runs, self.long = Recent(), []
 
     def alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, words: list[str]) -> list[bytes]:
+    def _letters(self, words: list[bytes]) -> list[bytes]:
         """The ids of words of letters, which are one piece each to the tokenizer."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, "<u4") if words else np.empty(0, "<u4")
+        lines = b"\n".join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4") if words else np.empty(0, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
-            return [self.alone(w) for w in words]
+            return [self.alone(w.decode()) for w in words]
         flat, stops = ids.tobytes(), (4 * stops).tolist()
         return [flat[a:b] for a, b in zip([0, *stops], stops)]
 
     def _learn(self, runs: set[bytes]) -> None:
-        cut = {}
+        words, cut = [], {}
         for run in runs:
+            if run.isalpha():  # ASCII letters only
+                words.append(run)
+                continue
             text = run.decode("utf-8", "replace")
             word = text.strip(SYMBOLS)
             # Letters below U+0250 are composed already, and letters in lower case as well but for one.
-            if word and word.isalpha() and (word.isascii() or max(word) < "\u0250" and word.lower().isalpha()):
-                head, _, tail = text.partition(word)
-                cut[run] = (head, word.lower() if word.isascii() else word, tail)
-            else:
+            if not word or not word.isalpha() or not (word.isascii() or max(word) < "\u0250" and word.lower().isalpha()):
                 self.runs[run] = self.alone(text)
-        words = list(self.parts.unknown({word for _, word, _ in cut.values()}))
-        self.parts.update(zip(words, self._letters(words)))
-        around = self.parts.unknown({part for head, _, tail in cut.values() for part in (head, tail)})
-        self.parts.update((part, self.alone(part)) for part in around)
-        part = self.parts.__getitem__
-        self.runs.update((run, b"".join(map(part, parts))) for run, parts in cut.items())
+            elif word == text:
+                words.append(run)
+            else:
+                head, _, tail = text.partition(word)
+                cut[run] = (head.encode(), word.encode(), tail.encode())
+        # What a run is put together of is known, or is encoded with the others.
+        parts = self.runs.unknown({part for parts in cut.values() for part in parts}.difference(words))
+        words += [part for part in parts if part[:1].isalpha() or part[:1] > b"\x7f"]
+        self.runs.update((part, self.alone(part.decode())) for part in parts.difference(words))
+        self.runs.update(zip(words, self._letters(words)))
+        ids = self.runs.__getitem__
+        self.runs.update([(run, b"".join(map(ids, parts))) for run, parts in cut.items()])
+        self.long = [run for run in (*words, *parts, *runs) if len(run) > SHORT]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
-        new = self.runs.unknown({run for runs in split for run in runs})
-        self._learn(new)
+        split = [_plain(t or b"").split() for t in texts]
+        self._learn(self.runs.unknown(set(chain.from_iterable(split))))
         ids = self.runs.__getitem__
         out = [b"".join(map(ids, runs)) for runs in split]
-        self.runs.turn([run for run in new if len(run) > SHORT])
-        self.parts.turn([part for part in self.parts if len(part) > SHORT] if any(len(run) > SHORT for run in new) else [])
+        self.runs.turn({*self.long})
         return out
 
 
+def _plain(text: bytes) -> bytes:
+    """The text in lower case and with its stops apart, where that changes no id."""
+    if b"<|" in text or not (text.isascii() or not _BEYOND.search(text.decode("utf-8", "replace"))):
+        return text
+    return _STOP.sub(rb" \g<0>", text.lower())
+
+
 def encoded(texts: list[bytes | None], vocabulary: str = VOCABULARY) -> list[bytes]:
     """The ids of the documents, their end ids included, as little-endian 32-bit numbers."""
     encoder = tokenizer_files.kept(f"runs {vocabulary}", lambda: Encoder(vocabulary))

@@ -29,7 +29,7 @@ def texts():
 def test_ids_equal_the_library(tokenizer, kept, monkeypatch):
     """Whether runs are kept or fall out of the tables again and again."""
     encoder = packing.Encoder(packing.VOCABULARY)
-    encoder.runs, encoder.parts = packing.Recent(kept), packing.Recent(kept)
+    encoder.runs = packing.Recent(kept)
     some = texts()
     for k in range(0, len(some), 7):
         batch = some[k : k + 7]
@@ -43,6 +43,7 @@ def test_runs_put_together_equal_the_library(tokenizer):
     letters = ["resh", "It", "ñaÑó", "straße", "ÀÉ", "İx", "aº", "x́y", "Ĳ", "ΑΣ", "ab1", "ﬁn", "שלום", "ÿ", "ŉa", "s", "t", "re"]
     around = ["", ".", ",", "...", "$$$", "(", ")", "'", "'s", "’", "<|endoftext|>", "-", "_", "#", "́", "1", "²", "—", "<", "|>"]
     made = ["".join(rng.choice(around) + rng.choice(letters) + rng.choice(around) for _ in range(rng.choice([1, 1, 2]))) for _ in range(4000)]
+    made += ["It. The, RESH.\nÑA, a.b, x.. y.,", "J\u030c It.", "<|STARTOFTEXT|> It. a,", "It.\x0b The, a.\t", ". , .a ,b"]
     got = packing.Encoder(packing.VOCABULARY).encode([t.encode() for t in made])
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(made, add_special_tokens=False)]
 
