@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from pressloom.functions.text import SPACE, WORD
 from pressloom.session import StepTables
 
 ANY_WORD = f"{WORD}{{2,}}"
+#: Characters of the clusters whose terms are ranked in a group of their own.
+CLUSTER_CHARS = 8_000_000
 HEBREW_WORD = r"\A[א-ת]{2,}\z"
 
 
@@ -159,40 +165,67 @@ def cluster_top_terms(
     max_df: float = 0.95,
     word: str = HEBREW_WORD,
     ngram_range: tuple[int, int] = (1, 2),
+    chars: int = CLUSTER_CHARS,
 ) -> DataFrame:
     """(cluster, rank, term, weight): the terms with the highest mean weight over the documents of each cluster.
 
     Frequencies are those inside the cluster, from title and summary; ties go to the smaller term.
 
-    A document is one row, so its terms are counted inside the row, and a term travels as a 64-bit number.  Only the
-    candidates for the first `k` places get their text back, from a second look at the articles.
+    A cluster of at most `chars` characters is worked out in a group of its own, so its texts travel once.  A larger one is
+    spread over the tasks: its terms are counted inside the rows and travel with the words they consist of.
     """
-    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
-    cut = articles.select(cluster, words(text, only=word).alias("_tokens"))
-    listed = cut.select(cluster, ngrams(F.col("_tokens"), *ngram_range).alias("_terms"))
-    hs, n = F.col("_hs"), F.size("_hs")
-    sorted_terms = listed.select(cluster, F.sort_array(F.transform("_terms", lambda t: F.xxhash64(t))).alias("_hs"))
-    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(hs, i) != F.get(hs, i - 1))))
-    runs = sorted_terms.withColumn("_row", F.monotonically_increasing_id()).withColumn("_starts", starts)
-    tf = lambda i, k: F.coalesce(F.get("_starts", k + 1), n) - i
-    pairs = F.transform("_starts", lambda i, k: F.struct(F.get(hs, i).alias("h"), tf(i, k).alias("tf")))
-    each = runs.select(cluster, "_row", F.explode(pairs).alias("_pair"))
     steps = StepTables(articles.sparkSession, "top-terms")
-    counts = steps.save(each.select(cluster, "_row", "_pair.h", "_pair.tf"), "counts")
-
-    sizes = articles.groupBy(cluster).agg(F.count("*").alias("n"))
-    found = counts.groupBy(cluster, "h").agg(F.count("*").alias("df"))
-    kept = found.join(sizes, cluster).where(F.col("df") <= F.lit(max_df) * F.col("n"))
-    kept = kept.withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0)
-    raw = counts.join(kept, [cluster, "h"]).select(cluster, "_row", "h", "n", (F.col("tf") * F.col("idf")).alias("w"))
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
+    rows = articles.where(F.col(cluster).isNotNull()).select(F.col(cluster).alias("cluster"), text.alias("_text"))
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.char_length("_text")).alias("chars"))
+    sizes = steps.save(sizes, "sizes")
+    cut = rows.select("cluster", words(F.col("_text"), only=word).alias("_tokens"))
+    small = cut.join(sizes.where(F.col("chars") <= chars).select("cluster"), "cluster")
+    kind = articles.schema[cluster].dataType.simpleString()
+    ranked = small.groupBy("cluster").applyInPandas(_ranked_terms(k, max_df, ngram_range), f"cluster {kind}, rank int, term string, weight double")
+    large = sizes.where(F.col("chars") > chars).select("cluster", "n")
+    if not large.isEmpty():
+        ranked = ranked.unionByName(_spread_top_terms(cut.join(large, "cluster"), k, max_df, ngram_range, steps))
+    return ranked.withColumnRenamed("cluster", cluster)
+
+
+def _ranked_terms(k: int, max_df: float, ngram_range: tuple[int, int]):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        n = len(group)
+        counts = []
+        for tokens in group["_tokens"]:
+            tokens, found = tokens.tolist(), Counter()
+            for size in range(ngram_range[0], ngram_range[1] + 1):
+                found.update(tokens if size == 1 else map(" ".join, zip(*(tokens[j:] for j in range(size)))))
+            counts.append(found)
+        df = Counter(t for found in counts for t in found)
+        idf = {t: math.log((1.0 + n) / (1.0 + d)) + 1.0 for t, d in df.items() if d <= max_df * n}
+        total: Counter = Counter()
+        for found in counts:
+            raw = {t: tf * idf[t] for t, tf in found.items() if t in idf}
+            norm = math.sqrt(math.fsum(w * w for w in raw.values()))
+            for t, w in raw.items():
+                total[t] += w / norm
+        best = heapq.nsmallest(k, ((-round(w / n, 9), t) for t, w in total.items()))
+        columns = {"rank": range(1, len(best) + 1), "term": pd.Series([t for _, t in best], dtype=object), "weight": pd.Series([-w for w, _ in best], dtype="float64")}
+        named = pd.DataFrame(columns)
+        named.insert(0, "cluster", group["cluster"].iloc[0])
+        return named
+
+    return run
+
+
+def _spread_top_terms(cut: DataFrame, k: int, max_df: float, ngram_range: tuple[int, int], steps: StepTables) -> DataFrame:
+    """The same for clusters of any size; `cut` has cluster, n (its rows) and _tokens."""
+    numbered = cut.select("cluster", "n", "_tokens", F.monotonically_increasing_id().alias("_row"))
+    each = numbered.select("cluster", "n", "_row", F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
+    counts = steps.save(each.groupBy("cluster", "n", "_row", "term").agg(F.count("*").alias("tf")), "counts")
+    kept = counts.groupBy("cluster", "term").agg(F.count("*").alias("df"), F.max("n").alias("n")).where(F.col("df") <= F.lit(max_df) * F.col("n"))
+    kept = kept.select("cluster", "term", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    raw = counts.join(kept, ["cluster", "term"]).select("cluster", "n", "_row", "term", (F.col("tf") * F.col("idf")).alias("w"))
     # A window over one document, which bounds its rows.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
-    scaled = raw.select(cluster, "h", "n", (F.col("w") / norm).alias("w"))
-    mean = scaled.groupBy(cluster, "h").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
-    by_weight = Window.partitionBy(cluster).orderBy(F.desc("weight"))
-    best = mean.withColumn("_place", F.rank().over(by_weight)).where(F.col("_place") <= k).select(cluster, "h", "weight")
-    best = steps.save(best, "candidates")
-    spelled = listed.select(cluster, F.explode("_terms").alias("term")).withColumn("h", F.xxhash64("term"))
-    named = spelled.join(best, [cluster, "h"]).groupBy(cluster, "term", "weight").agg(F.lit(1).alias("_one")).drop("_one")
-    ranked = named.withColumn("rank", F.row_number().over(Window.partitionBy(cluster).orderBy(F.desc("weight"), "term")))
-    return ranked.where(F.col("rank") <= k).select(cluster, "rank", "term", "weight")
+    scaled = raw.select("cluster", "n", "term", (F.col("w") / norm).alias("w"))
+    mean = scaled.groupBy("cluster", "term").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
+    place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), "term"))
+    return mean.withColumn("rank", place).where(F.col("rank") <= k).select("cluster", "rank", "term", "weight")

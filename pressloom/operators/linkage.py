@@ -12,7 +12,7 @@ and end in the same clusters as one merge at a time.
 Clusters in different connected components of the close pairs never meet.  A component of at most `COMPONENT` clusters
 and `ENTRIES` vector entries is therefore finished on its own, in one group of bounded size, whatever else is left; the groups of all components run
 side by side.  Larger components go on by rounds, which merge clusters and lose pairs, until they have become small enough
-or have fallen apart.  Components are looked up every fourth round.
+or have fallen apart.  Components are looked up first and then after every fourth round.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def _merge_rounds(
 ) -> DataFrame | None:
     """(old, new) for every vector that ended in the cluster of another one."""
     merges: list[DataFrame] = []
-    rounds, look = 0, 4
+    rounds, look = 0, 0
     while not edges.isEmpty():
         if rounds == look:
             look += 4

@@ -77,13 +77,17 @@ def _clean(x: str) -> str:
 _DECORATED = """CASE doc_id % 5 WHEN 0 THEN 'צפו: ' || title WHEN 1 THEN title || ' | N12'
   WHEN 2 THEN title || ' - ערוץ 14' WHEN 3 THEN 'ב-12:30 ' || title || ' 1,250' ELSE title END"""
 
-_FRAME = f"""
+def _frame(base: str = "articles") -> str:
+    return f"""
 frame AS (
-  SELECT doc_id, source, t AS title_norm_min FROM (SELECT *, {_norm_min("title")} AS t FROM articles) WHERE t <> ''
+  SELECT doc_id, source, t AS title_norm_min FROM (SELECT *, {_norm_min("title")} AS t FROM {base}) WHERE t <> ''
   QUALIFY row_number() OVER (PARTITION BY source, t ORDER BY dt_pub DESC NULLS LAST, doc_id DESC) = 1
 )"""
 
 
+_FRAME = _frame()
+
+
 def _tfidf(source: str, key: str, text: str, high: int, stop: tuple[str, ...] = ()) -> str:
     """CTEs tokens, terms and counts over `source`; `key` may be several columns."""
     drop = ", ".join(f"'{w}'" for w in stop) or "''"
@@ -101,8 +105,9 @@ terms AS ({grams}),
 counts AS (SELECT {key}, term, count(*) AS tf FROM terms GROUP BY ALL)"""
 
 
-def _weights(high: int = 2, stop: tuple[str, ...] = ()) -> str:
-    return f"""{_ARTICLES}, {_FRAME}, {_tfidf("frame", "doc_id", "title_norm_min", high, stop)},
+def _weights(high: int = 2, stop: tuple[str, ...] = (), base: str = "articles") -> str:
+    before = _ARTICLES if base == "articles" else f"{_ARTICLES}, {_CANONICAL}, {base} AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY dt, record_key ORDER BY doc_id) = 1)"
+    return f"""{before}, {_frame(base)}, {_tfidf("frame", "doc_id", "title_norm_min", high, stop)},
 vocab AS (
   SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf
   FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), (SELECT count(*) AS n FROM frame)
@@ -114,6 +119,43 @@ weights AS (
 )"""
 
 
+def _linked(base: str = "articles") -> str:
+    """CTEs up to events(doc_id, cluster): average linkage at a cosine distance of 0.83 over the frame of `base`.
+
+    A round is one step of the recursion: its rows are the sums of similarities between clusters (kind 0: a, b, s and both
+    sizes) and the members of each cluster (kind 1: a in b, weight na).  All clusters that are each other's nearest merge, and
+    the sums of the merged ones add up, since the mean over a merged cluster is the mean over its parts' members.
+    """
+    return f"""{_weights(base=base)},
+texts AS (SELECT title_norm_min, min(doc_id) AS doc_id, count(*) AS copies FROM frame GROUP BY title_norm_min),
+signed AS (SELECT doc_id, string_agg(term || chr(1) || tf, chr(2) ORDER BY term) AS signature
+  FROM counts JOIN vocab USING (term) JOIN texts USING (doc_id) GROUP BY doc_id),
+vectors AS (SELECT signature, min(doc_id) AS v, CAST(sum(copies) AS DOUBLE) AS n FROM signed JOIN texts USING (doc_id) GROUP BY signature),
+first_sums AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.w * b.w) * any_value(x.n) * any_value(y.n) AS s, any_value(x.n) AS na, any_value(y.n) AS nb
+  FROM weights a JOIN vectors x ON x.v = a.doc_id JOIN weights b ON a.term = b.term AND a.doc_id < b.doc_id JOIN vectors y ON y.v = b.doc_id GROUP BY a.doc_id, b.doc_id),
+rounds(round, kind, a, b, s, na, nb) AS (
+  SELECT 0, 0, a, b, s, na, nb FROM first_sums UNION ALL SELECT 0, 1, v, v, 0.0, n, 0.0 FROM vectors
+  UNION ALL
+  (WITH near AS (
+    SELECT c, min(e) AS e FROM (
+      SELECT unnest([a, b]) AS c, {{'d': round(1 - s / (na * nb), 12), 'a': a, 'b': b}} AS e FROM rounds WHERE kind = 0)
+    WHERE e.d < 0.83 GROUP BY c),
+  moved AS (SELECT e.b AS old, e.a AS new FROM near GROUP BY e HAVING count(*) = 2),
+  members AS (SELECT r.a, coalesce(m.new, r.b) AS b, r.na FROM rounds r LEFT JOIN moved m ON r.b = m.old WHERE kind = 1),
+  sizes AS (SELECT b AS c, sum(na) AS n FROM members GROUP BY b),
+  sums AS (
+    SELECT least(x, y) AS a, greatest(x, y) AS b, sum(s) AS s FROM (
+      SELECT coalesce(p.new, r.a) AS x, coalesce(q.new, r.b) AS y, r.s
+      FROM rounds r LEFT JOIN moved p ON r.a = p.old LEFT JOIN moved q ON r.b = q.old WHERE kind = 0)
+    WHERE x <> y GROUP BY ALL),
+  now AS (SELECT max(round) + 1 AS round FROM rounds)
+  SELECT now.round, 0, sums.a, sums.b, s, i.n, j.n FROM sums JOIN sizes i ON i.c = a JOIN sizes j ON j.c = b, now WHERE EXISTS (FROM moved)
+  UNION ALL SELECT now.round, 1, a, b, 0.0, na, 0.0 FROM members, now WHERE EXISTS (FROM moved))),
+ends AS (SELECT a AS v, b AS cluster FROM rounds WHERE kind = 1 AND round = (SELECT max(round) FROM rounds)),
+events AS (SELECT frame.doc_id, frame.source, coalesce(ends.cluster, frame.doc_id) AS cluster
+  FROM frame JOIN texts USING (title_norm_min) LEFT JOIN signed ON signed.doc_id = texts.doc_id LEFT JOIN vectors USING (signature) LEFT JOIN ends USING (v))"""
+
+
 _LABELS = """
 labelled AS (
   SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+03:00' AS scraped_at, ts AS now,
@@ -313,6 +355,13 @@ lead AS (SELECT weights.*, copies FROM weights JOIN texts USING (doc_id))""",
   any_value(a.copies) AS copies_a, any_value(b.copies) AS copies_b
 FROM lead a JOIN lead b ON a.term = b.term AND a.doc_id < b.doc_id
 GROUP BY a.doc_id, b.doc_id HAVING round(1 - sum(a.w * b.w), 12) < 0.83""",
+    )
+    sql["event_clusters"] = _sql(f"RECURSIVE {_linked()}", "SELECT doc_id, source, cluster FROM events")
+    sql["events_overview"] = _sql(
+        f"RECURSIVE {_linked('kept')}",
+        f"""SELECT cluster, count(*) AS cluster_size, array_to_string(list_sort(list(DISTINCT source) FILTER (WHERE source <> ''))[1:5], ', ') AS sources,
+  first({_normal("title")} ORDER BY dt_pub ASC NULLS FIRST, doc_id) FILTER (WHERE title IS NOT NULL) AS example_title
+FROM (SELECT e.cluster, e.source, k.title, k.dt_pub, k.doc_id FROM events e JOIN kept k USING (doc_id)) GROUP BY cluster""",
     )
     sql["cluster_sizes"] = _sql(
         f"{_ARTICLES}, {sizes}", "SELECT doc_id, cluster, cluster_size FROM articles JOIN sizes USING (cluster)"

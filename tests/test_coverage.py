@@ -181,3 +181,32 @@ def test_stacked_pairs_and_clusters(spark):
     assert got == pytest.approx(want) and len(want) > 3
     grouped = {r["doc_id"]: r["cluster"] for r in linkage.average_linkage(docs, threshold=0.6, chars=features.CharGrams()).collect()}
     assert grouped[0] == grouped[len(texts) - 1] == grouped[1] == 0 and len(set(grouped.values())) > 3
+
+
+def test_cluster_terms_in_groups_and_spread(spark):
+    """Clusters ranked in one group each, spread over the tasks, and some of both: the same terms."""
+    rng = random.Random(3)
+    word = ["alpha", "beta", "gamma", "delta", "x", "été", "בית"]
+    rows = [(k, [1, 1, 1, 2, 3, None][k % 6], " ".join(rng.choice(word) for _ in range(rng.randrange(9))) if k % 7 else None, "alpha beta" if k % 3 else "") for k in range(90)]
+    rows += [(90, 4, "only", ""), (91, 5, "", None)]
+    articles = spark.createDataFrame(rows, "doc_id long, cluster int, title string, summary string").repartition(4)
+
+    def ranked(chars):
+        got = features.cluster_top_terms(articles, k=4, word=r"\A[\p{L}]{2,}\z", chars=chars).collect()
+        return sorted((r["cluster"], r["rank"], r["term"], round(r["weight"], 8)) for r in got)
+
+    want = []
+    for c in (1, 2, 3, 4, 5):
+        texts = [[w for w in re.findall(r"\w{2,}", f"{t or ''} {s or ''}".lower()) if w.isalpha()] for _, d, t, s in rows if d == c]
+        counts = [Counter(t) + Counter(map(" ".join, zip(t, t[1:]))) for t in texts]
+        df = Counter(t for x in counts for t in x)
+        idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in df.items() if n <= 0.95 * len(texts)}
+        total = Counter()
+        for x in counts:
+            raw = {t: n * idf[t] for t, n in x.items() if t in idf}
+            for t, w in raw.items():
+                total[t] += w / math.sqrt(sum(v * v for v in raw.values()))
+        best = sorted((-round(w / len(texts), 9), t) for t, w in total.items())[:4]
+        want += [(c, k + 1, t, round(-w, 8)) for k, (w, t) in enumerate(best)]
+    sizes = 900
+    assert ranked(10**6) == ranked(0) == ranked(sizes) == want and len(want) >= 12

@@ -27,7 +27,7 @@ def duck():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"event_clusters", "events_overview"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
