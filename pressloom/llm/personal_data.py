@@ -2,10 +2,12 @@
 
 Base spans are what the patterns of the contract match.  The field adds spans: secrets (keys, passwords, tokens) and spans
 of the base kinds in forms that the patterns do not know.  A candidate segment is a run of up to `MOST_TOKENS` tokens that
-holds a digit or an @; its features look at the whole span (shape, length, digits, checksums, letters) and at its
-neighbours.  The score of a labelling is the sum over its segments, so one dynamic programme, bounded by the longest
-segment, picks boundaries and kinds together.  A token without digit and @ outside all candidates is plain text under every
-labelling; so only windows around such tokens go through the programme, which gives the result of a run over the whole text.
+holds a digit or an @, or that a credential's name and an equals sign or colon stand before; and, whatever its length, all
+that is left of a stretch without white space, from its start or from behind its first equals sign or colon.  Its features
+look at the whole span (shape, length, digits, checksums, letters) and at its neighbours.  The score of a labelling is the
+sum over its segments, so one dynamic programme picks boundaries and kinds together.  A token outside all candidates is plain
+text under every labelling; so only windows go through the programme, which reach as far around a digit, an @ or a
+credential's name as a candidate and its neighbours can; this gives the result of a run over the whole text.
 
 The weights are trained by maximum likelihood (forward-backward over segments) on sentences made by a rule: invented words
 around entities of each kind, and numbers that are none (dates, versions, prices, times, counts).  Training takes a fixed
@@ -23,6 +25,7 @@ import math
 import random
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -40,7 +43,7 @@ KINDS = (*BASE_KINDS, "secret")
 MOST_TOKENS = 12
 AROUND = 4
 BITS = 15
-SENTENCES, EPOCHS, RATE, DECAY, SEED = 900, 5, 0.5, 1e-4, 5
+SENTENCES, EPOCHS, RATE, DECAY, SEED = 1500, 5, 0.5, 1e-4, 5
 CACHE = 20_000
 
 Span = tuple[str, int, int]
@@ -97,23 +100,32 @@ def base_spans(text: str) -> list[Span]:
 # --- windows and candidate segments
 
 _TOKEN = re.compile(r"[^\W_]+|[^\s]")
-_TRIGGER = re.compile(r"[^\s]*[0-9@][^\s]*")
+_NAMED = re.compile(r"(?:pass(?:word|wd|phrase)?|secret|token|key)[\"']?\s?[=:]\s?[\"']?\Z", re.I)
+_TRIGGER = re.compile(r"[0-9@]|(?i:pass(?:word|wd|phrase)?|secret|token|key)[\"']?\s?[=:]\s?[\"']?(?=\S)")
+_PIECE = re.compile(r"\S+")
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Character ranges around everything with a digit or @: some words before and after, joined where they meet."""
+    """Character ranges around everything that may be in a candidate, joined where they meet.
+
+    They hold whole stretches without white space: of those before, so many that they have `MOST_TOKENS` tokens and the
+    `AROUND` that features look at, and of those behind `MOST_TOKENS`; a stretch has one token at least.
+    """
     out: list[tuple[int, int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = m.span()
-        for _ in range(AROUND):
-            a = max(text.rfind(" ", 0, max(a - 1, 0)) + 1, a - 80, 0)
-        for _ in range(AROUND):
-            stop = text.find(" ", b + 1)
-            b = min(stop if stop >= 0 else len(text), b + 80, len(text))
+    pieces: list[tuple[int, int]] | None = None
+    at, place = 0, 0
+    while m := _TRIGGER.search(text, at):
+        if pieces is None:
+            pieces = [p.span() for p in _PIECE.finditer(text)]
+        start = m.start() if text[m.start()] in "0123456789@" else m.end()
+        place = bisect_right(pieces, (start, len(text)), lo=place) - 1
+        low, high = max(place - MOST_TOKENS - AROUND, 0), min(place + MOST_TOKENS, len(pieces) - 1)
+        a, b = pieces[low][0], pieces[high][1]
         if out and a <= out[-1][1]:
             out[-1] = out[-1][0], max(b, out[-1][1])
         else:
             out.append((a, b))
+        at = max(pieces[place][1], m.end())  # the rest of the stretch is in the same window
     return out
 
 
@@ -166,6 +178,18 @@ def candidates(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]],
     """Token ranges of a window, candidate segments (first and last token) and the feature numbers of each."""
     tokens = [m.span() for m in _TOKEN.finditer(text)]
     marked = [any("0" <= c <= "9" or c == "@" for c in text[a:b]) for a, b in tokens]
+    # The last token of each stretch that a segment may end with, and where the value in the stretch starts.
+    last, value = [0] * len(tokens), [False] * len(tokens)
+    first = 0
+    for k, (_, end) in enumerate(tokens):
+        if k + 1 == len(tokens) or tokens[k + 1][0] > end:
+            stop = next((j for j in range(k, first - 1, -1) if text[tokens[j][1] - 1].isalnum()), first)
+            last[first : k + 1] = [stop] * (k + 1 - first)
+            opens = [j for j in range(first, k + 1) if text[tokens[j][0]].isalnum()]
+            behind = next((j for j in range(first, k) if text[tokens[j][0]] in "=:"), k)
+            for j in (*opens[:1], *[j for j in opens if j > behind][:1]):
+                value[j] = True
+            first = k + 1
     segments, features = [], []
     for i, (start, _) in enumerate(tokens):
         if not (text[start].isalnum() or text[start] in "+("):
@@ -175,17 +199,20 @@ def candidates(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]],
         words = [text[a:b].lower() for a, b in tokens[max(i - 4, 0) : i] if text[a].isalpha()]
         assigned = [text[a:b] for a, b in tokens[max(i - 3, 0) : i] if text[a:b] in "=:"]
         before = f"{words[-1]}{assigned[-1]}" if words and assigned else ""
+        named = bool(assigned) and bool(_NAMED.search(text, max(start - 40, 0), start))
+        ends = list(range(i, min(i + MOST_TOKENS, len(tokens))))
+        if value[i] and last[i] > ends[-1]:
+            ends.append(last[i])
         seen = False
-        for j in range(i, min(i + MOST_TOKENS, len(tokens))):
-            seen = seen or marked[j]
+        for j in ends:
+            seen = seen or marked[j] or named or j - i >= MOST_TOKENS and any(marked[i : j + 1])
             end = tokens[j][1]
-            if end - start > 120:
-                break
             if not seen or not text[end - 1].isalnum():
                 continue
             right = _shape(text[end]) if end < len(text) and not text[end].isspace() else " "
             segments.append((i, j))
-            names = _features(text, start, end, before, left, right, j - i + 1)
+            names = _features(text, start, end, before, left, right, min(j - i, MOST_TOKENS) + 1)
+            names += [f"whole {value[i] and j == last[i]} {before}", f"named {named} {j == last[i]}"]
             features.append([zlib.crc32(f"{k} {n}".encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for k, n in enumerate(names)])
     return tokens, segments, np.array(features, dtype=np.int64)
 
@@ -311,7 +338,22 @@ def sentences(count: int = SENTENCES, seed: int = SEED) -> list[tuple[str, list[
         forms = (f"{country} ({digits(3)}) {digits(3)}-{digits(4)}", f"{country} {digits(3)} {digits(7)}", f"{country}-{digits(3)}-{digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}")
         return rng.choice(forms)
 
+    base64, upper = hexa + letters + letters.upper() + "0123456789", letters.upper()
+
     def secret() -> tuple[str, str]:
+        if rng.random() < 0.45:
+            name = rng.choice(("password", "token", "secret", "api_key", "apikey", "passwd", "key", "access_token"))
+            lead = rng.choice((f"{name}=", f"{name}: ", f"{name} = ", f"{name}='", f"{name} = \""))
+            form = rng.randrange(5)
+            if form == 0:  # signed tokens, also without a name
+                return ".".join(some(base64 + "-_", 12, 70) + digits(1) for _ in range(3)), rng.choice((lead, "Bearer ", ""))
+            if form == 1:
+                return some(base64 + "+/", 20, 70) + digits(1), lead
+            if form == 2:
+                return some(upper, 10, 30), lead
+            if form == 3:
+                return word() + some(letters, 2, 5) + digits(rng.randrange(0, 4)) + some(letters, 1, 4), f"{rng.choice(('password', 'passwd', 'secret'))}{rng.choice(('=', ': ', ':'))}"
+            return f"{rng.choice(('sk', 'pk', 'rk'))}{rng.choice('-_')}" + some(base64, 20, 44) + digits(1), rng.choice((lead, ""))
         value = some(hexa, 16, 44)
         while not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
             value = some(hexa, 16, 44)
@@ -327,6 +369,7 @@ def sentences(count: int = SENTENCES, seed: int = SEED) -> list[tuple[str, list[
             f"20{digits(2)}-{digits(2)}-{digits(2)}", f"{digits(2)}.{digits(2)}.20{digits(2)}", f"{digits(2)}:{digits(2)}", f"{digits(1)},{digits(3)},{digits(3)}",
             f"${digits(2)}.{digits(2)}", digits(rng.randrange(1, 7)), f"{digits(4)} {digits(2)}", f"{digits(3)}%", f"no. {digits(rng.randrange(3, 11))}", f"{word()}{digits(2)}", f"{digits(2)}x{digits(2)}", f"@{word()}",
             f"{digits(4)}-{digits(4)}", f"{digits(3)}.{digits(3)}", f"{rng.randrange(256, 999)}.{digits(3)}.{digits(1)}.{digits(1)}", f"{word()}={digits(3)}", f"{word()} = \"{word()}\"", f"{word()}: {digits(2)}",
+            f"https://{word()}.{word()}/{word()}/{digits(3)}?{word()}={word()}", f"/{word()}/{word()}_{word()}-{digits(2)}.{word()}", f"{word()}-{word()}-{word()}-{digits(2)}", f"{word()}:{word()}", f"{word()}={word()}",
         )
         return rng.choice(forms)
 
@@ -362,7 +405,7 @@ def default_weights() -> np.ndarray:
 
 def all_spans(text: str, weights: np.ndarray, known: dict[str, list[Span]]) -> tuple[list[Span], list[Span]]:
     """Base spans, and base and added spans, both by kind and start."""
-    if "@" not in text and not _DIGIT.search(text):
+    if not _TRIGGER.search(text):
         return [], []
     order = lambda s: (KINDS.index(s[0]), s[1])
     base = sorted(base_spans(text), key=order)

@@ -81,6 +81,41 @@ def test_held_out_sentences():
     assert right >= 0.93 * len(made)
 
 
+LONG = "eyJhbGciOiJIUzI1NiJ9." + "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4-_x" * 3 + ".SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+
+
+@pytest.mark.parametrize(
+    "text,secret",
+    [
+        (f"use token={LONG} now", LONG),
+        (f"use {LONG}, now", LONG),
+        ("set api_key=ABCDEFGHIJKLMNOP here", "ABCDEFGHIJKLMNOP"),
+        ("the password=hunter2abc works", "hunter2abc"),
+        ("then sk-abcdefghijklmnop0123456789QRSTUV9 is it", "sk-abcdefghijklmnop0123456789QRSTUV9"),
+        ("secret = \"" + "aB3+/x9" * 40 + "z1\" end", "aB3+/x9" * 40 + "z1"),
+    ],
+)
+def test_whole_secrets(text, secret):
+    """Beyond twelve tokens and 120 characters, without digits, and short: one span, whole."""
+    _, spans = pd_.all_spans(text, pd_.default_weights(), {})
+    assert [text[a:b] for kind, a, b in spans if kind == "secret"] == [secret]
+
+
+def test_windows_give_what_the_whole_text_gives():
+    """Cutting a text into windows changes no span."""
+    weights, rng = pd_.default_weights(), random.Random(4)
+    made = pd_.sentences(60, 31)
+    for _ in range(25):
+        text = (" " + "filler words of no interest, " * rng.randrange(9)).join(rng.choice(made)[0] for _ in range(6))
+        cut = [(k, a + x, a + y) for a, b in pd_.windows(text) for k, x, y in pd_.decode(weights, text[a:b])]
+        assert cut == pd_.decode(weights, text)
+
+
+def test_plain_long_stretches_stay():
+    for text in ("see https://abc.example/path/of/many-parts-and-words/in_a_row/index now", "a-b-c-d-e-f-g-h-i-j-k-l-m-n-o-p-q-r", "key words: one two", "x" * 300):
+        assert pd_.all_spans(text, pd_.default_weights(), {})[1] == []
+
+
 def test_report_and_redaction(spark):
     rows = [
         (1, "mail a.b@mail9.example.com now, ip 10.0.0.1.", "x"),
