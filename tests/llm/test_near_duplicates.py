@@ -1,6 +1,7 @@
 """The pipeline's near-duplicate stage against all pairs of exact similarities."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 from pressloom.llm import near_duplicates, simhash
@@ -115,3 +116,19 @@ def test_first_shingles_hold_a_common_one():
             shared = -(-4 * (n + m) // 9)  # least number in common at 0.8
             if shared <= n:
                 assert near_duplicates.first_length(n) >= n - shared + 1 and near_duplicates.first_length(m) >= m - shared + 1
+
+
+def test_frequent_slots_are_exact_counts(spark, monkeypatch):
+    """Whatever number of texts is sorted together, and with a bound on what is told."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice(["a", "b", "c", "d"]) for _ in range(rng.randrange(40)))) for k in range(200)] + [(900, None), (901, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = Counter(int(x) >> 32 for _, t in rows for x in near_duplicates.shingles(t))
+    want = {k: n for k, n in want.items() if n > 1}
+    for look in (1, 500, 1 << 21):
+        monkeypatch.setattr(near_duplicates, "LOOK", look)
+        slots, counts = near_duplicates.frequent_slots(docs)
+        assert dict(zip(slots.tolist(), counts.tolist())) == want and sorted(slots) == list(slots)
+    slots, counts = near_duplicates.frequent_slots(docs, 7)
+    assert sorted(counts) == sorted(want.values())[-7:]
+    assert len(near_duplicates.frequent_slots(docs.where("false"))[0]) == 0
