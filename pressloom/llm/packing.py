@@ -6,8 +6,10 @@ if `OPEN` are open already, the fullest closes first.  A bitset with one bit per
 above a length is the best fit, the lowest bit of all is the fullest.
 
 Plan.  Every task packs the pieces that it reads, where they are encoded.  What its open sequences hold at its end, at most
-`OPEN` times the capacity in pieces, is packed again with that of `FAN_IN` - 1 other tasks, longest pieces first, and so on
-until one group is left; so at most `OPEN` sequences in all are left to chance, and no task gets more than `FAN_IN` leftovers.
+`OPEN` times the capacity in pieces, is packed again with that of `FAN_IN` - 1 other tasks, and so on until one group is left,
+so no task gets more than `FAN_IN` leftovers.  Those groups take their pieces in the order of a hash, since in bounded space
+large pieces in a row fill the open sequences before the small ones come.  The last group may have `FAN_IN` times as many
+sequences open, which is room for all that it gets, and takes the longest pieces first.
 Rows carry lengths and digests, no tokens.  Each level is a written table, so a lost task is run again alone.
 
 Encoding.  The tokenizer cuts at white space before anything else, so each run between ASCII spaces, tabs and line ends is
@@ -241,7 +243,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, limit: int = OPEN, fan_in: i
     while True:
 
         def run(batches, last=groups == 1):
-            return packed(batches, capacity, limit, last)
+            return packed(batches, capacity, limit * fan_in if last else limit, last)
 
         saved = steps.save(rows.mapInArrow(run, schema).withColumn("task", F.spark_partition_id()), f"level-{level}")
         # A task numbers fewer than 2^32 sequences, a level has fewer than 2^24 tasks.
@@ -254,7 +256,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, limit: int = OPEN, fan_in: i
         # Fewer groups at each level, whatever number of partitions they lie in.
         level, groups = level + 1, -(-(groups or tasks + 1) // fan_in)
         rest = saved.where("open").select(*columns, F.pmod("task", F.lit(groups)).alias("group"))
-        rows = rest.repartitionById(groups, F.col("group")).sortWithinPartitions(F.col("length").desc()).select(*columns)
+        order = F.col("length").desc() if groups == 1 else F.xxhash64(*columns)
+        rows = rest.repartitionById(groups, F.col("group")).sortWithinPartitions(order).select(*columns)
 
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY, limit: int = OPEN, vocabulary: str = VOCABULARY) -> DataFrame:
