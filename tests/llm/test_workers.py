@@ -4,10 +4,11 @@ import os
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 
-from pressloom.llm import chunked_bpe, main_text, personal_data, quality_classifier, simhash, tokenizer_files, warc
+from pressloom.llm import chunked_bpe, main_text, near_duplicates, packing, personal_data, quality_classifier, ranked_search, simhash, tokenizer_files, vector_codes, warc
 
 CASES = [
     (simhash.fingerprint, ("a b c d e f",)),
@@ -21,6 +22,11 @@ CASES = [
     (chunked_bpe._reader(None, tokenizer_files.BPE_RANKS, True), None),
     (chunked_bpe._encoder(tokenizer_files.BPE_RANKS), None),
     (chunked_bpe._assembler(tokenizer_files.BPE_RANKS), None),
+    (near_duplicates.shingles, ("a b c d e f",)),
+    (vector_codes.nearest, (np.array([[3, 4]]), np.array([[0, 0], [4, 4]]))),
+    (ranked_search.Block([(1, {"a": 1})]).counts, ("a b a",)),
+    (packing.encoded, ([b"some words, and more", None],)),
+    (packing.packed, None),
 ]
 
 
