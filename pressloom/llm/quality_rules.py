@@ -6,16 +6,17 @@ corpus.  A document's score is the mean of log(p_trusted / p_corpus) over its gr
 
 The ratios shrink as a growing corpus fills the buckets, so the threshold follows from the scores of labelled documents, by
 cross-fitting: the trusted counts are kept by fold, a document's fold being a hash of its number, and every document, labelled
-or not, is scored with the counts of all folds but its own, so that none helps its own score.  At most `MAX_SCORED` labelled documents, first in the order of a hash, are
-scored, one row each.  The threshold is the cut with the smallest sum of the share of good ones below it and the share of bad
-ones not below it, in the middle between two neighbouring scores, and of equally good cuts the one in the widest gap.  Only
-documents that pass the base rules count.  Where either label is missing, it is `DEFAULT`.
+or not, is scored with the counts of all folds but its own, so that none helps its own score.  The threshold comes from all
+labelled documents: the cut with the smallest sum of the share of good ones below it and the share of bad ones not below it, in
+the middle between two neighbouring scores, and of equally good cuts the one in the widest gap.  The scores are put in order by
+ranges and their counts added up range by range.  Only documents that pass the base rules count.  Where either label is
+missing, it is `DEFAULT`.
 
 The corpus counts come from all documents: a sum per bucket with partial sums in each task, so what is shuffled is at most
-`BUCKETS` rows per task.  The trusted side is fitted on at most `MAX_TRUSTED` labelled documents, those first in the order
-of a hash of their number; their numbers are the only thing broadcast, besides the models of `BUCKETS` values.  Each word is
+`BUCKETS` rows per task.  The trusted side is fitted on all documents labelled 1; their numbers are broadcast up to
+`MAX_BROADCAST` of them, and beyond that a shuffle brings them to the documents' hashes.  Each word is
 hashed once per row, and words, pairs and windows are hashes of those.  Scoring is one pass over the documents without a
-shuffle.
+shuffle; the measures are written down, as both the threshold and the verdicts read them.
 
 Edge cases: NULL and empty texts have no words, zero counts, base_failed true and kept false; an empty corpus or no trusted
 label gives a model of zeros, so the base rules decide alone; repeated rows give a result row each; NULL doc_id is carried
@@ -27,25 +28,32 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm import common
 from pressloom.session import StepTables
 
 BUCKETS = 1 << 16
-MAX_TRUSTED = 20_000
+#: Numbers of trusted documents that are broadcast, 8 bytes each.
+MAX_BROADCAST = 2_000_000
 SMOOTHING = 0.5
 DEFAULT = -0.35
-FOLDS, MAX_SCORED = 8, 4000
+FOLDS = 8
 #: Windows with equal hash bits but other words that may stand between two equal ones.
 BETWEEN = 3
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def trusted_numbers(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
-    good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("doc_id")
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, q: the smallest label of each document."""
+    return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"))
+
+
+def trusted_numbers(labels: DataFrame, limit: int = MAX_BROADCAST) -> DataFrame:
+    """All numbers of documents labelled 1, marked for broadcast if there are at most `limit`."""
+    good = known_labels(labels).where("q = 1").select("doc_id")
+    return F.broadcast(good) if good.count() <= limit else good
 
 
 def bucket(array: Column, at: Column, size: int, buckets: int = BUCKETS) -> Column:
@@ -60,10 +68,10 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit("held out")), F.lit(FOLDS)).cast("int")
 
 
-def bucket_counts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, limit: int = MAX_TRUSTED) -> DataFrame:
+def bucket_counts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, limit: int = MAX_BROADCAST) -> DataFrame:
     """bucket, corpus (grams of all documents), trusted (grams of trusted ones), fold_0, ... (those of each fold)."""
     good = trusted_numbers(labels, limit).withColumn("good", fold(F.col("doc_id")))
-    marked = docs.select("doc_id", common.tokens("text").alias("w")).select("doc_id", hashes(F.col("w")).alias("h")).join(F.broadcast(good), "doc_id", "left")
+    marked = docs.select("doc_id", common.tokens("text").alias("w")).select("doc_id", hashes(F.col("w")).alias("h")).join(good, "doc_id", "left")
     step, word, n = F.col("step"), F.shiftright("step", 1), F.size("h")
     walk = marked.where(n > 0).select("h", "good", F.explode(F.sequence(F.lit(0), 2 * n - 2)).alias("step"))  # n words, n - 1 pairs
     b = F.when(step % 2 == 0, bucket(F.col("h"), word, 1, buckets)).otherwise(bucket(F.col("h"), word, 2, buckets))
@@ -132,27 +140,51 @@ def best_cut(good: list[float], bad: list[float], default: float = DEFAULT) -> f
     return best[1]
 
 
-def fitted_threshold(docs: DataFrame, labels: DataFrame, ratios: Column) -> float:
-    known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q IN (0, 1)")
-    some = known.orderBy(F.xxhash64("doc_id", F.lit("scored")), "doc_id").limit(MAX_SCORED)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id")), "doc_id", "left_semi")
-    # No filter here: pushed down, it would compute the windows once per element.
-    scored = measures(chosen, ratios).groupBy("doc_id").agg(F.min(F.struct("base_failed", "mean_llr")).alias("one"))
-    rows = scored.join(F.broadcast(some), "doc_id").select("q", "one.*").collect()  # at most `MAX_SCORED`
-    return best_cut(*([r["mean_llr"] for r in rows if r["q"] == q and not r["base_failed"]] for q in (1, 0)))
+def counted_cut(scores: DataFrame, steps: StepTables, default: float = DEFAULT) -> float:
+    """What `best_cut` gives, for a table (q, mean_llr) of any size.
+
+    Distinct scores are range-partitioned, sorted and written down; what the earlier ranges hold and the first score of the next
+    one are added to each range, by windows over one row per range.
+    """
+    n = lambda q: F.sum((F.col("q") == q).cast("long"))
+    per_score = scores.groupBy("mean_llr").agg(n(1).alias("good"), n(0).alias("bad"))
+    ranged = per_score.repartitionByRange("mean_llr").sortWithinPartitions("mean_llr").withColumn("range", F.spark_partition_id())
+    ranged = steps.save(ranged, "scores")
+    heads = ranged.groupBy("range").agg(F.min("mean_llr").alias("first"), F.sum("good").alias("range_good"), F.sum("bad").alias("range_bad"))
+    order = Window.orderBy("range")  # one row per range
+    before = lambda c: F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = [F.sum(f"range_{c}").over(every).alias(f"n_{c}") for c in ("good", "bad")]
+    heads = heads.select("range", F.lead("first").over(order).alias("next"), F.min("first").over(every).alias("least"), *[before(f"range_{c}").alias(f"before_{c}") for c in ("good", "bad")], *totals)
+    inside = Window.partitionBy("range").orderBy("mean_llr")  # a range
+    below = lambda c: F.col(f"before_{c}") + F.sum(c).over(inside)
+    cuts = ranged.join(F.broadcast(heads), "range").select("n_good", "n_bad", "least", below("good").alias("below_good"), below("bad").alias("below_bad"), F.col("mean_llr").alias("low"), F.coalesce(F.lead("mean_llr").over(inside), "next").alias("high"))
+    wrong = F.col("below_good") / F.col("n_good") + (F.col("n_bad") - F.col("below_bad")) / F.col("n_bad")
+    cuts = cuts.where("n_good > 0 AND n_bad > 0")
+    # The last score has no cut above it; its row stands for keeping all.
+    cut = F.struct(F.when(F.col("high").isNull(), 1.0).otherwise(wrong).alias("wrong"), F.coalesce(F.col("low") - F.col("high"), F.lit(0.0)).alias("gap"), F.coalesce((F.col("low") + F.col("high")) / 2, "least").alias("at"))
+    found = cuts.agg(F.min(cut)["at"]).first()[0]
+    return default if found is None else found
+
+
+def fitted_threshold(measured: DataFrame, labels: DataFrame, steps: StepTables) -> float:
+    """The best cut through the scores of all labelled documents, each counted once; `measured` is written down."""
+    one = measured.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("base_failed", "mean_llr")).alias("one"))
+    known = known_labels(labels).where("q IN (0, 1)")
+    return counted_cut(one.join(known, "doc_id").where("NOT one.base_failed").select("q", "one.mean_llr"), steps)
 
 
 def report(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """The measures of every document row and `kept`.
 
-    Write the result before filtering on its columns: Spark would push the filter below, and compute a text's windows anew
-    for each of its words.
+    The measures are written down: a filter on them that Spark pushes below would compute a text's windows anew for each of
+    its words.
     """
-    # Written down, as both the threshold and the verdicts read it.
-    models = StepTables(docs.sparkSession, "quality-rules").save(model(bucket_counts(docs, labels)), "models")
-    ratios = F.get(models.select("without").scalar(), fold(F.col("doc_id")))
-    least = fitted_threshold(docs, labels, ratios) if threshold is None else threshold
-    return measures(docs, ratios).withColumn("kept", ~F.col("base_failed") & (F.col("mean_llr") >= least))
+    steps = StepTables(docs.sparkSession, "quality-rules")
+    models = steps.save(model(bucket_counts(docs, labels)), "models")
+    measured = steps.save(measures(docs, F.get(models.select("without").scalar(), fold(F.col("doc_id")))), "measures")
+    least = fitted_threshold(measured, labels, steps) if threshold is None else threshold
+    return measured.withColumn("kept", ~F.col("base_failed") & (F.col("mean_llr") >= least))
 
 
 def measures(docs: DataFrame, fitted: Column) -> DataFrame:

@@ -43,3 +43,22 @@ def test_repeats_behind_windows_of_the_same_bits(spark):
     packed = [bits + 0, bits + 3, bits + 6, 2 * bits + 1]
     row = spark.createDataFrame([(w, packed, 15)], "w array<string>, packed array<long>, mask long")
     assert row.select(quality_rules.repeated_words(F.col("w"), F.col("packed"), F.col("mask"))).first()[0] == 6
+
+
+def test_threshold_and_trusted_side_from_all_labels(spark, tmp_path):
+    """The cut over a table is that of the plain lists, with no limit on the labels, which are found with and without a broadcast."""
+    from pressloom.session import StepTables
+
+    rng = random.Random(8)
+    rows = [(q, round(rng.gauss(0.3 * q, 0.4), 3)) for q in (0, 1) for _ in range(3000 + 2500 * q)] + [(0, 9.5)]
+    steps = StepTables(spark, "cuts")
+    for some in (rows, rows[:1], rows[:50] + rows[-50:], [(1, 0.0), (0, 1.0), (1, 2.0)], [(1, 5.0), (0, 5.0)], []):
+        want = quality_rules.best_cut([x for q, x in some if q], [x for q, x in some if not q])
+        table = spark.createDataFrame(some, "q int, mean_llr double").repartition(3)
+        assert quality_rules.counted_cut(table, steps) == pytest.approx(want, abs=1e-12)
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    docs = labels.select("doc_id", F.lit("a b").alias("text"))
+    for limit in (10, 10**6):
+        counts = quality_rules.bucket_counts(docs, labels, limit=limit).collect()
+        assert sum(r["trusted"] for r in counts) == sum(r["corpus"] for r in counts) == 90_000
+    steps.close()
