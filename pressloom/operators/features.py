@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,7 +173,7 @@ def cluster_top_terms(
     Frequencies are those inside the cluster, from title and summary; ties go to the smaller term.
 
     A cluster of at most `chars` characters is worked out in a group of its own, so its texts travel once.  A larger one is
-    spread over the tasks: its terms are counted inside the rows and travel with the words they consist of.
+    dealt into blocks of about that size, which tell each other the frequencies of the terms they share.
     """
     steps = StepTables(articles.sparkSession, "top-terms")
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
@@ -183,9 +184,9 @@ def cluster_top_terms(
     small = cut.join(sizes.where(F.col("chars") <= chars).select("cluster"), "cluster")
     kind = articles.schema[cluster].dataType.simpleString()
     ranked = small.groupBy("cluster").applyInPandas(_ranked_terms(k, max_df, ngram_range), f"cluster {kind}, rank int, term string, weight double")
-    large = sizes.where(F.col("chars") > chars).select("cluster", "n")
+    large = sizes.where(F.col("chars") > chars).select("cluster", "n", F.ceil(F.col("chars") / max(chars, 1)).cast("int").alias("blocks"))
     if not large.isEmpty():
-        ranked = ranked.unionByName(_spread_top_terms(cut.join(large, "cluster"), k, max_df, ngram_range, steps))
+        ranked = ranked.unionByName(_spread_top_terms(cut.join(large, "cluster"), k, max_df, ngram_range, steps, kind))
     return ranked.withColumnRenamed("cluster", cluster)
 
 
@@ -215,17 +216,108 @@ def _ranked_terms(k: int, max_df: float, ngram_range: tuple[int, int]):
     return run
 
 
-def _spread_top_terms(cut: DataFrame, k: int, max_df: float, ngram_range: tuple[int, int], steps: StepTables) -> DataFrame:
-    """The same for clusters of any size; `cut` has cluster, n (its rows) and _tokens."""
-    numbered = cut.select("cluster", "n", "_tokens", F.monotonically_increasing_id().alias("_row"))
-    each = numbered.select("cluster", "n", "_row", F.explode(ngrams(F.col("_tokens"), *ngram_range)).alias("term"))
-    counts = steps.save(each.groupBy("cluster", "n", "_row", "term").agg(F.count("*").alias("tf")), "counts")
-    kept = counts.groupBy("cluster", "term").agg(F.count("*").alias("df"), F.max("n").alias("n")).where(F.col("df") <= F.lit(max_df) * F.col("n"))
-    kept = kept.select("cluster", "term", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    raw = counts.join(kept, ["cluster", "term"]).select("cluster", "n", "_row", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    # A window over one document, which bounds its rows.
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
-    scaled = raw.select("cluster", "n", "term", (F.col("w") / norm).alias("w"))
-    mean = scaled.groupBy("cluster", "term").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
+def _spread_top_terms(cut: DataFrame, k: int, max_df: float, ngram_range: tuple[int, int], steps: StepTables, kind: str) -> DataFrame:
+    """The same for clusters of any size; `cut` has cluster, n (its rows), blocks and _tokens.
+
+    A cluster's rows are dealt into blocks, each worked out in a group of its own.  A block tells how many of its rows hold a
+    term, as hashes packed by range, a row per range; each range of a cluster is added up and what other blocks hold goes back
+    to those it matters to.  A term of one block only has its whole weight there, so a block gives its best of these and its
+    sums of all others.  No term of a document is ever a row.
+    """
+    numbered = steps.save(cut.withColumn("_row", F.monotonically_increasing_id()), "large")
+    dealt = numbered.withColumn("block", F.pmod(F.xxhash64("_row"), "blocks").cast("int")).drop("_row")
+    packed = f"cluster {kind}, block int, part int, terms binary, dfs binary"
+    told = dealt.groupBy("cluster", "block").applyInPandas(_block_frequencies(ngram_range), packed)
+    added = told.groupBy("cluster", "part").applyInPandas(_frequencies_elsewhere, packed)
+    grouped = dealt.groupBy("cluster", "block").cogroup(added.groupBy("cluster", "block"))
+    sums = grouped.applyInPandas(_block_sums(k, max_df, ngram_range), f"cluster {kind}, n long, term string, w double")
+    mean = sums.groupBy("cluster", "term").agg(F.round(F.sum("w") / F.max("n"), 9).alias("weight"))
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), "term"))
     return mean.withColumn("rank", place).where(F.col("rank") <= k).select("cluster", "rank", "term", "weight")
+
+
+class _Block:
+    """The n-grams of a block of rows as numbers: sorted hashes of the distinct ones, and (row, at, tf) of each in each row."""
+
+    def __init__(self, tokens: pd.Series, ngram_range: tuple[int, int]):
+        import xxhash
+
+        self.words = np.concatenate([np.empty(0, object), *tokens])
+        lengths = tokens.map(len).to_numpy()
+        of = np.repeat(np.arange(len(tokens)), lengths)
+        ids, distinct = pd.factorize(self.words)
+        one = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct), np.uint64, len(distinct))[ids]
+        hashes, starts, sizes = [], [], []
+        for size in range(ngram_range[0], ngram_range[1] + 1):
+            last = max(len(of) - size + 1, 0)
+            start = np.flatnonzero(of[:last] == of[size - 1 :])
+            mixed = np.full(len(start), size, np.uint64)
+            for k in range(size):
+                mixed = (mixed ^ one[start + k]) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            hashes.append(mixed)
+            starts.append(start)
+            sizes.append(np.full(len(start), size))
+        start, size = np.concatenate(starts), np.concatenate(sizes)
+        self.hashes, first, at = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        self.start, self.size = start[first], size[first]
+        pairs, self.tf = np.unique(of[start] * max(len(self.hashes), 1) + at, return_counts=True)
+        self.row, self.at = np.divmod(pairs, max(len(self.hashes), 1))
+        self.df = np.bincount(self.at, minlength=len(self.hashes))
+
+    def term(self, at: int) -> str:
+        return " ".join(self.words[self.start[at] : self.start[at] + self.size[at]])
+
+
+def _block_frequencies(ngram_range: tuple[int, int]):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        block, blocks = _Block(group["_tokens"], ngram_range), int(group["blocks"].iloc[0])
+        part = ((block.hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+        cuts = np.searchsorted(part, np.arange(blocks + 1))
+        rows = [(k, block.hashes[a:b].tobytes(), block.df[a:b].astype(np.int32).tobytes()) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        out = pd.DataFrame(rows, columns=["part", "terms", "dfs"])
+        out.insert(0, "cluster", group["cluster"].iloc[0])
+        out.insert(1, "block", group["block"].iloc[0])
+        return out
+
+    return run
+
+
+def _frequencies_elsewhere(group: pd.DataFrame) -> pd.DataFrame:
+    """For each block the terms that other blocks hold too, with the rows of all blocks."""
+    hashes = [np.frombuffer(x, np.uint64) for x in group["terms"]]
+    every, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    total, held = np.zeros(len(every), np.int64), np.bincount(at, minlength=len(every))
+    np.add.at(total, at, np.concatenate([np.frombuffer(x, np.int32) for x in group["dfs"]]))
+    rows, end = [], 0
+    for own in hashes:
+        start, end = end, end + len(own)
+        shared = at[start:end][held[at[start:end]] > 1]
+        rows.append((every[shared].tobytes(), total[shared].tobytes()))
+    return group.assign(terms=[r[0] for r in rows], dfs=[r[1] for r in rows])[["cluster", "block", "part", "terms", "dfs"]]
+
+
+def _block_sums(k: int, max_df: float, ngram_range: tuple[int, int]):
+    def run(group: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):
+            return pd.DataFrame({"cluster": [], "n": [], "term": [], "w": []})
+        n, block = int(group["n"].iloc[0]), _Block(group["_tokens"], ngram_range)
+        at = np.searchsorted(block.hashes, np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x, np.uint64) for x in elsewhere["terms"])]))
+        df = block.df
+        df[at] = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in elsewhere["dfs"])])
+        known = df <= max_df * n
+        raw = block.tf * np.where(known, np.log((1.0 + n) / (1.0 + df)) + 1.0, 0.0)[block.at]
+        norm = np.sqrt(np.bincount(block.row, raw * raw, minlength=len(group)))
+        total = np.bincount(block.at, raw / np.where(norm > 0, norm, 1.0)[block.row], minlength=len(df))
+        shared = np.zeros(len(df), bool)
+        shared[at] = True
+        here, weight = np.flatnonzero(known & ~shared), np.round(total / n, 9)
+        if len(here) > k:
+            here = here[weight[here] >= np.partition(weight[here], -k)[-k]]
+        best = heapq.nsmallest(k, ((-weight[i], block.term(i), i) for i in here))
+        given = [(t, total[i]) for _, t, i in best] + [(block.term(i), total[i]) for i in np.flatnonzero(known & shared)]
+        named = pd.DataFrame({"n": n, "term": pd.Series([t for t, _ in given], dtype=object), "w": pd.Series([w for _, w in given], dtype="float64")})
+        named.insert(0, "cluster", group["cluster"].iloc[0])
+        return named
+
+    return run

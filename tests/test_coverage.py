@@ -210,3 +210,16 @@ def test_cluster_terms_in_groups_and_spread(spark):
         want += [(c, k + 1, t, round(-w, 8)) for k, (w, t) in enumerate(best)]
     sizes = 900
     assert ranked(10**6) == ranked(0) == ranked(sizes) == want and len(want) >= 12
+
+
+def test_spread_cluster_terms_write_no_row_per_term(spark, monkeypatch):
+    """What is written down on the way has at most a row per article, whatever the terms are."""
+    from pressloom.session import StepTables
+
+    rows = [(k, 1, " ".join(f"w{k}{chr(97 + j)}x" for j in range(20)), "same text") for k in range(40)]
+    articles = spark.createDataFrame(rows, "doc_id long, cluster int, title string, summary string").repartition(4)
+    saved, save = [], StepTables.save
+    monkeypatch.setattr(StepTables, "save", lambda self, df, name: saved.append(save(self, df, name)) or saved[-1])
+    got = features.cluster_top_terms(articles, k=3, word=r"\A\w{2,}\z", max_df=1.0, chars=1500).collect()
+    assert [r["term"] for r in got] == ["same", "same text", "text"]
+    assert saved and max(s.count() for s in saved) <= len(rows)
