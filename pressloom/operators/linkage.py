@@ -66,13 +66,9 @@ def cosine_pairs(
     n_docs = texts.agg(F.sum("copies")).scalar()
     vectors = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords, chars)
     min_sim = 1.0 - threshold
-    vectors = steps.save(index_vectors(vectors, min_sim), "vectors")
-    pairs = similar_pairs(vectors, "doc", min_sim - 1e-9, steps, block_rows)
-    pairs = pairs.where(F.round(1.0 - F.col("sim"), 12) < threshold)
-    counts = texts.select("doc", "copies")
-    for side in "ab":
-        pairs = pairs.join(counts.select(F.col("doc").alias(side), F.col("copies").alias(f"copies_{side}")), side)
-    return pairs.select("a", "b", "sim", "copies_a", "copies_b")
+    vectors = steps.save(index_vectors(vectors.drop("signature"), min_sim), "vectors")
+    pairs = similar_pairs(vectors, "doc", min_sim - 1e-9, steps, block_rows, copies="copies")
+    return pairs.where(F.round(1.0 - F.col("sim"), 12) < threshold)
 
 
 def text_vectors(
@@ -150,11 +146,8 @@ def average_linkage(
     )
     min_sim = 1.0 - threshold
     vectors = steps.save(index_vectors(alike, min_sim), "vectors")
-    pairs = similar_pairs(vectors, "vec", min_sim - 1e-9, steps, block_rows)
-    sizes = vectors.select("vec", "n")
-    edges = pairs.join(sizes.select(F.col("vec").alias("a"), F.col("n").alias("na")), "a")
-    edges = edges.join(sizes.select(F.col("vec").alias("b"), F.col("n").alias("nb")), "b")
-    edges = edges.select("a", "b", "na", "nb", (F.col("sim") * F.col("na") * F.col("nb")).alias("s"))
+    pairs = similar_pairs(vectors, "vec", min_sim - 1e-9, steps, block_rows, copies="n")
+    edges = pairs.select("a", "b", F.col("copies_a").alias("na"), F.col("copies_b").alias("nb"), (F.col("sim") * F.col("copies_a") * F.col("copies_b")).alias("s"))
     edges = steps.save(_close(edges, threshold), "edges")
     entries = vectors.select("vec", "n", F.explode("v").alias("e"))
     sums = entries.select(F.col("vec").alias("c"), F.col("e.tid").alias("tid"), (F.col("e.w") * F.col("n")).alias("s"))

@@ -9,6 +9,10 @@ there, hence once.
 The index list of a common term can hold a large share of all rows.  Such a list is cut into blocks and every pair of
 blocks is a unit of work of bounded size; inside it the products are summed in arrays and only the pairs above the
 similarity leave the task.
+
+Where vectors share many of their leading terms, as those of character n-grams do, the lists would carry each vector to far
+more units than there are blocks of all rows.  Then the rows themselves are cut into blocks, and each pair of blocks is a
+unit, worked out as a product of matrices, some rows at a time.  The join takes whichever way moves fewer rows.
 """
 
 from __future__ import annotations
@@ -25,7 +29,11 @@ from pressloom.session import StepTables
 BLOCK_ROWS = 512
 _SLACK = 1e-9
 _PRODUCTS_AT_ONCE = 4_000_000
-_PAIRS = "a long, b long, sim double"
+#: Blocks of all rows are so many times larger than those of a list; rows of a block that are multiplied at once.
+_WIDER, _ROWS_AT_ONCE = 8, 256
+#: Terms of a pair of blocks that are multiplied as dense columns, and the products from which one is.
+_DENSE, _DENSE_FROM = 1024, 4000
+_PAIRS = "a long, b long, sim double, copies_a long, copies_b long"
 
 
 def rank_terms(vocabulary: DataFrame, steps: StepTables) -> DataFrame:
@@ -50,34 +58,119 @@ def index_vectors(vectors: DataFrame, min_sim: float) -> DataFrame:
 
 
 def similar_pairs(
-    vectors: DataFrame, doc: str, min_sim: float, steps: StepTables, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, doc: str, min_sim: float, steps: StepTables, block_rows: int = BLOCK_ROWS, copies: str | None = None
 ) -> DataFrame:
-    """(a, b, sim) with a < b and sim > min_sim, for saved vectors as `index_vectors` gives them."""
-    vectors = vectors.select(doc, F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"), "lead")
-    leads = vectors.select(doc, "tids", "ws", F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
-    long_lists = leads.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
-    long_lists = long_lists.select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
+    """(a, b, sim, copies_a, copies_b) with a < b and sim > min_sim, for saved vectors as `index_vectors` gives them.
+
+    `copies` names a column of the vectors that pairs carry along; without it both are 1.
+    """
+    carried = F.col(copies) if copies else F.lit(1)
+    vectors = vectors.select(F.col(doc).alias("doc"), carried.cast("long").alias("copies"), F.col("v.tid").alias("tids"), F.col("v.w").alias("ws"), "lead")
+    keys = vectors.select(F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
+    lists = steps.save(keys.groupBy("key").agg(F.count("*").alias("n")), "lists")
+    moved = lists.agg(F.sum(F.col("n") * F.ceil(F.col("n") / block_rows))).first()[0] or 0
+    rows = vectors.where("lead > 0").count()
+    blocks = -(-rows // (_WIDER * block_rows))
+    if rows * blocks < moved:
+        return _pairs_of_blocks(vectors.where("lead > 0"), blocks, min_sim)
+    leads = vectors.select("doc", "copies", "tids", "ws", F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
     # At most (indexed terms / block_rows) rows; written down so that the planner sees their true size.
+    long_lists = lists.where(F.col("n") > block_rows).select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
     long_lists = steps.save(long_lists, "long-lists")
-    placed = leads.join(long_lists, "key", "left").select(
-        doc, "tids", "ws", "key", F.coalesce("blocks", F.lit(1)).alias("blocks")
-    )
-    placed = placed.withColumn("own", F.pmod(F.xxhash64(doc, "key"), F.col("blocks")).cast("int"))
+    placed = leads.join(long_lists, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = placed.select(doc, "tids", "ws", "key", "own", other)
-    work = spread.select(
-        F.col(doc).alias("doc"),
-        "tids",
-        "ws",
-        "key",
-        "own",
-        F.least("own", "other").alias("lo"),
-        F.greatest("own", "other").alias("hi"),
-    )
     units = ["key", "lo", "hi"]
+    work = _sided(placed.select("doc", "copies", "tids", "ws", "key", "own", other), "key")
     return work.repartition(*units).sortWithinPartitions(*units).mapInArrow(_pairs_of_units(min_sim), _PAIRS)
 
 
+def _sided(spread: DataFrame, *names: str) -> DataFrame:
+    return spread.select("doc", "copies", "tids", "ws", *names, "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+
+def _pairs_of_blocks(vectors: DataFrame, blocks: int, min_sim: float) -> DataFrame:
+    """The same by pairs of blocks of all rows; a task holds two blocks and the products of some rows with one."""
+    own = vectors.select("doc", "copies", "tids", "ws", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("own"))
+    work = _sided(own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    # A number of tasks, as the work in a unit is far more than its bytes tell.
+    dealt = work.repartition(min(blocks * (blocks + 1) // 2, 4096), "lo", "hi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            starts = _unit_starts(held, ("lo", "hi"))
+            for first, end in zip(starts[:-1], starts[1:]):
+                yield from _block_products(held.slice(first, end - first), min_sim)
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield from _block_products(held, min_sim)
+
+    return dealt.sortWithinPartitions("lo", "hi", "own").mapInArrow(run, _PAIRS)
+
+
+def _ordered(doc_a: np.ndarray, doc_b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
+    turn = doc_a > doc_b
+    pick = lambda x, y: pa.array(np.where(turn, y, x))
+    columns = [pick(doc_a, doc_b), pick(doc_b, doc_a), pa.array(sim), pick(copies_a, copies_b), pick(copies_b, copies_a)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "sim", "copies_a", "copies_b"])
+
+
+def _block_products(table: pa.Table, min_sim: float) -> Iterator[pa.RecordBatch]:
+    """Similar pairs between the first and the last block of a unit, or inside its only one."""
+    doc, copies, own = _column(table, "doc"), _column(table, "copies"), _column(table, "own")
+    tids, ws = table.column("tids").combine_chunks(), table.column("ws").combine_chunks()
+    row = np.repeat(np.arange(len(doc)), tids.value_lengths().to_numpy())
+    term, weight = np.unique(tids.flatten().to_numpy(), return_inverse=True)[1], ws.flatten().to_numpy()
+    same = own[0] == own[-1]
+    split = len(doc) if same else int(np.searchsorted(own, own[-1]))
+    low, terms = 0 if same else split, int(term.max()) + 1 if len(term) else 0
+    width = len(doc) - low
+    left, right = row < split, row >= low
+    load = np.bincount(term[left], minlength=terms) * np.bincount(term[right], minlength=terms)
+    dense = np.flatnonzero(load >= _DENSE_FROM)
+    if len(dense) > _DENSE:
+        dense = dense[np.argpartition(load[dense], -_DENSE)[-_DENSE:]]
+    column = np.full(terms, -1)
+    column[dense] = np.arange(len(dense))
+    whole = np.zeros((len(dense), width))
+    at = right & (column[term] >= 0)
+    whole[column[term[at]], row[at] - low] = weight[at]
+    # What is left meets by lists: the rows of the second block by term.
+    at = np.flatnonzero(right & (column[term] < 0))
+    at = at[np.argsort(term[at], kind="stable")]
+    listed, listed_weight = row[at] - low, weight[at]
+    ends = np.searchsorted(term[at], np.arange(terms + 1))
+    entry = np.searchsorted(row, np.arange(len(doc) + 1))
+    for first in range(0, split, _ROWS_AT_ONCE):
+        last = min(first + _ROWS_AT_ONCE, split)
+        r, t, w = (x[entry[first] : entry[last]] for x in (row, term, weight))
+        part = np.zeros((last - first, len(dense)))
+        inside = column[t] >= 0
+        part[r[inside] - first, column[t[inside]]] = w[inside]
+        product = part @ whole
+        r, t, w = r[~inside], t[~inside], w[~inside]
+        sizes = ends[t + 1] - ends[t]
+        done = np.concatenate(([0], np.cumsum(sizes)))
+        cut = 0
+        while cut < len(t):
+            upto = max(cut + 1, int(np.searchsorted(done, done[cut] + _PRODUCTS_AT_ONCE, side="right")) - 1)
+            n = sizes[cut:upto]
+            where = np.repeat(ends[t[cut:upto]] - (done[cut:upto] - done[cut]), n) + np.arange(n.sum())
+            place = np.repeat((r[cut:upto] - first) * width, n) + listed[where]
+            product += np.bincount(place, np.repeat(w[cut:upto], n) * listed_weight[where], minlength=product.size).reshape(product.shape)
+            cut = upto
+        i, j = np.nonzero(product > min_sim)
+        sim, i, j = product[i, j], i + first, j + low
+        if same:
+            after = j > i
+            sim, i, j = sim[after], i[after], j[after]
+        if len(i):
+            yield _ordered(doc[i], doc[j], copies[i], copies[j], sim)
+
+
 def _pairs_of_units(min_sim: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -98,11 +191,11 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _unit_starts(table: pa.Table) -> np.ndarray:
+def _unit_starts(table: pa.Table, names: tuple[str, ...] = ("key", "lo", "hi")) -> np.ndarray:
     if table.num_rows == 0:
         return np.zeros(1, dtype=np.int64)
     change = np.zeros(table.num_rows - 1, dtype=bool)
-    for name in ("key", "lo", "hi"):
+    for name in names:
         values = _column(table, name)
         change |= values[1:] != values[:-1]
     return np.concatenate(([0], np.flatnonzero(change) + 1))
@@ -119,16 +212,18 @@ def _compare(table: pa.Table, starts: np.ndarray, min_sim: float) -> Iterator[pa
         before = load[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(load, before + _PRODUCTS_AT_ONCE, side="right")))
         part = table.slice(starts[first], ends[last - 1] - starts[first])
-        a, b, sim = _similar(part, starts[first:last] - starts[first], min_sim)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sim)], ["a", "b", "sim"])
+        i, j, sim = _similar(part, starts[first:last] - starts[first], min_sim)
+        if len(i):
+            doc, copies = _column(part, "doc"), _column(part, "copies")
+            yield _ordered(doc[i], doc[j], copies[i], copies[j], sim)
         first = last
 
 
 def _similar(table: pa.Table, starts: np.ndarray, min_sim: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Similar pairs as rows of the table."""
     rows = table.num_rows
     unit = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows)))
-    doc, key, own = _column(table, "doc"), _column(table, "key"), _column(table, "own")
+    key, own = _column(table, "key"), _column(table, "own")
     split = _column(table, "lo") != _column(table, "hi")
     tids, ws = table.column("tids").combine_chunks(), table.column("ws").combine_chunks()
     row = np.repeat(np.arange(rows), tids.value_lengths().to_numpy())
@@ -143,11 +238,11 @@ def _similar(table: pa.Table, starts: np.ndarray, min_sim: float) -> tuple[np.nd
     left = np.repeat(np.arange(len(row)), partners)
     right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners, partners)
     if not len(left):
-        return doc[:0], doc[:0], weight[:0]
+        return row[:0], row[:0], weight[:0]
     crossing = ~split[row[left]] | (own[row[left]] != own[row[right]])
     left, right = left[crossing], right[crossing]
     if not len(left):
-        return doc[:0], doc[:0], weight[:0]
+        return row[:0], row[:0], weight[:0]
 
     # Sum the products of each row pair; the first one belongs to the pair's rarest common term.
     pair = row[left].astype(np.int64) * rows + row[right]
@@ -157,5 +252,4 @@ def _similar(table: pa.Table, starts: np.ndarray, min_sim: float) -> tuple[np.nd
     sim = np.add.reduceat((weight[left] * weight[right])[by_pair], heads)
     i, j = pair[heads] // rows, pair[heads] % rows
     wanted = (term[left][by_pair][heads] == key[i]) & (sim > min_sim)
-    i, j, sim = i[wanted], j[wanted], sim[wanted]
-    return np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j]), sim
+    return i[wanted], j[wanted], sim[wanted]

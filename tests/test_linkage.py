@@ -141,3 +141,30 @@ def test_words_and_ngrams(spark):
     ).collect()
     assert [list(r.g) for r in rows] == [["the", "num", "big", "cat", "the num", "num big", "big cat"], ["one"], []]
     assert [list(r.h) for r in rows] == [["the num", "num cat", "the num cat"], [], []]
+
+
+@pytest.mark.parametrize("wider,dense_from", [(1, 1), (2, 5), (10**6, 4000)])
+def test_similar_pairs_by_blocks_of_all_rows(spark, monkeypatch, wider, dense_from):
+    """Vectors with many shared leading terms: blocks of rows give the pairs of the comparison with all, copies beside them."""
+    monkeypatch.setattr(similarity, "_WIDER", wider)
+    monkeypatch.setattr(similarity, "_DENSE_FROM", dense_from)
+    monkeypatch.setattr(similarity, "_DENSE", 6)
+    monkeypatch.setattr(similarity, "_PRODUCTS_AT_ONCE", 300)
+    taken, blocks = [], similarity._pairs_of_blocks
+    monkeypatch.setattr(similarity, "_pairs_of_blocks", lambda *a: taken.append(a[1]) or blocks(*a))
+    rng = random.Random(wider)
+    vectors = [{t: rng.random() for t in rng.sample(range(25), 8)} for _ in range(70)] + [{}]
+    vectors = [{t: x / math.sqrt(sum(y * y for y in v.values())) for t, x in v.items()} for v in vectors]
+    rows = [(1000 - i, i + 1, sorted(v.items())) for i, v in enumerate(vectors)]
+    steps = StepTables(spark, "test")
+    df = spark.createDataFrame(rows, "doc long, n long, v array<struct<tid: long, w: double>>")
+    got = similarity.similar_pairs(steps.save(similarity.index_vectors(df, 0.4), "vectors"), "doc", 0.4, steps, block_rows=6, copies="n").collect()
+    want = {}
+    for i, p in enumerate(vectors):
+        for j in range(i):
+            s = sum(x * vectors[j].get(t, 0.0) for t, x in p.items())
+            if s > 0.4:
+                want[(1000 - i, 1000 - j)] = (round(s, 9), i + 1, j + 1)
+    assert len(got) == len(want) and {(r.a, r.b): (round(r.sim, 9), r.copies_a, r.copies_b) for r in got} == want
+    assert taken and (taken[0] > 1) == (wider < 10**6)
+    steps.close()
