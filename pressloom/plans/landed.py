@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -23,11 +25,17 @@ def _folder(spark, name: str) -> str:
 
 
 FILE_DOCS = 500
+#: Folders of files that get their names at a time.
+RENAMES = 16
 
 
 def _land_texts(rows: DataFrame, folder: str) -> None:
-    """Write (bucket, name, value) as one text file each, its name in the folder's name; a file has a bounded size."""
-    rows.repartition("bucket", "name").write.mode("overwrite").partitionBy("bucket", "name").text(folder)
+    """Write (bucket, name, value) as one text file each, its name in the folder's name; a file has a bounded size.
+
+    The tasks move their files into place themselves, as the driver would move them one after the other.
+    """
+    writer = rows.repartition("bucket", "name").write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("bucket", "name").text(folder)
 
 
 def _land_named(rows: DataFrame, folder: str) -> None:
@@ -36,22 +44,45 @@ def _land_named(rows: DataFrame, folder: str) -> None:
     spark = rows.sparkSession
     root = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    files = fs.listFiles(root, True)
-    while files.hasNext():
-        path = files.next().getPath()
-        if path.getName().startswith("part-"):
-            place = path.getParent()
-            fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(place, place.getName().partition("=")[2]))
 
+    def name_files(bucket) -> None:
+        files = fs.listFiles(bucket, True)
+        while files.hasNext():
+            path = files.next().getPath()
+            if path.getName().startswith("part-"):
+                place = path.getParent()
+                fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(place, place.getName().partition("=")[2]))
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(name_files, [found.getPath() for found in fs.listStatus(root) if found.isDirectory()]))
+
+
+def _dealt(rows: DataFrame, name: Column) -> DataFrame:
+    """The rows of each name with `_bucket`, dealt by document number into about as many files as hold FILE_DOCS records each.
 
-def _packed(rows: DataFrame, name: Column, fields=(*FEED_FIELDS, "doc_id"), wrap: str | None = None) -> DataFrame:
-    """(bucket, name, value): up to FILE_DOCS records of a name as a JSON array, or as an object that holds it."""
+    So the files grow in number with the rows, however many names stand side by side; only the counts per name are joined.
+    """
+    named = rows.withColumn("_name", name)
+    files = named.groupBy("_name").agg(F.ceil(F.count("*") / FILE_DOCS).alias("_files"))
+    dealt = named.join(files, "_name", "left")
+    return dealt.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.coalesce("_files", F.lit(1))))
+
+
+def _packed(rows: DataFrame, name: Column, fields=(*FEED_FIELDS, "doc_id"), wrap: str | None = None, bucket: Column | None = None) -> DataFrame:
+    """(bucket, name, value): some FILE_DOCS records of a name as a JSON array, or as an object that holds it; without a
+    `bucket` the records of a file are those of FILE_DOCS neighbouring document numbers."""
     record = F.struct(*fields)
-    packed = rows.groupBy(F.expr(f"doc_id div {FILE_DOCS}").alias("bucket"), name.alias("name")).agg(F.array_sort(F.collect_list(F.struct("_pos", record.alias("r")))).alias("all"))
+    bucket = F.expr(f"doc_id div {FILE_DOCS}") if bucket is None else bucket
+    packed = rows.groupBy(bucket.alias("bucket"), name.alias("name")).agg(F.array_sort(F.collect_list(F.struct("_pos", record.alias("r")))).alias("all"))
     listed = F.col("all.r")
     return packed.select("bucket", "name", F.to_json(F.struct(listed.alias(wrap)) if wrap else listed).alias("value"))
 
 
+def _land_dealt(rows: DataFrame, name: Column, folder: str, fields=(*FEED_FIELDS, "doc_id")) -> None:
+    """Named files of some FILE_DOCS records each, where the place of a record in its file does not matter."""
+    _land_named(_packed(_dealt(rows, name), F.col("_name"), fields, bucket=F.col("_bucket")), folder)
+
+
 def _by_folder(spark, folder: str, file: Column) -> DataFrame:
     """Landed texts with the file name that stands in their folder's name."""
     files = spark.read.text(folder, wholetext=True)
@@ -167,7 +198,7 @@ def _post(spark, sf) -> dict[str, DataFrame]:
     c = views.clustered(spark, sf)
     folder = _folder(spark, "grouped")
     fields = ("cluster_id", "title", "url", "source", "published_dt", "scraped_at", "doc_id")
-    _land_named(_packed(c, F.concat(F.lit("combined_"), (F.col("cluster") % 10).cast("string"), F.lit(".json")), fields), folder)
+    _land_dealt(c, F.concat(F.lit("combined_"), (F.col("cluster") % 10).cast("string"), F.lit(".json")), folder, fields)
     grouped = json_files.read_grouped(spark, folder, fields)
     grouped = grouped.withColumn("cluster_id", F.col("cluster_id").cast("long")).withColumn("_pos", F.col("doc_id").cast("long")).drop("_file")
     return pipelines.postprocess(grouped)
@@ -194,7 +225,7 @@ def landed_scraped(spark, sf):
     e = views.labelled_events(spark, sf).select(F.col("event_id").alias("doc_id"), F.col("label").alias("published"), "scraped_at", F.col("event_id").alias("_pos"))
     rows = e.withColumns({c: F.lit(None).cast("string") for c in ("title", "summary", "url")}).withColumn("source", F.lit("c14"))
     folder = _folder(spark, "scraped")
-    _land_named(_packed(rows, F.concat(F.lit("c14_scraped_"), F.substring("scraped_at", 1, 10), F.lit(".json"))), folder)
+    _land_dealt(rows, F.concat(F.lit("c14_scraped_"), F.substring("scraped_at", 1, 10), F.lit(".json")), folder)
     adapted = records.adapt(json_files.read_scraped(spark, folder))
     return adapted.select(F.col("extra")["doc_id"].cast("long").alias("event_id"), "published", "published_iso", "dt")
 
@@ -204,8 +235,8 @@ def landed_daily(spark, sf):
     a = views.articles(spark, sf)
     day = F.concat(F.date_format("dt", "yyyy-MM-dd"), F.lit(".json"))
     adapted, raw = _folder(spark, "daily-adapted"), _folder(spark, "daily-raw")
-    _land_named(_packed(a.where("doc_id % 2 = 0"), F.concat(F.lit("c14_adapted_"), day)), adapted)
-    _land_named(_packed(a.where("doc_id % 2 = 1"), F.concat(F.lit("n12_rss_"), day)), raw)
+    _land_dealt(a.where("doc_id % 2 = 0"), F.concat(F.lit("c14_adapted_"), day), adapted)
+    _land_dealt(a.where("doc_id % 2 = 1"), F.concat(F.lit("n12_rss_"), day), raw)
     landed = json_files.read_daily_inputs(spark, adapted, raw).withColumn("_pos", F.col("extra")["doc_id"].cast("long"))
     folder = _folder(spark, "daily")
     writers.write_days(pipelines.daily(landed.drop("extra")), folder)

@@ -294,3 +294,17 @@ def test_places_do_not_depend_on_ranges(spark):
         assert [(r["_dt"] is not None, r["_dt"] or 0, r["_pos"]) for r in sorted(got, key=lambda r: r["place"])] == want
         assert sorted(r["place"] for r in got) == list(range(1, 2001))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_landed_files_grow_with_the_rows(spark, tmp_path):
+    """Rows whose neighbours all have other file names make about one file per FILE_DOCS rows, and all come back."""
+    from pressloom.plans import landed
+
+    rows = spark.range(3000).selectExpr("id AS doc_id", "id AS _pos", "string(id % 3) AS k", "'t' AS title")
+    folder = str(tmp_path / "dealt")
+    landed._land_dealt(rows, F.concat(F.lit("f_"), "k", F.lit(".json")), folder, ("title", "doc_id"))
+    files = sorted(p.name for p in (tmp_path / "dealt").rglob("*.json") if p.is_file())
+    assert len(files) == 6 and set(files) == {"f_0.json", "f_1.json", "f_2.json"}
+    back = json_files.read_grouped(spark, folder, ("title", "doc_id"))
+    assert sorted(int(r["doc_id"]) for r in back.collect()) == list(range(3000))
+    assert all(int(r["doc_id"]) % 3 == int(r["_file"][2]) for r in back.collect())
