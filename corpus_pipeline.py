@@ -20,7 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word Jaccard similarity 0.8 or more stays, that with the smallest number."""
+    """One document of each group of five-word Jaccard similarity 0.8 or more stays, that with the smallest number.
+
+    SimHash and its BK-trees find the near pairs, an exact search those beyond their radius; each is checked on both sets."""
     return near_duplicates.one_of_each(docs)
 
 

@@ -1,8 +1,9 @@
 """Near-duplicates by the Jaccard similarity of their sets of five-word shingles, exact at 0.8 or more.
 
-Two texts at 0.8 differ in some ten bits of their SimHash fingerprints, often more, and pigeonhole bands for so wide a
-radius are three or four bits each, which cut nothing.  So the pipeline's stage does not search by fingerprints; the query
-op3_simhash does, within its own radius.
+Fingerprints.  Every set has a SimHash of 64 bits, and the BK-trees of `simhash` find the fingerprints that link; copies of one
+fingerprint are held against the first vertex that has it.  Each such pair is checked on both sets.  Two texts at 0.8 differ in
+some ten bits, often more, and pigeonhole bands for so wide a radius are three or four bits each, which cut nothing.  So what
+lies beyond the radius is found by an exact search besides, which the groups that the fingerprints gave make smaller.
 
 Search.  Prefix filtering, which loses no pair: shingles are put in one order for the whole corpus, and of two sets of n
 and m shingles at 0.8 or more, each holds a common one among its first n - ceil(0.8 n) + 1 in that order.  Only those
@@ -13,7 +14,7 @@ that adds up their part of the slots in one array.  The `FREQUENT` largest are t
 
 Pairs.  Copies have one set and are one vertex.  First each vertex is held against one other: that which comes first in most
 of the vertex's shingles.  So a group of thousands of near copies costs a pair per vertex, not one per two of them.  The
-pairs that are at 0.8 or more are contracted; then every two vertices that share a first shingle and are not yet in one group
+pairs that are at 0.8 or more, these and those of the fingerprints, are contracted; then every two vertices that share a first shingle and are not yet in one group
 are held against each other.  Only those pairs are rows whose sizes, and places of a shared shingle, leave 0.8 possible, and
 only those are checked whose number of shared first shingles, with all that is left behind the last one, still reaches it.
 Each of these is checked on both whole sets.  Unlike texts that share a first shingle, and lie in many different groups, are
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from pressloom.llm import common
+from pressloom.llm import common, simhash
 from pressloom.operators.components import components
 from pressloom.session import StepTables
 
@@ -48,8 +49,8 @@ SHINGLE = 5
 SHARED, OF = 4, 5
 SEED = 42
 #: Slots that are ordered by their counts, 12 bytes each; how many shingles are sorted together; the parts that slots lie in.
-FREQUENT, LOOK, PARTS = 1 << 20, 1 << 21, 1 << 10
-CACHE = 200_000
+FREQUENT, LOOK, PARTS = 1 << 20, 1 << 18, 1 << 10
+CACHE = 50_000
 #: Vertices of a shingle, or of a group in it, in one unit of work.
 LONG = 4096
 #: Hashes of texts that are broadcast, 16 bytes each.
@@ -94,6 +95,14 @@ def shingles_of(texts: pd.Series) -> pd.Series:
     return pd.Series([shingles(t).tobytes() for t in texts], dtype=object)
 
 
+def print_of(found: np.ndarray) -> int:
+    """The SimHash of a set: the signed value of the bits that more than half of its shingles have."""
+    counts = np.zeros(64, np.int64)
+    for k in range(0, len(found), 1 << 14):
+        counts += np.unpackbits(found[k : k + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(found), bitorder="little").view("<i8")[0])
+
+
 def slots_of(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(32)).astype(np.uint32)
 
@@ -129,13 +138,13 @@ def _counted_slots(limit: int):
         import pyarrow as pa
 
         width = (1 << 32) // PARTS
-        part, counts = None, np.zeros(width, np.int64)
+        part, counts = None, np.zeros(width, np.int32)
 
         def out():
             held = np.flatnonzero(counts > 1)
             if len(held) > limit:
                 held = held[np.argpartition(counts[held], -limit)[-limit:]]
-            return pa.RecordBatch.from_pydict({"slot": held + part * width, "n": counts[held]})
+            return pa.RecordBatch.from_pydict({"slot": held + part * width, "n": counts[held].astype(np.int64)})
 
         for batch in batches:
             for number, first, packed in zip(*(batch.column(c).to_pylist() for c in ("part", "first", "run"))):
@@ -178,8 +187,8 @@ def first_shingles(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -
 
 
 def vertices(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, mark, fp, size, first) of every document row: the hash of its text, the number of its set, its size and its
-    first shingles."""
+    """(doc_id, mark, fp, print, size, first) of every document row: the hash of its text, the number of its set, its SimHash, its
+    size and its first shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -191,6 +200,7 @@ def vertices(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                 "doc_id": batch.column("doc_id"),
                 "mark": batch.column("mark"),
                 "fp": pa.array([set_number(s) for s in sets], pa.int64()),
+                "print": pa.array([print_of(s) for s in sets], pa.int64()),
                 "size": pa.array([len(s) for s in sets], pa.int32()),
                 "first": pa.array([first_shingles(s, shared.value) for s in sets], pa.list_(pa.int64())),
             }
@@ -198,13 +208,24 @@ def vertices(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", mark_of("text").alias("mark"), common.whole("text").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, mark long, fp long, size int, first array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, mark long, fp long, print long, size int, first array<long>")
 
 
 def mark_of(text: str | Column) -> Column:
     return F.xxhash64(common.whole(text))
 
 
+def linked_prints(distinct: DataFrame, steps: StepTables) -> DataFrame:
+    """Pairs (a, b) of vertices (fp, print, size) that the BK-trees of SimHash link, through the first vertex of each print."""
+    prints = steps.save(distinct.groupBy("print").agg(F.min(F.struct("fp", "size")).alias("first")), "simhash-prints")
+    linked = simhash.links(simhash.shards(prints.select(F.col("print").alias("fp")), steps=steps)).distinct()
+    ends = prints.select("print", "first.fp", "first.size")
+    across = linked.join(ends.toDF("a", "fp_a", "size_a"), "a").join(ends.toDF("b", "fp_b", "size_b"), "b").select("fp_a", "size_a", "fp_b", "size_b")
+    same = distinct.join(ends.toDF("print", "fp_b", "size_b"), "print").select(F.col("fp").alias("fp_a"), F.col("size").alias("size_a"), "fp_b", "size_b")
+    near = across.unionByName(same).where(f"fp_a <> fp_b AND {OF} * least(size_a, size_b) >= {SHARED} * greatest(size_a, size_b)")
+    return near.select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b"))
+
+
 def possible(size, place, other_size, other_place):
     """Whether sets that share a shingle at these places of their orders can reach the least similarity: they have in common
     at most what stands before it, itself, and what is left in the shorter rest."""
@@ -373,12 +394,14 @@ def groups(docs: DataFrame, limit: int = LONG) -> tuple[DataFrame, DataFrame]:
     names = steps.save(prints.select("doc_id", "mark", "fp"), "names")
     distinct = prints.groupBy("fp").agg(F.first("size").alias("size"), F.first("first").alias("first"))
     index = steps.save(shared_firsts(distinct), "index")
+    by_print = steps.save(linked_prints(prints.select("fp", "print", "size").distinct(), steps), "simhash-links")
     steps.drop(prints)
     often = index.where("lead IS NOT NULL").groupBy("fp", "lead").agg(F.count("*").alias("n"))
     leads = steps.save(often.groupBy(F.col("fp").alias("a")).agg(F.max(F.struct("n", "lead"))["lead"].alias("b")), "leads")
-    close = similar(leads, docs, names, steps)
+    ordered = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    close = similar(by_print.unionByName(ordered).distinct(), docs, names, steps)
     rest = steps.save(apart(index, components(close, steps), limit), "apart")
-    steps.drop(index, leads)
+    steps.drop(index, leads, by_print)
     found = components(close.unionByName(similar(rest, docs, names, steps)), steps)
     steps.drop(rest)
     least = names.groupBy("fp").agg(F.min("doc_id").alias("least"))

@@ -132,3 +132,27 @@ def test_frequent_slots_are_exact_counts(spark, monkeypatch):
     slots, counts = near_duplicates.frequent_slots(docs, 7)
     assert sorted(counts) == sorted(want.values())[-7:]
     assert len(near_duplicates.frequent_slots(docs.where("false"))[0]) == 0
+
+
+def test_simhash_links_are_part_of_the_search(spark, monkeypatch):
+    """The stage searches its sets' fingerprints by the BK-trees, and finds what a comparison of all fingerprints does."""
+    from pressloom.session import StepTables
+
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(900)]
+    made = [" ".join(edited(rng, base, k % 3)) for k in range(12)] + [" ".join(f"v{rng.randrange(5000)}" for _ in range(50)) for _ in range(30)] + [""]
+    sets = [near_duplicates.shingles(t) for t in made]
+    prints = [near_duplicates.print_of(s) for s in sets]
+    rows = [(k, p, len(s)) for k, (p, s) in enumerate(zip(prints, sets))] + [(99, prints[0], len(sets[0]))]
+    steps = StepTables(spark, "prints")
+    got = {(r["a"], r["b"]) for r in near_duplicates.linked_prints(spark.createDataFrame(rows, "fp long, print long, size int"), steps).collect()}
+    near = lambda x, y: ((x ^ y) & 0xFFFFFFFFFFFFFFFF).bit_count()
+    assert (0, 99) in got
+    linked = {x for x, p in enumerate(prints) for y, q in enumerate(prints) if x != y and near(p, q) <= simhash.RADIUS and 5 * min(len(sets[x]), len(sets[y])) >= 4 * max(len(sets[x]), len(sets[y]))}
+    assert {x for pair in got for x in pair} - {99} == linked | {0}
+    called, search = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a, **k: called.append(1) or search(*a, **k))
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.single(spark, docs, "").collect())
+    assert called and kept == plain_firsts(list(enumerate(made)))
+    steps.close()
