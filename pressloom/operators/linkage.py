@@ -9,10 +9,13 @@ Each round merges all pairs of clusters that are each other's nearest (ties by s
 reducible: no merge brings a cluster nearer to a third one than its parts were, so these merges do not disturb each other
 and end in the same clusters as one merge at a time.
 
-Clusters in different connected components of the close pairs never meet.  A component of at most `COMPONENT` clusters
-and `ENTRIES` vector entries is therefore finished on its own, in one group of bounded size, whatever else is left; the groups of all components run
-side by side.  Larger components go on by rounds, which merge clusters and lose pairs, until they have become small enough
-or have fallen apart.  Components are looked up first and then after every fourth round.
+Clusters in different connected components of the close pairs never meet.  A component of at most `COMPONENT` clusters and
+`ENTRIES` vector entries is therefore finished on its own, in one group of bounded size, whatever else is left; the groups of
+all components run side by side.  Larger components go on by levels.  A level is a lower distance, under which only a share
+of the clusters have a partner; the components of the pairs below it are small and are merged up to that distance in the same
+way.  Nothing is lost by that: what lies in different ones is at the level or beyond, and by reducibility stays there whatever
+is merged.  Where a level still leaves larger components the next share is half of it, and where it has no small ones, the
+pairs of clusters that are each other's nearest are merged as above.
 """
 
 from __future__ import annotations
@@ -33,6 +36,10 @@ from pressloom.session import StepTables
 
 COMPONENT = 2048
 ENTRIES = 1_000_000
+#: The share of the clusters that have a partner below the first level.
+SHARE = 0.5
+#: Tasks that finish components side by side.
+TASKS = 64
 
 
 _DISTANCE = "round(1.0D - s / (na * nb), 12)"
@@ -172,10 +179,11 @@ def _close(edges: DataFrame, threshold: float) -> DataFrame:
 
 
 def _nearest_to_each_other(edges: DataFrame) -> DataFrame:
-    """(a, b, n) of the pairs in which both clusters have each other as their nearest."""
+    """(old, new, n, parts) of the pairs in which both clusters have each other as their nearest, a row per cluster."""
     sides = edges.selectExpr("explode(array(a, b)) AS c", f"struct({_DISTANCE} AS d, a, b, na + nb AS n) AS e")
     nearest = sides.groupBy("c").agg(F.min("e").alias("e")).select("e.a", "e.b", "e.n")
-    return nearest.groupBy("a", "b", "n").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b", "n")
+    found = nearest.groupBy("a", "b", "n").agg(F.count("*").alias("votes")).where("votes = 2")
+    return found.selectExpr("explode(array(a, b)) AS old", "a AS new", "n", "2L AS parts")
 
 
 def _merge_rounds(
@@ -183,51 +191,71 @@ def _merge_rounds(
 ) -> DataFrame | None:
     """(old, new) for every vector that ended in the cluster of another one."""
     merges: list[DataFrame] = []
-    rounds, look = 0, 0
+    share, level = SHARE, threshold
     while not edges.isEmpty():
-        if rounds == look:
-            look += 4
-            finished, edges = _finish_small(edges, sums, threshold, steps, component)
-            if finished is not None:
-                merges.append(finished)
-                continue
-        rounds += 1
-        found = steps.save(_nearest_to_each_other(edges), "merges")
-        merges.append(found.select(F.col("b").alias("old"), F.col("a").alias("new")))
-        moved = found.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), "n")
-        previous = edges, sums
-        sums = steps.save(_add_up(sums, edges, moved), "sums")
-        edges = steps.save(_close(_renamed(edges, sums, moved), threshold), "edges")
-        steps.drop(*previous)
+        moved, larger = _finish_small(edges, sums, level, steps, component)
+        done = moved
+        if moved is None:
+            moved = steps.save(_nearest_to_each_other(edges), "merges")
+        merges.append(moved.where("old <> new").select("old", "new"))
+        previous = edges, sums, larger
+        if level == threshold and done is not None:
+            if larger is None:
+                break
+            # The finished components have no pair below the threshold any more.
+            edges = steps.save(edges.join(larger.select(F.col("node").alias("a")), "a", "left_semi").select(*edges.columns), "edges")
+        else:
+            sums = steps.save(_add_up(sums, edges, moved), "sums")
+            edges = steps.save(_close(_renamed(edges, sums, moved), threshold), "edges")
+            if level < threshold:
+                share = min(share * 1.5, SHARE) if larger is None else share / 2
+        steps.drop(*[t for t in previous if t is not sums and t is not edges])
+        level = _level(edges, share, threshold, component)
     return _roots(merges, steps) if merges else None
 
 
+def _level(edges: DataFrame, share: float, threshold: float, limit: int) -> float:
+    """A distance below which this share of the clusters have a partner; the threshold if no component can be larger than the limit."""
+    nearest = edges.selectExpr("explode(array(a, b)) AS c", f"{_DISTANCE} AS d").groupBy("c").agg(F.min("d").alias("d"))
+    clusters, found = nearest.agg(F.count("*"), F.percentile_approx("d", max(share, 1e-6))).first()
+    return threshold if clusters <= limit else min(math.nextafter(found, math.inf), threshold)
+
+
 def _finish_small(
-    edges: DataFrame, sums: DataFrame, threshold: float, steps: StepTables, limit: int
-) -> tuple[DataFrame | None, DataFrame]:
-    """(old, new) of all merges inside components of at most `limit` clusters, and the edges of the larger ones."""
-    found = steps.save(components(edges, steps), "components")
+    edges: DataFrame, sums: DataFrame, level: float, steps: StepTables, limit: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(old, new, n, parts) of all merges below the level inside components of at most `limit` clusters, and (node, root) of the
+    larger components; None where there are none.
+
+    Components are those of the pairs below the level.  What lies in different ones is at the level or beyond, and so is all that
+    they are merged into, so every merge below the level happens inside one of them.
+    """
+    found = steps.save(components(_close(edges, level), steps), "components")
     entries = sums.groupBy("c").agg(F.count("*").alias("entries"))
     sizes = found.join(entries, F.col("node") == F.col("c")).groupBy("root")
-    small = sizes.agg(F.count("*").alias("size"), F.sum("entries").alias("entries"))
-    small = small.where((F.col("size") <= limit) & (F.col("entries") <= ENTRIES)).select("root")
-    nodes = steps.save(found.join(small, "root").select(F.col("node").alias("c"), "root"), "small")
-    if nodes.isEmpty():
-        return None, edges
+    sizes = steps.save(sizes.agg(F.count("*").alias("size"), F.sum("entries").alias("entries")), "sizes")
+    is_small = (F.col("size") <= limit) & (F.col("entries") <= ENTRIES)
+    larger = steps.save(found.join(sizes.where(~is_small), "root").select("node", "root"), "larger")
+    nodes = found.join(sizes.where(is_small), "root").select(F.col("node").alias("c"), "root")
     sides = edges.selectExpr("explode(array(struct(a AS c, na AS n), struct(b AS c, nb AS n))) AS x").select("x.*").distinct()
     rest = sums.join(nodes, "c").join(sides, "c").select("root", "c", "n", "tid", "s")
-    merged = steps.save(_finish(rest, threshold), "finished")
-    larger = steps.save(edges.join(nodes.select(F.col("c").alias("a")), "a", "left_anti").select(*edges.columns), "edges")
-    return merged, larger
+    several = sizes.where(is_small).count()
+    if not several:
+        return None, larger
+    # A number of tasks, as the work in a component is far more than its bytes tell.
+    merged = steps.save(_finish(rest.repartition(min(several, TASKS), "root"), level), "finished")
+    return None if merged.isEmpty() else merged, None if larger.isEmpty() else larger
 
 
 def _finish(rest: DataFrame, threshold: float) -> DataFrame:
-    """(old, new) of the merges inside each component; a group is one component, of bounded size."""
+    """(old, new, n, parts) of the merges inside each component, with a row of the cluster that stays; a group is one
+    component, of bounded size."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         ids, at = np.unique(rows["c"].to_numpy(), return_inverse=True)
         n = np.zeros(len(ids))
         n[at] = rows["n"]
+        size = n.astype(np.int64)
         product = np.zeros((len(ids), len(ids)))
         by_term = rows.assign(at=at).sort_values("tid")
         cuts = np.flatnonzero(np.diff(by_term["tid"].to_numpy())) + 1
@@ -252,10 +280,13 @@ def _finish(rest: DataFrame, threshold: float) -> DataFrame:
             root = moved_to[root]
             left = np.setdiff1d(here, gone)
             product, n, live = product[np.ix_(left, left)], n[left], live[left]
-        moved = root != np.arange(len(ids))
-        return pd.DataFrame({"old": ids[moved], "new": ids[root[moved]]})
+        parts = np.bincount(root, minlength=len(ids))
+        sizes = np.zeros(len(ids), np.int64)
+        np.add.at(sizes, root, size)
+        moved = parts[root] > 1
+        return pd.DataFrame({"old": ids[moved], "new": ids[root[moved]], "n": sizes[root[moved]], "parts": parts[root[moved]]})
 
-    return rest.groupBy("root").applyInPandas(run, "old long, new long")
+    return rest.groupBy("root").applyInPandas(run, "old long, new long, n long, parts long")
 
 
 def _add_up(sums: DataFrame, edges: DataFrame, moved: DataFrame) -> DataFrame:
@@ -267,11 +298,11 @@ def _add_up(sums: DataFrame, edges: DataFrame, moved: DataFrame) -> DataFrame:
 
 def _renamed(edges: DataFrame, sums: DataFrame, moved: DataFrame) -> DataFrame:
     """Edges between the new clusters with their new sums."""
-    named = edges.join(moved.selectExpr("old AS a", "new AS a2", "n AS na2"), "a", "left")
-    named = named.join(moved.selectExpr("old AS b", "new AS b2", "n AS nb2"), "b", "left")
+    named = edges.join(moved.selectExpr("old AS a", "new AS a2", "n AS na2", "parts AS pa"), "a", "left")
+    named = named.join(moved.selectExpr("old AS b", "new AS b2", "n AS nb2", "parts AS pb"), "b", "left")
     ends = "struct(coalesce(a2, a) AS c, coalesce(na2, na) AS n)", "struct(coalesce(b2, b) AS c, coalesce(nb2, nb) AS n)"
     named = named.selectExpr(
-        f"array_sort(array({ends[0]}, {ends[1]})) AS ends", "s", "(1 + int(a2 IS NOT NULL)) * (1 + int(b2 IS NOT NULL)) AS parts"
+        f"array_sort(array({ends[0]}, {ends[1]})) AS ends", "s", "coalesce(pa, 1L) * coalesce(pb, 1L) AS parts"
     )
     named = named.selectExpr("ends[0].c AS a", "ends[1].c AS b", "ends[0].n AS na", "ends[1].n AS nb", "s", "parts")
     grouped = (

@@ -168,3 +168,25 @@ def test_similar_pairs_by_blocks_of_all_rows(spark, monkeypatch, wider, dense_fr
     assert len(got) == len(want) and {(r.a, r.b): (round(r.sim, 9), r.copies_a, r.copies_b) for r in got} == want
     assert taken and (taken[0] > 1) == (wider < 10**6)
     steps.close()
+
+
+def test_a_long_chain_takes_few_levels(spark):
+    """Each link of a chain is weaker than the one before it, so only two of its clusters are each other's nearest at a time."""
+    n, link = 40, lambda i: 0.45 - 0.006 * i
+    entries = []
+    for i in range(n):
+        sides = [(100 + i - 1, link(i - 1))] * (i > 0) + [(100 + i, link(i))]
+        entries += [(i, tid, math.sqrt(x)) for tid, x in sides] + [(i, 1000 + i, math.sqrt(1 - sum(x for _, x in sides)))]
+    sums = spark.createDataFrame(entries, "c long, tid long, s double")
+    edges = spark.createDataFrame([(i, i + 1, 1, 1, link(i)) for i in range(n - 1)], "a long, b long, na long, nb long, s double")
+
+    class Counted(StepTables):
+        names = []
+
+        def save(self, df, name):
+            self.names.append(name)
+            return super().save(df, name)
+
+    got = linkage._merge_rounds(edges, sums, 0.83, Counted(spark, "test"), 20).collect()
+    assert {(r.old, r.new) for r in got} == {(i + 1, i) for i in range(0, n, 2)}
+    assert Counted.names.count("sums") < 6
