@@ -210,7 +210,8 @@ def _merge_rounds(
             if level < threshold:
                 share = min(share * 1.5, SHARE) if larger is None else share / 2
         steps.drop(*[t for t in previous if t is not sums and t is not edges])
-        level = _level(edges, share, threshold, component)
+        # A component may be too large by its entries alone; then only a lower level cuts it.
+        level = _level(edges, share, threshold, component if larger is None else 0)
     return _roots(merges, steps) if merges else None
 
 
