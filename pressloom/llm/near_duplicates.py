@@ -5,26 +5,29 @@ fingerprint are held against the first vertex that has it.  Each such pair is ch
 some ten bits, often more, and pigeonhole bands for so wide a radius are three or four bits each, which cut nothing.  So what
 lies beyond the radius is found by an exact search besides, which the groups that the fingerprints gave make smaller.
 
+Candidates.  A set at 0.8 or more to another has at least 0.8 of its shingles in common with it, so a set of which fewer occur
+elsewhere is near no other.  The shingles of some thousands of texts, by their high 40 bits, travel as sorted runs of
+differences, with the text of each, to the tasks that see each slot whole; these tell the groups of texts which entries another
+group has too.  A slot that several texts of a group share travels once.  Only sets with enough repeated shingles go on.
+
 Search.  Prefix filtering, which loses no pair: shingles are put in one order for the whole corpus, and of two sets of n
-and m shingles at 0.8 or more, each holds a common one among its first n - ceil(0.8 n) + 1 in that order.  Only those
-first shingles are rows.  Any order gives the same result; this one puts shingles that many texts share last, by their
-counts, so that a shared passage is no key unless it is nearly the whole text.  The counts are those of 2^32 slots, the high
-bits of the shingles, summed over all texts: sorted runs of slots travel as differences, two bytes a shingle, to the task
-that adds up their part of the slots in one array.  The `FREQUENT` largest are told to the tasks.
+and m shingles at 0.8 or more, each holds a common one among its first n - ceil(0.8 n) + 1 in that order.  The order is that of
+the number of candidates that hold a shingle, exactly counted; those of one set alone are first and are no rows.
 
 Pairs.  Copies have one set and are one vertex.  First each vertex is held against one other: that which comes first in most
 of the vertex's shingles.  So a group of thousands of near copies costs a pair per vertex, not one per two of them.  The
-pairs that are at 0.8 or more, these and those of the fingerprints, are contracted; then every two vertices that share a first shingle and are not yet in one group
-are held against each other.  Only those pairs are rows whose sizes, and places of a shared shingle, leave 0.8 possible, and
-only those are checked whose number of shared first shingles, with all that is left behind the last one, still reaches it.
-Each of these is checked on both whole sets.  Unlike texts that share a first shingle, and lie in many different groups, are
-compared each with each; this grows with the square of their number.
-
-Plan.  Texts are shingled twice, for the frequent shingles and for the first ones; after that only texts that occur in a pair are,
-once per step.  They are found by the 64-bit hash of the text, as everything else that needs the texts finds them: by a
-broadcast of at most `MAX_BROADCAST` hashes, beyond that by a shuffle.  A shingle that more than `LONG` vertices share is cut
-into blocks, the groups of more than `LONG` by vertex and the rest by group, and each pair of blocks that can hold different
-groups is one unit of work.  What no later step reads is dropped.
+pairs that are at 0.8 or more, these and those of the fingerprints, are contracted; then every two vertices that share a first
+shingle and are not yet in one group are compared inside the task.  Only those pairs become rows whose sizes, places of a shared
+shingle and sketches (the parities of 2048 classes of shingles; they differ in no more bits than the sets in shingles) leave 0.8
+possible, and only those stay whose number of shared first shingles, with all that is left behind the last one, still reaches it.
+Of these the nearest of each vertex is checked on both whole sets and contracted, and then every one whose ends are still apart.
+The comparison in the tasks grows with the square of the vertices in different groups that share a first shingle; sketches of
+sets beyond some 5000 shingles fill up and bound less.
+
+Plan.  Texts are shingled twice, for their numbers and for the candidates; the candidates' sets are then kept in a step table.
+Their texts are found by the 64-bit hash of the text: by a broadcast of at most `MAX_BROADCAST` hashes, beyond that by a
+shuffle.  A shingle that more than `LONG` vertices share is cut into blocks, the groups of more than `LONG` by vertex and the
+rest by group, and each pair of blocks that can hold different groups is one unit of work.  What no later step reads is dropped.
 
 Edge cases: as in simhash, words are split and put in lower case as ASCII; a text of fewer words than a shingle is one
 shingle; texts without words, empty or NULL, are copies of each other; a group is everything reachable over links, and its
@@ -35,10 +38,8 @@ texts are 64-bit hashes.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from pressloom.llm import common, simhash
 from pressloom.operators.components import components
@@ -50,6 +51,10 @@ SHARED, OF = 4, 5
 SEED = 42
 #: Slots that are ordered by their counts, 12 bytes each; how many shingles are sorted together; the parts that slots lie in.
 FREQUENT, LOOK, PARTS = 1 << 20, 1 << 18, 1 << 10
+#: High bits of a shingle that are counted; shingles and texts of a group of texts; about how many are counted in one part.
+SLOT_BITS, GROUP, SEVERAL, PART = 40, 1 << 19, (1 << 16) - 1, 1 << 21
+#: Bits of a set's sketch.
+SKETCH = 2048
 CACHE = 50_000
 #: Vertices of a shingle, or of a group in it, in one unit of work.
 LONG = 4096
@@ -90,11 +95,6 @@ def set_number(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
 
 
-@F.pandas_udf(BinaryType())
-def shingles_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingles(t).tobytes() for t in texts], dtype=object)
-
-
 def print_of(found: np.ndarray) -> int:
     """The SimHash of a set: the signed value of the bits that more than half of its shingles have."""
     counts = np.zeros(64, np.int64)
@@ -162,7 +162,7 @@ def _counted_slots(limit: int):
 
 
 def frequent_slots(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The slots with the largest counts over one, ascending, and their counts."""
+    """The 32-bit slots with the largest counts over one, ascending, and their counts.  `groups` counts exactly and needs none."""
     runs = docs.select(common.whole("text").alias("text")).mapInArrow(_runs_of_slots, "part int, first long, run binary")
     counted = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_counted_slots(limit), "slot long, n long")
     table = counted.orderBy(F.desc("n"), "slot").limit(limit).toArrow()
@@ -176,20 +176,8 @@ def first_length(n: int) -> int:
     return n - (SHARED * n + OF - 1) // OF + 1
 
 
-def first_shingles(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles of a set: those that are not frequent, then the others from rare to common."""
-    slots, counts = frequent
-    if len(slots) and len(found):
-        own = slots_of(found)
-        at = np.minimum(np.searchsorted(slots, own), len(slots) - 1)
-        found = found[np.lexsort((found, np.where(slots[at] == own, counts[at], 0)))]
-    return found[: first_length(len(found))].view(np.int64) if len(found) else found.view(np.int64)
-
-
-def vertices(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, mark, fp, print, size, first) of every document row: the hash of its text, the number of its set, its SimHash, its
-    size and its first shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def vertices(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, fp, print, size) of every document row: the hash of its text, the number of its set, its SimHash and its size."""
 
     def run(batches):
         import pyarrow as pa
@@ -202,13 +190,176 @@ def vertices(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFr
                 "fp": pa.array([set_number(s) for s in sets], pa.int64()),
                 "print": pa.array([print_of(s) for s in sets], pa.int64()),
                 "size": pa.array([len(s) for s in sets], pa.int32()),
-                "first": pa.array([first_shingles(s, shared.value) for s in sets], pa.list_(pa.int64())),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", mark_of("text").alias("mark"), common.whole("text").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, mark long, fp long, print long, size int, first array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, mark long, fp long, print long, size int")
+
+
+def _runs_of_texts(parts: int):
+    """(part, group, first, run, docs): the slots of a group of texts in one part, ascending, each once, as the first one and the
+    differences, byte by byte, and which text of the group has each, or `SEVERAL`.  One row more per group, with first NULL,
+    tells the numbers of its sets and how many repeated shingles each lacks besides those repeated in the group."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        def cut(waiting: list[np.ndarray], group: int):
+            sizes = np.array([len(s) for s in waiting])
+            slots, owner = np.concatenate(waiting) >> np.uint64(64 - SLOT_BITS), np.repeat(np.arange(len(waiting)), sizes)
+            order = np.argsort(slots, kind="stable")
+            slots, owner = slots[order], owner[order]
+            start = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])) if len(slots) else np.empty(0, np.int64)
+            several = np.diff(np.append(start, len(slots))) > 1
+            inside = np.bincount(owner[np.repeat(several, np.diff(np.append(start, len(slots))))], minlength=len(waiting))
+            lacks = (SHARED * sizes + OF - 1) // OF - inside
+            slots, owner = slots[start], np.where(several, SEVERAL, owner[start]).astype("<u2")
+            part = (slots * np.uint64(parts) >> np.uint64(SLOT_BITS)).astype(np.int32)
+            ends = np.flatnonzero(part[1:] != part[:-1]) + 1
+            begin = np.append(0, ends)[: len(slots)]
+            steps = np.diff(slots, prepend=slots[:1])
+            steps[begin] = 0
+            runs = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : SLOT_BITS // 8].T.tobytes() for x in np.split(steps, ends)][: len(begin)]
+            docs = [x.view(np.uint8).reshape(-1, 2).T.tobytes() for x in np.split(owner, ends)][: len(begin)]
+            told = np.array([set_number(s) for s in waiting], "<i8").tobytes()
+            columns = {
+                "part": pa.array(np.append(part[begin], group % parts), pa.int32()),
+                "group": pa.array(np.full(len(begin) + 1, group), pa.int64()),
+                "first": pa.array([*slots[begin].tolist(), None], pa.int64()),
+                "run": pa.array([*runs, told], pa.binary()),
+                "docs": pa.array([*docs, lacks.astype("<i8").tobytes()], pa.binary()),
+            }
+            return pa.RecordBatch.from_pydict(columns)
+
+        group = TaskContext.get().partitionId() << 32
+        waiting, size = [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                waiting.append(shingles(text))
+                size += len(waiting[-1])
+                if size > GROUP or len(waiting) == SEVERAL:
+                    yield cut(waiting, group)
+                    waiting, size, group = [], 0, group + 1
+        if waiting:
+            yield cut(waiting, group)
+
+    return run
+
+
+def _repeated_slots(batches):
+    """(group, fps, docs): of each group the texts, one entry per slot that another group has too; the rows that tell of a group pass."""
+    import pyarrow as pa
+
+    names = ("group", "fps", "docs")
+
+    def out(runs: list[tuple]):
+        slots, owner = np.concatenate([r[1] for r in runs]), np.concatenate([r[2] for r in runs])
+        order = np.argsort(slots, kind="stable")
+        same = slots[order][1:] == slots[order][:-1]
+        repeated = np.zeros(len(slots), bool)
+        repeated[order] = np.append(same, False) | np.append(False, same)
+        repeated &= owner != SEVERAL
+        ends = np.cumsum([len(r[1]) for r in runs])[:-1]
+        told = [(r[0], o[m].astype("<u2").tobytes()) for r, o, m in zip(runs, np.split(owner, ends), np.split(repeated, ends)) if m.any()]
+        return pa.RecordBatch.from_arrays([pa.array([g for g, _ in told], pa.int64()), pa.nulls(len(told), pa.binary()), pa.array([d for _, d in told], pa.binary())], names)
+
+    part, runs = None, []
+    for batch in batches:
+        for number, group, first, packed, docs in zip(*(batch.column(c).to_pylist() for c in ("part", "group", "first", "run", "docs"))):
+            if part != number:
+                if runs:
+                    yield out(runs)
+                part, runs = number, []
+            if first is None:
+                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([packed], pa.binary()), pa.array([docs], pa.binary())], names)
+                continue
+            planes = np.frombuffer(packed, np.uint8).reshape(SLOT_BITS // 8, -1)
+            steps = np.zeros((planes.shape[1], 8), np.uint8)
+            steps[:, : SLOT_BITS // 8] = planes.T
+            owner = np.ascontiguousarray(np.frombuffer(docs, np.uint8).reshape(2, -1).T).view("<u2")[:, 0]
+            runs.append((group, np.cumsum(steps.view("<i8")[:, 0]) + first, owner))
+    if runs:
+        yield out(runs)
+
+
+def _sets_with_enough(batches):
+    """The numbers of the sets of a group that lack no repeated shingle."""
+    import pyarrow as pa
+
+    group, fps, lacks, found = None, None, None, np.zeros(SEVERAL, np.int64)
+
+    def out():
+        return pa.RecordBatch.from_pydict({"fp": fps[found[: len(fps)] >= lacks]})
+
+    for batch in batches:
+        for number, told, docs in zip(*(batch.column(c).to_pylist() for c in ("group", "fps", "docs"))):
+            if group != number:
+                if group is not None:
+                    yield out()
+                group = number
+                found[:] = 0
+            if told is None:
+                counts = np.bincount(np.frombuffer(docs, "<u2"))
+                found[: len(counts)] += counts
+            else:
+                fps, lacks = np.frombuffer(told, "<i8"), np.frombuffer(docs, "<i8")
+    if group is not None:
+        yield out()
+
+
+def candidates(docs: DataFrame, total: int) -> DataFrame:
+    """(fp) of the sets whose shingles occur once more in the corpus, up to a fifth of them; the others are at the least
+    similarity to no other set.  `total` is the number of all shingles, which are counted in parts of bounded size."""
+    parts = min(max(total // PART, 64), 1 << 20)
+    runs = docs.select(common.whole("text").alias("text")).mapInArrow(_runs_of_texts(parts), "part int, group long, first long, run binary, docs binary")
+    told = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_repeated_slots, "group long, fps binary, docs binary")
+    return told.repartition("group").sortWithinPartitions("group").mapInArrow(_sets_with_enough, "fp long").distinct()
+
+
+def sketch_of(found: np.ndarray) -> bytes:
+    """For each of `SKETCH` classes of shingles, whether the set has an odd number.  Two sets differ in at least as many shingles as
+    their sketches in bits."""
+    return np.packbits(np.bincount((found % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, set, sketch) of the texts that `wanted` (fp, mark) names."""
+    texts = docs.select(mark_of("text").alias("mark"), common.whole("text").alias("text")).join(_few(wanted), "mark")
+    one = texts.groupBy("fp").agg(F.min("text").alias("text"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"fp": batch.column("fp"), "set": pa.array([s.tobytes() for s in sets], pa.binary()), "sketch": pa.array(map(sketch_of, sets), pa.binary())})
+
+    return one.mapInArrow(run, "fp long, set binary, sketch binary")
+
+
+def first_rows(sets: DataFrame) -> DataFrame:
+    """(key, fp, size, place) of the first shingles that two or more sets have, from rare to common; those of one set alone come before."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for fp, held in zip(batch.column("fp").to_pylist(), batch.column("set").to_pylist()):
+                keys = np.frombuffer(held, np.int64) if held else np.empty(0, np.int64)
+                for k in range(0, len(keys), 1 << 14):
+                    piece = keys[k : k + (1 << 14)]
+                    yield pa.RecordBatch.from_pydict({"key": piece, "fp": np.full(len(piece), fp, np.int64)})
+
+    entries = sets.select("fp", "set").mapInArrow(run, "key long, fp long")
+    shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+    ranked = shared.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared"))
+    sized = ranked.join(sets.select("fp", (F.length("set") / 8).cast("int").alias("size")), "fp").withColumn("alone", F.col("size") - F.size("shared"))
+    some = sized.withColumn("take", F.expr(f"size - ({SHARED} * size + {OF - 1}) div {OF} + 1 - alone").cast("int")).where("take > 0")
+    rows = some.select("fp", "size", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("at", "one"))
+    return rows.select(F.col("one.key").alias("key"), "fp", "size", (F.col("alone") + F.col("at")).alias("place"))
 
 
 def mark_of(text: str | Column) -> Column:
@@ -233,11 +384,10 @@ def possible(size, place, other_size, other_place):
     return (SHARED + OF) * most >= SHARED * (size + other_size)
 
 
-def shared_firsts(distinct: DataFrame) -> DataFrame:
-    """Rows (key, fp, size, place, lead) of the first shingles that two or more vertices have; lead is the key's first vertex
-    where it can reach the least similarity, else NULL."""
+def shared_firsts(rows: DataFrame) -> DataFrame:
+    """Rows (key, fp, size, place, lead) of the first shingles (key, fp, size, place) that two or more vertices have; lead is the
+    key's first vertex where it can reach the least similarity, else NULL."""
     names = ("key", "fp", "size", "place")
-    rows = distinct.select("fp", "size", F.posexplode("first").alias("place", "key")).select(*names)
 
     def run(batches):
         import pyarrow as pa
@@ -299,18 +449,21 @@ def units(rows: DataFrame, limit: int = LONG) -> DataFrame:
     return short.unionByName(pairs.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"), side.alias("side"), *kept))
 
 
-def apart(index: DataFrame, found: DataFrame, limit: int = LONG) -> DataFrame:
-    """Pairs (a, b) that share first shingles, lie in different groups and can reach the least similarity.
+def apart(index: DataFrame, found: DataFrame, sets: DataFrame, limit: int = LONG) -> DataFrame:
+    """Pairs (a, b, gap) that share first shingles, lie in different groups and can reach the least similarity; gap is the
+    number of bits in which their sketches differ, in millionths of their shingles.
 
-    In common are the shared first shingles, and at most what is left behind the last of them in the shorter rest.
+    In common are the shared first shingles, and at most what is left behind the last of them in the shorter rest.  The sketches
+    bound what they have in common from above as well, before a pair is a row.
     """
     rooted = index.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     rows = rooted.select("key", F.coalesce("root", "fp").alias("root"), "fp", "size", "place")
     # Keys of a single group are gone before the rows travel in full.
     mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     names = ("unit", "side", "root", "fp", "size", "place")
+    columns = ["a", "b", "left", "least", "gap"]
 
-    def solve(data: np.ndarray):
+    def solve(data: np.ndarray, sketch: np.ndarray):
         """Pairs of one unit, some rows at a time."""
         _, side, root, fp, size, place = data
         for k in range(data.shape[1]):
@@ -320,38 +473,45 @@ def apart(index: DataFrame, found: DataFrame, limit: int = LONG) -> DataFrame:
                 near &= side[rest] != side[k]
             near = np.flatnonzero(near) + k + 1
             if len(near):
+                both = size[k] + size[near]
+                least = (SHARED * both + SHARED + OF - 1) // (SHARED + OF)
+                gap = np.bitwise_count(sketch[near] ^ sketch[k]).sum(axis=1, dtype=np.int64)
+                close = gap <= both - 2 * least
+                near, both, least, gap = near[close], both[close], least[close], gap[close]
                 left = np.minimum(size[k] - place[k], size[near] - place[near]) - 1
-                least = (SHARED * (size[k] + size[near]) + SHARED + OF - 1) // (SHARED + OF)
-                yield np.stack([np.minimum(fp[k], fp[near]), np.maximum(fp[k], fp[near]), left, least])
+                yield np.stack([np.minimum(fp[k], fp[near]), np.maximum(fp[k], fp[near]), left, least, gap * 1_000_000 // np.maximum(both, 1)])
 
     def run(batches):
         import pyarrow as pa
 
-        def finish(data: np.ndarray):
+        def finish(data: np.ndarray, sketch: np.ndarray):
             held, count = [], 0
-            for unit in np.split(data, np.flatnonzero(data[0, 1:] != data[0, :-1]) + 1, axis=1):
-                for pairs in solve(unit):
+            ends = np.flatnonzero(data[0, 1:] != data[0, :-1]) + 1
+            for unit, part in zip(np.split(data, ends, axis=1), np.split(sketch, ends)):
+                for pairs in solve(unit, part):
                     held.append(pairs)
                     count += pairs.shape[1]
                     if count > 1 << 16:
-                        yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), ["a", "b", "left", "least"])
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), columns)
                         held, count = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), ["a", "b", "left", "least"])
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), columns)
 
-        left = np.empty((len(names), 0), np.int64)  # the last unit, which may go on; two blocks at most
+        left, left_sketch = np.empty((len(names), 0), np.int64), np.empty((0, SKETCH // 64), np.uint64)  # the last unit, which may go on; two blocks at most
         for batch in batches:
             if batch.num_rows:
                 data = np.concatenate([left, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
+                sketch = np.concatenate([left_sketch, np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)])
                 last = np.searchsorted(data[0], data[0, -1])
-                yield from finish(data[:, :last]) if last else ()
-                left = data[:, last:]
+                yield from finish(data[:, :last], sketch[:last]) if last else ()
+                left, left_sketch = data[:, last:], sketch[last:]
         if left.shape[1]:
-            yield from finish(left)
+            yield from finish(left, left_sketch)
 
-    dealt = units(rows.join(mixed, "key", "left_semi"), limit)
-    met = dealt.repartition("unit").sortWithinPartitions(*names).mapInArrow(run, "a long, b long, left long, least long")
-    return met.groupBy("a", "b").agg((F.count("*") + F.min("left")).alias("most"), F.min("least").alias("least")).where("most >= least").select("a", "b")
+    dealt = units(rows.join(mixed, "key", "left_semi"), limit).join(sets.select("fp", "sketch"), "fp").select(*names, "sketch")
+    met = dealt.repartition("unit").sortWithinPartitions(*names).mapInArrow(run, "a long, b long, left long, least long, gap long")
+    most = met.groupBy("a", "b").agg((F.count("*") + F.min("left")).alias("most"), F.min("least").alias("least"), F.min("gap").alias("gap"))
+    return most.where("most >= least").select("a", "b", "gap")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -359,14 +519,10 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= MAX_BROADCAST else rows
 
 
-def similar(pairs: DataFrame, docs: DataFrame, marks: DataFrame, steps: StepTables) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are at the least similarity; `marks` holds (fp, mark) of every set."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    wanted = steps.save(marks.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("mark").alias("mark")), "ends")
-    texts = docs.select(mark_of("text").alias("mark"), common.whole("text").alias("text")).join(_few(wanted), "mark")
-    one = texts.groupBy("fp").agg(F.min("text").alias("text"))
-    sets = steps.save(one.select("fp", shingles_of("text").alias("set")), "sets")
-    both = pairs.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "other"), "b")
+def similar(pairs: DataFrame, sets: DataFrame, steps: StepTables) -> DataFrame:
+    """Those of the pairs (a, b) whose sets, of `sets` (fp, set), are at the least similarity."""
+    both = pairs.select("a", "b").join(sets.select(F.col("fp").alias("a"), F.col("set").alias("one")), "a")
+    both = both.join(sets.select(F.col("fp").alias("b"), F.col("set").alias("other")), "b")
 
     def run(batches):
         import pyarrow as pa
@@ -380,9 +536,21 @@ def similar(pairs: DataFrame, docs: DataFrame, marks: DataFrame, steps: StepTabl
             mask = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)})
 
-    close = steps.save(both.mapInArrow(run, "a long, b long"), "close")
-    steps.drop(wanted, sets)
-    return close
+    return steps.save(both.mapInArrow(run, "a long, b long"), "close")
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, gap) those with the least gap of one of their ends, one per end."""
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
+    first = ends.groupBy("a").agg(F.min(F.struct("gap", "b"))["b"].alias("b"))
+    return first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def still_apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of the pairs whose ends lie in different groups."""
+    root = lambda end: found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    rooted = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return rooted.where("coalesce(root_a, a) <> coalesce(root_b, b)").select(*pairs.columns)
 
 
 def groups(docs: DataFrame, limit: int = LONG) -> tuple[DataFrame, DataFrame]:
@@ -390,20 +558,24 @@ def groups(docs: DataFrame, limit: int = LONG) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     common.small_batches(spark)
     steps = StepTables(spark, "near-duplicates")
-    prints = steps.save(vertices(docs, frequent_slots(docs)), "prints")
-    names = steps.save(prints.select("doc_id", "mark", "fp"), "names")
-    distinct = prints.groupBy("fp").agg(F.first("size").alias("size"), F.first("first").alias("first"))
-    index = steps.save(shared_firsts(distinct), "index")
-    by_print = steps.save(linked_prints(prints.select("fp", "print", "size").distinct(), steps), "simhash-links")
-    steps.drop(prints)
+    names = steps.save(vertices(docs), "names")
+    by_print = steps.save(linked_prints(names.select("fp", "print", "size").distinct(), steps), "simhash-links")
+    total = names.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+    wanted = steps.save(names.join(candidates(docs, total), "fp", "left_semi").groupBy("fp").agg(F.min("mark").alias("mark")), "ends")
+    sets = steps.save(sets_of(docs, wanted), "sets")
+    index = steps.save(shared_firsts(first_rows(sets)), "index")
     often = index.where("lead IS NOT NULL").groupBy("fp", "lead").agg(F.count("*").alias("n"))
-    leads = steps.save(often.groupBy(F.col("fp").alias("a")).agg(F.max(F.struct("n", "lead"))["lead"].alias("b")), "leads")
+    leads = often.groupBy(F.col("fp").alias("a")).agg(F.max(F.struct("n", "lead"))["lead"].alias("b"))
     ordered = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    close = similar(by_print.unionByName(ordered).distinct(), docs, names, steps)
-    rest = steps.save(apart(index, components(close, steps), limit), "apart")
-    steps.drop(index, leads, by_print)
-    found = components(close.unionByName(similar(rest, docs, names, steps)), steps)
-    steps.drop(rest)
+    close = similar(by_print.unionByName(ordered).distinct(), sets, steps)
+    rest = steps.save(apart(index, components(close, steps), sets, limit), "apart")
+    steps.drop(index, by_print, wanted)
+    # The nearest pair of each vertex first: what it links need not be checked pair by pair.
+    first = steps.save(nearest(rest), "nearest")
+    close = close.unionByName(similar(first, sets, steps))
+    rest = still_apart(rest.join(first, ["a", "b"], "left_anti"), components(close, steps))
+    found = components(close.unionByName(similar(rest, sets, steps)), steps)
+    steps.drop(sets)
     least = names.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -156,3 +156,33 @@ def test_simhash_links_are_part_of_the_search(spark, monkeypatch):
     kept = sorted(r["doc_id"] for r in corpus_pipeline.single(spark, docs, "").collect())
     assert called and kept == plain_firsts(list(enumerate(made)))
     steps.close()
+
+
+def test_near_copies_below_the_similarity_are_not_checked_pair_by_pair(spark, monkeypatch):
+    """Texts that share most of one text, at about 0.66 of each other: before, each two of them were held against each other."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base = fresh(150)
+    made = [edited(rng, base, 3) for _ in range(90)] + [fresh(60) for _ in range(20)]
+    rows = list(enumerate(" ".join(w) for w in made))
+    checked, similar = [], near_duplicates.similar
+    monkeypatch.setattr(near_duplicates, "similar", lambda pairs, *rest: checked.append(pairs.count()) or similar(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _, named = near_duplicates.groups(docs)
+    assert sorted({r["component_id"] for r in named.collect()}) == plain_firsts(rows)
+    assert sum(checked) < 4 * len(rows)
+
+
+def test_candidates_are_the_sets_whose_shingles_repeat(spark, monkeypatch):
+    """Whatever texts are counted together; copies, texts without words and slots in several parts included."""
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choice("abc") for _ in range(rng.randrange(14)))) for k in range(60)]
+    rows += [(100 + k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for k in range(30)] + [(200, None), (201, rows[-1][1])]
+    sets = {k: near_duplicates.shingles(t) for k, t in rows}
+    held = Counter(int(x) for s in sets.values() for x in s)
+    want = {near_duplicates.set_number(s) for s in sets.values() if 5 * sum(held[int(x)] > 1 for x in s) >= 4 * len(s)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for group in (1, 200, 1 << 19):
+        monkeypatch.setattr(near_duplicates, "GROUP", group)
+        assert {r["fp"] for r in near_duplicates.candidates(docs, 1000).collect()} == want
+    assert near_duplicates.candidates(docs.where("false"), 0).collect() == []
