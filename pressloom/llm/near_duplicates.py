@@ -17,12 +17,13 @@ the number of candidates that hold a shingle, exactly counted; those of one set
 Pairs.  Copies have one set and are one vertex.  First each vertex is held against one other: that which comes first in most
 of the vertex's shingles.  So a group of thousands of near copies costs a pair per vertex, not one per two of them.  The
 pairs that are at 0.8 or more, these and those of the fingerprints, are contracted; then every two vertices that share a first
-shingle and are not yet in one group are compared inside the task.  Only those pairs become rows whose sizes, places of a shared
-shingle and sketches (the parities of 2048 classes of shingles; they differ in no more bits than the sets in shingles) leave 0.8
-possible, and only those stay whose number of shared first shingles, with all that is left behind the last one, still reaches it.
-Of these the nearest of each vertex is checked on both whole sets and contracted, and then every one whose ends are still apart.
-The comparison in the tasks grows with the square of the vertices in different groups that share a first shingle; sketches of
-sets beyond some 5000 shingles fill up and bound less.
+shingle and are not yet in one group are compared inside the task.  Their sizes, places of a shared shingle and sketches (the
+parities of 2048 classes of shingles; they differ in no more bits than the sets in shingles) tell which can be at 0.8.  No pair
+becomes a row for that: from a shingle only a forest leaves the task that connects its possible pairs, less than a row per vertex.
+What is so connected is a family.  Each vertex's set travels to its family, where the possible pairs of different groups are
+checked on both whole sets and contracted at once, so that again less than a row per vertex leaves the task, a link each.
+The comparison in the tasks, not the rows, grows with the square of the vertices in different groups that share a first shingle
+or a family.
 
 Plan.  Texts are shingled twice, for their numbers and for the candidates; the candidates' sets are then kept in a step table.
 Their texts are found by the 64-bit hash of the text: by a broadcast of at most `MAX_BROADCAST` hashes, beyond that by a
@@ -53,11 +54,13 @@ SEED = 42
 FREQUENT, LOOK, PARTS = 1 << 20, 1 << 18, 1 << 10
 #: High bits of a shingle that are counted; shingles and texts of a group of texts; about how many are counted in one part.
 SLOT_BITS, GROUP, SEVERAL, PART = 40, 1 << 19, (1 << 16) - 1, 1 << 21
-#: Bits of a set's sketch.
-SKETCH = 2048
+#: Bits of a set's sketch; shingles of a set from which on the checks in a task have one of 16 times as many.
+SKETCH, WIDE = 2048, 2048
 CACHE = 50_000
 #: Vertices of a shingle, or of a group in it, in one unit of work.
 LONG = 4096
+#: Shingles that count as one vertex where whole sets are held in a unit.
+WEIGHT = 256
 #: Hashes of texts that are broadcast, 16 bytes each.
 MAX_BROADCAST = 2_000_000
 
@@ -319,10 +322,10 @@ def candidates(docs: DataFrame, total: int) -> DataFrame:
     return told.repartition("group").sortWithinPartitions("group").mapInArrow(_sets_with_enough, "fp long").distinct()
 
 
-def sketch_of(found: np.ndarray) -> bytes:
-    """For each of `SKETCH` classes of shingles, whether the set has an odd number.  Two sets differ in at least as many shingles as
+def sketch_of(found: np.ndarray, bits: int = SKETCH) -> bytes:
+    """For each of `bits` classes of shingles, whether the set has an odd number.  Two sets differ in at least as many shingles as
     their sketches in bits."""
-    return np.packbits(np.bincount((found % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+    return np.packbits(np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -419,13 +422,14 @@ def shared_firsts(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions(*names).mapInArrow(run, "key long, fp long, size int, place int, lead long")
 
 
-def units(rows: DataFrame, limit: int = LONG) -> DataFrame:
+def units(rows: DataFrame, limit: int = LONG, weight: str = "1") -> DataFrame:
     """(unit, side, root, fp, size, place): what is compared with each other; in a unit with two sides, across them only.
 
     A key of at most `limit` rows is a unit.  Of a longer one, each group of more than `limit` rows is dealt into blocks by
-    vertex, the others by group; a unit is a block of the others, or two blocks that can hold different groups.
+    vertex, the others by group; a unit is a block of the others, or two blocks that can hold different groups.  A row counts
+    as `weight` rows.
     """
-    per = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    per = rows.groupBy("key", "root").agg(F.sum(F.expr(weight).cast("long")).alias("n"))
     long_keys = per.groupBy("key").agg(
         F.sum("n").alias("total"),
         F.coalesce(F.sum(F.when(F.col("n") <= limit, F.col("n"))), F.lit(0)).alias("others"),
@@ -449,69 +453,134 @@ def units(rows: DataFrame, limit: int = LONG) -> DataFrame:
     return short.unionByName(pairs.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"), side.alias("side"), *kept))
 
 
-def apart(index: DataFrame, found: DataFrame, sets: DataFrame, limit: int = LONG) -> DataFrame:
-    """Pairs (a, b, gap) that share first shingles, lie in different groups and can reach the least similarity; gap is the
-    number of bits in which their sketches differ, in millionths of their shingles.
+def by_unit(batches, names: tuple, carried: tuple):
+    """Each unit of rows sorted by unit: an array with the numbers `names`, the unit first, and a list for each column `carried`."""
+    left, more = np.empty((len(names), 0), np.int64), [[] for _ in carried]  # the last unit, which may go on; two blocks at most
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        data = np.concatenate([left, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
+        for column, name in zip(more, carried):
+            column += batch.column(name).to_pylist()
+        start = np.flatnonzero(np.concatenate(([True], data[0, 1:] != data[0, :-1]))).tolist()
+        for begin, end in zip(start, start[1:]):
+            yield data[:, begin:end], *(column[begin:end] for column in more)
+        left, more = data[:, start[-1] :], [column[start[-1] :] for column in more]
+    if left.shape[1]:
+        yield left, *more
+
+
+def sketch_rows(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+
+
+def gaps(sketch: np.ndarray, k: int, others: np.ndarray) -> np.ndarray:
+    """The number of bits in which row k differs from others."""
+    return np.bitwise_count(sketch[others] ^ sketch[k]).sum(axis=1, dtype=np.int64)
+
 
-    In common are the shared first shingles, and at most what is left behind the last of them in the shorter rest.  The sketches
-    bound what they have in common from above as well, before a pair is a row.
+def most_gap(size, other_size):
+    """The most shingles in which two sets at the least similarity differ."""
+    both = size + other_size
+    return both - 2 * ((SHARED * both + SHARED + OF - 1) // (SHARED + OF))
+
+
+def families(index: DataFrame, found: DataFrame, sets: DataFrame, limit: int = LONG) -> DataFrame:
+    """Rows (a, b) that connect every two vertices which share a first shingle, lie in different groups of `found` and can reach the
+    least similarity by their sizes, places and sketches.
+
+    Of each unit only a forest leaves the task, from each vertex to the smallest that it is connected with, so a shingle of n vertices
+    makes less than n rows however many of their pairs are possible.
     """
     rooted = index.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     rows = rooted.select("key", F.coalesce("root", "fp").alias("root"), "fp", "size", "place")
     # Keys of a single group are gone before the rows travel in full.
     mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     names = ("unit", "side", "root", "fp", "size", "place")
-    columns = ["a", "b", "left", "least", "gap"]
 
-    def solve(data: np.ndarray, sketch: np.ndarray):
-        """Pairs of one unit, some rows at a time."""
+    def forest(data: np.ndarray, sketch: np.ndarray) -> np.ndarray | None:
         _, side, root, fp, size, place = data
-        for k in range(data.shape[1]):
-            rest = slice(k + 1, None)
-            near = possible(size[k], place[k], size[rest], place[rest]) & (root[rest] != root[k])
+        family = np.arange(len(fp))
+        for k in range(len(fp) - 1):
+            near = possible(size[k], place[k], size[k + 1 :], place[k + 1 :]) & (root[k + 1 :] != root[k]) & (family[k + 1 :] != family[k])
             if side[k]:
-                near &= side[rest] != side[k]
+                near &= side[k + 1 :] != side[k]
             near = np.flatnonzero(near) + k + 1
             if len(near):
-                both = size[k] + size[near]
-                least = (SHARED * both + SHARED + OF - 1) // (SHARED + OF)
-                gap = np.bitwise_count(sketch[near] ^ sketch[k]).sum(axis=1, dtype=np.int64)
-                close = gap <= both - 2 * least
-                near, both, least, gap = near[close], both[close], least[close], gap[close]
-                left = np.minimum(size[k] - place[k], size[near] - place[near]) - 1
-                yield np.stack([np.minimum(fp[k], fp[near]), np.maximum(fp[k], fp[near]), left, least, gap * 1_000_000 // np.maximum(both, 1)])
+                near = near[gaps(sketch, k, near) <= most_gap(size[k], size[near])]
+                if len(near):
+                    family[np.isin(family, family[near])] = family[k]
+        order = np.lexsort((fp, family))
+        start = np.flatnonzero(np.append(True, family[order][1:] != family[order][:-1]))
+        if len(start) == len(fp):
+            return None
+        least = np.repeat(fp[order][start], np.diff(np.append(start, len(fp))))
+        pairs = np.stack([least, fp[order]])
+        return pairs[:, pairs[0] != pairs[1]]
 
     def run(batches):
         import pyarrow as pa
 
-        def finish(data: np.ndarray, sketch: np.ndarray):
-            held, count = [], 0
-            ends = np.flatnonzero(data[0, 1:] != data[0, :-1]) + 1
-            for unit, part in zip(np.split(data, ends, axis=1), np.split(sketch, ends)):
-                for pairs in solve(unit, part):
-                    held.append(pairs)
-                    count += pairs.shape[1]
-                    if count > 1 << 16:
-                        yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), columns)
-                        held, count = [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(held, axis=1))), columns)
-
-        left, left_sketch = np.empty((len(names), 0), np.int64), np.empty((0, SKETCH // 64), np.uint64)  # the last unit, which may go on; two blocks at most
-        for batch in batches:
-            if batch.num_rows:
-                data = np.concatenate([left, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
-                sketch = np.concatenate([left_sketch, np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)])
-                last = np.searchsorted(data[0], data[0, -1])
-                yield from finish(data[:, :last], sketch[:last]) if last else ()
-                left, left_sketch = data[:, last:], sketch[last:]
-        if left.shape[1]:
-            yield from finish(left, left_sketch)
+        def out(held: list[np.ndarray]):
+            return pa.RecordBatch.from_arrays(list(map(pa.array, np.unique(np.concatenate(held, axis=1), axis=1))), ["a", "b"])
+
+        held, count = [], 0
+        for data, sketches in by_unit(batches, names, ("sketch",)):
+            pairs = forest(data, sketch_rows(sketches))
+            if pairs is not None:
+                held.append(pairs)
+                count += pairs.shape[1]
+            if count > 1 << 16:
+                yield out(held)
+                held, count = [], 0
+        if held:
+            yield out(held)
 
     dealt = units(rows.join(mixed, "key", "left_semi"), limit).join(sets.select("fp", "sketch"), "fp").select(*names, "sketch")
-    met = dealt.repartition("unit").sortWithinPartitions(*names).mapInArrow(run, "a long, b long, left long, least long, gap long")
-    most = met.groupBy("a", "b").agg((F.count("*") + F.min("left")).alias("most"), F.min("least").alias("least"), F.min("gap").alias("gap"))
-    return most.where("most >= least").select("a", "b", "gap")
+    return dealt.repartition("unit").sortWithinPartitions(*names).mapInArrow(run, "a long, b long").distinct()
+
+
+def links_within(family: DataFrame, found: DataFrame, sets: DataFrame, limit: int = LONG) -> DataFrame:
+    """Pairs (a, b) of vertices (node) of one family (root) at the least similarity that join all groups of `found` which any pair joins.
+
+    The sets travel to their family, once for each block that theirs is held against.  There each two that the sketches leave are checked
+    on both sets, the nearest first, unless they have been joined; so a unit of n vertices makes less than n rows.
+    """
+    members = family.select(F.col("node").alias("fp"), F.col("root").alias("key")).join(found.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    sized = members.join(sets.select("fp", (F.length("set") / 8).cast("int").alias("size")), "fp")
+    rows = sized.select("key", F.coalesce("root", "fp").alias("root"), "fp", "size", F.lit(0).alias("place"))
+    names = ("unit", "side", "root", "fp", "size")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for data, sketches, held in by_unit(batches, names, ("sketch", "set")):
+            _, side, root, fp, size = data
+            root, sketch, made = root.copy(), sketch_rows(sketches), []
+            whole = [np.frombuffer(v, np.uint64) for v in held]
+            wide = np.flatnonzero(size >= WIDE)  # their sketches fill up, so they have longer ones here
+            at = np.full(len(fp), -1)
+            at[wide] = np.arange(len(wide))
+            longer = sketch_rows([sketch_of(whole[k], 16 * SKETCH) for k in wide]) if len(wide) > 1 else None
+            for k in range(len(fp) - 1):
+                near = root[k + 1 :] != root[k]
+                if side[k]:
+                    near &= side[k + 1 :] != side[k]
+                near = np.flatnonzero(near) + k + 1
+                near = near[OF * np.minimum(size[near], size[k]) >= SHARED * np.maximum(size[near], size[k])]
+                gap = gaps(sketch, k, near)
+                if longer is not None and at[k] >= 0:
+                    gap[at[near] >= 0] = gaps(longer, at[k], at[near][at[near] >= 0])
+                close = gap <= most_gap(size[k], size[near])
+                for other in near[close][np.argsort(gap[close], kind="stable")].tolist():
+                    if root[other] != root[k] and are_similar(whole[k], whole[other]):
+                        made.append((int(fp[k]), int(fp[other])))
+                        root[root == root[other]] = root[k]
+            if made:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, np.array(made, np.int64).T)), ["a", "b"])
+
+    dealt = units(rows, limit, f"ceil(size / {WEIGHT})").join(sets, "fp").select(*names, "sketch", "set")
+    return dealt.repartition("unit").sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -519,6 +588,12 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= MAX_BROADCAST else rows
 
 
+def are_similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets are at the least similarity."""
+    common_ones = len(np.intersect1d(x, y, assume_unique=True))
+    return OF * common_ones >= SHARED * (len(x) + len(y) - common_ones)
+
+
 def similar(pairs: DataFrame, sets: DataFrame, steps: StepTables) -> DataFrame:
     """Those of the pairs (a, b) whose sets, of `sets` (fp, set), are at the least similarity."""
     both = pairs.select("a", "b").join(sets.select(F.col("fp").alias("a"), F.col("set").alias("one")), "a")
@@ -530,29 +605,13 @@ def similar(pairs: DataFrame, sets: DataFrame, steps: StepTables) -> DataFrame:
         for batch in batches:
             near = []
             for one, other in zip(batch.column("one"), batch.column("other")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))
-                common_ones = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(OF * common_ones >= SHARED * (len(x) + len(y) - common_ones))
+                near.append(are_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))))
             mask = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)})
 
     return steps.save(both.mapInArrow(run, "a long, b long"), "close")
 
 
-def nearest(pairs: DataFrame) -> DataFrame:
-    """Of the pairs (a, b, gap) those with the least gap of one of their ends, one per end."""
-    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
-    first = ends.groupBy("a").agg(F.min(F.struct("gap", "b"))["b"].alias("b"))
-    return first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def still_apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Those of the pairs whose ends lie in different groups."""
-    root = lambda end: found.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    rooted = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    return rooted.where("coalesce(root_a, a) <> coalesce(root_b, b)").select(*pairs.columns)
-
-
 def groups(docs: DataFrame, limit: int = LONG) -> tuple[DataFrame, DataFrame]:
     """(doc_id, mark) of every document row, and (mark, root, component_id) of every distinct text."""
     spark = docs.sparkSession
@@ -568,13 +627,11 @@ def groups(docs: DataFrame, limit: int = LONG) -> tuple[DataFrame, DataFrame]:
     leads = often.groupBy(F.col("fp").alias("a")).agg(F.max(F.struct("n", "lead"))["lead"].alias("b"))
     ordered = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     close = similar(by_print.unionByName(ordered).distinct(), sets, steps)
-    rest = steps.save(apart(index, components(close, steps), sets, limit), "apart")
+    found = components(close, steps)
+    # What can be near is brought together first, each vertex once, and checked there: no pair of them is a row but those that join groups.
+    family = components(steps.save(families(index, found, sets, limit), "families"), steps)
     steps.drop(index, by_print, wanted)
-    # The nearest pair of each vertex first: what it links need not be checked pair by pair.
-    first = steps.save(nearest(rest), "nearest")
-    close = close.unionByName(similar(first, sets, steps))
-    rest = still_apart(rest.join(first, ["a", "b"], "left_anti"), components(close, steps))
-    found = components(close.unionByName(similar(rest, sets, steps)), steps)
+    found = components(close.unionByName(steps.save(links_within(family, found, sets, limit), "links")), steps)
     steps.drop(sets)
     least = names.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))

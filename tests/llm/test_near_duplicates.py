@@ -186,3 +186,59 @@ def test_candidates_are_the_sets_whose_shingles_repeat(spark, monkeypatch):
         monkeypatch.setattr(near_duplicates, "GROUP", group)
         assert {r["fp"] for r in near_duplicates.candidates(docs, 1000).collect()} == want
     assert near_duplicates.candidates(docs.where("false"), 0).collect() == []
+
+
+def test_rows_of_pairs_are_fewer_than_the_first_shingles(spark, monkeypatch):
+    """Texts at about 0.75 of each other, too long for their sketches to tell, and a group about 0.8: before, each two of them made a
+    row for each first shingle that they share."""
+    rng = random.Random(11)
+    fresh = lambda n: [f"w{rng.randrange(50000)}" for _ in range(n)]
+    long, base = fresh(3000), fresh(300)
+    made = [edited(rng, long, 43) for _ in range(30)] + [edited(rng, base, 3 + k % 2) for k in range(60)]
+    rows = list(enumerate(" ".join(w) for w in made))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counted, kind = spark.sparkContext.accumulator(0), type(docs)
+
+    def counting(frame, run, schema, *rest, each=kind.mapInArrow, **more):
+        def count(batches):
+            for batch in run(batches):
+                counted.add(batch.num_rows)
+                yield batch
+
+        return each(frame, count if schema.startswith("a long, b long") else run, schema, *rest, **more)
+
+    monkeypatch.setattr(kind, "mapInArrow", counting)
+    _, named = near_duplicates.groups(docs)
+    assert sorted({r["component_id"] for r in named.collect()}) == plain_firsts(rows)
+    firsts = sum(near_duplicates.first_length(len(plain_set(t))) for _, t in rows)
+    assert 0 < counted.value < firsts
+
+
+def test_checks_in_a_family_join_what_any_pair_joins(spark):
+    """Sets with short and long sketches, in groups already, in one unit and in blocks."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(50000)}" for _ in range(n)]
+    made = []
+    for n, count in ((60, 12), (300, 12), (2300, 8)):
+        words = fresh(n)
+        for _ in range(count):
+            words = edited(rng, words, rng.randrange(1, n // 30 + 2))
+            made.append(words)
+    texts = [" ".join(w) for w in made]
+    found = [near_duplicates.shingles(t) for t in texts]
+    sets = spark.createDataFrame([(k, s.tobytes(), near_duplicates.sketch_of(s)) for k, s in enumerate(found)], "fp long, set binary, sketch binary")
+    family = spark.createDataFrame([(k, 0) for k in range(len(found))], "node long, root long")
+    before = spark.createDataFrame([(0, 0), (5, 0)], "node long, root long")
+    plain = lambda x, y: 5 * len(set(x) & set(y)) >= 4 * len(set(x) | set(y))
+    every = [(i, j) for i in range(len(found)) for j in range(i) if plain(found[i].tolist(), found[j].tolist())]
+
+    def joined(pairs):
+        group = list(range(len(found)))
+        for a, b in [(0, 5), *pairs]:
+            group = [group[b] if g == group[a] else g for g in group]
+        return {frozenset(k for k, g in enumerate(group) if g == one) for one in set(group)}
+
+    for limit in (4, 60, 4096):
+        links = [(r["a"], r["b"]) for r in near_duplicates.links_within(family, before, sets, limit).collect()]
+        assert joined(links) == joined(every) and all((max(p), min(p)) in set(every) for p in links)
+    assert len(links) < len(found)
