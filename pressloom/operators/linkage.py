@@ -74,6 +74,7 @@ def cosine_pairs(
     vectors = text_vectors(texts, n_docs, steps, ngram_range, min_df, max_df, stopwords, chars)
     min_sim = 1.0 - threshold
     vectors = steps.save(index_vectors(vectors.drop("signature"), min_sim), "vectors")
+    steps.drop_all_but(vectors)
     pairs = similar_pairs(vectors, "doc", min_sim - 1e-9, steps, block_rows, copies="copies")
     return pairs.where(F.round(1.0 - F.col("sim"), 12) < threshold)
 

@@ -10,9 +10,11 @@ The index list of a common term can hold a large share of all rows.  Such a list
 blocks is a unit of work of bounded size; inside it the products are summed in arrays and only the pairs above the
 similarity leave the task.
 
-Where vectors share many of their leading terms, as those of character n-grams do, the lists would carry each vector to far
-more units than there are blocks of all rows.  Then the rows themselves are cut into blocks, and each pair of blocks is a
-unit, worked out as a product of matrices, some rows at a time.  The join takes whichever way moves fewer rows.
+Where the lists would carry each vector more than a few times, the rows themselves are cut into blocks.  A block is packed into
+one row and written down once; pairs of blocks are read from there and meet without a shuffle, so nothing moves more often than
+there are copies of a list to save.  Inside a unit the terms are cut in two.  The products of the rarer ones are summed by
+lists.  The common ones can add no more than the product of the lengths that they have in both vectors, so they are only
+multiplied where that product reaches the similarity alone, or together with the sum of the rarer ones.
 """
 
 from __future__ import annotations
@@ -28,11 +30,16 @@ from pressloom.session import StepTables
 
 BLOCK_ROWS = 512
 _SLACK = 1e-9
-_PRODUCTS_AT_ONCE = 4_000_000
-#: Blocks of all rows are so many times larger than those of a list; rows of a block that are multiplied at once.
-_WIDER, _ROWS_AT_ONCE = 8, 256
-#: Terms of a pair of blocks that are multiplied as dense columns, and the products from which one is.
+_PRODUCTS_AT_ONCE, _VALUES_AT_ONCE = 4_000_000, 30_000
+#: Times that the lists may carry a vector, on average; beyond that, pairs of blocks of all rows are compared.
+_CARRIED = 4
+#: Blocks of all rows are so many times larger than those of a list, unless they have too many entries; rows of a block that are
+#: multiplied at once.
+_WIDER, _ENTRIES, _ROWS_AT_ONCE = 32, 1_500_000, 32
+#: Terms of a pair of blocks that are multiplied as dense columns at most, and the products from which one can be.
 _DENSE, _DENSE_FROM = 1024, 4000
+#: What a product by lists and one in a dense column cost, in the same unit, and what any pair costs that is multiplied densely.
+_LISTED_COST, _DENSE_COST, _PAIR_COST = 17.0, 0.08, 3.0
 _PAIRS = "a long, b long, sim double, copies_a long, copies_b long"
 
 
@@ -69,10 +76,10 @@ def similar_pairs(
     keys = vectors.select(F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
     lists = steps.save(keys.groupBy("key").agg(F.count("*").alias("n")), "lists")
     moved = lists.agg(F.sum(F.col("n") * F.ceil(F.col("n") / block_rows))).first()[0] or 0
-    rows = vectors.where("lead > 0").count()
-    blocks = -(-rows // (_WIDER * block_rows))
-    if rows * blocks < moved:
-        return _pairs_of_blocks(vectors.where("lead > 0"), blocks, min_sim)
+    rows, entries = vectors.where("lead > 0").agg(F.count("*"), F.sum(F.size("tids"))).first()
+    if moved > _CARRIED * rows:
+        blocks = max(-(-rows // (_WIDER * block_rows)), -(-entries // _ENTRIES))
+        return _pairs_of_blocks(vectors.where("lead > 0"), blocks, min_sim, steps)
     leads = vectors.select("doc", "copies", "tids", "ws", F.explode(F.slice("tids", 1, F.col("lead"))).alias("key"))
     # At most (indexed terms / block_rows) rows; written down so that the planner sees their true size.
     long_lists = lists.where(F.col("n") > block_rows).select("key", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
@@ -81,34 +88,48 @@ def similar_pairs(
     placed = placed.withColumn("own", F.pmod(F.xxhash64("doc", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = ["key", "lo", "hi"]
-    work = _sided(placed.select("doc", "copies", "tids", "ws", "key", "own", other), "key")
+    spread = placed.select("doc", "copies", "tids", "ws", "key", "own", other)
+    work = spread.select("doc", "copies", "tids", "ws", "key", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     return work.repartition(*units).sortWithinPartitions(*units).mapInArrow(_pairs_of_units(min_sim), _PAIRS)
 
 
-def _sided(spread: DataFrame, *names: str) -> DataFrame:
-    return spread.select("doc", "copies", "tids", "ws", *names, "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-
-
-def _pairs_of_blocks(vectors: DataFrame, blocks: int, min_sim: float) -> DataFrame:
+def _pairs_of_blocks(vectors: DataFrame, blocks: int, min_sim: float, steps: StepTables) -> DataFrame:
     """The same by pairs of blocks of all rows; a task holds two blocks and the products of some rows with one."""
-    own = vectors.select("doc", "copies", "tids", "ws", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("own"))
-    work = _sided(own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    # A number of tasks, as the work in a unit is far more than its bytes tell.
-    dealt = work.repartition(min(blocks * (blocks + 1) // 2, 4096), "lo", "hi")
+    min_sim = max(min_sim, 0.0)  # as by lists, where a pair shares a term
+    own = vectors.select("doc", "copies", "tids", "ws", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"))
+    packed = steps.save(own.groupBy("block").applyInArrow(_packed, f"block int, {', '.join(f'{n} binary' for n in _PACKED)}"), "blocks")
+    # A block is a partition, so a task gets one pair of them; of (a, b) and (b, a) one is a unit, for about half of the others of each.
+    sides = [packed.repartitionById(blocks, "block").toDF(*(f"{side}_{n}" for n in packed.columns)) for side in "ab"]
+    is_unit = "a_block = b_block OR (pmod(a_block + b_block, 2) = 1) = (a_block < b_block)"
+    units = sides[0].hint("shuffle_replicate_nl").join(sides[1], F.expr(is_unit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, table]) if held is not None else table
-            starts = _unit_starts(held, ("lo", "hi"))
-            for first, end in zip(starts[:-1], starts[1:]):
-                yield from _block_products(held.slice(first, end - first), min_sim)
-            held = held.slice(starts[-1])
-        if held is not None and held.num_rows:
-            yield from _block_products(held, min_sim)
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                a, b = ({n: row.column(f"{side}_{n}")[0] for n in ("block", *_PACKED)} for side in "ab")
+                yield from _block_products(_unpacked(a), _unpacked(b), a["block"] == b["block"], min_sim)
+
+    return units.mapInArrow(run, _PAIRS)
 
-    return dealt.sortWithinPartitions("lo", "hi", "own").mapInArrow(run, _PAIRS)
+
+#: A block of rows: per row its document, copies and number of entries, the distinct terms, per entry the place of its term among
+#: them and its weight, by rows, and the order of the entries by terms.
+_PACKED = {"docs": np.int64, "copies": np.int64, "sizes": np.int32, "terms": np.int64, "at": np.int32, "weights": np.float64, "by_term": np.int32}
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    group = group.sort_by("doc")
+    tids, ws = group.column("tids").combine_chunks(), group.column("ws").combine_chunks()
+    terms, at = np.unique(tids.flatten().to_numpy(), return_inverse=True)
+    found = [_column(group, "doc"), _column(group, "copies"), tids.value_lengths().to_numpy(), terms, at, ws.flatten().to_numpy(), np.argsort(at, kind="stable")]
+    columns = {n: pa.array([x.astype(kind).tobytes()], pa.binary()) for (n, kind), x in zip(_PACKED.items(), found)}
+    return pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), **columns})
+
+
+def _unpacked(row: dict[str, pa.Scalar]) -> dict[str, np.ndarray]:
+    block = {n: np.frombuffer(row[n].as_buffer(), kind) for n, kind in _PACKED.items()}
+    return block | {"row": np.repeat(np.arange(len(block["docs"])), block["sizes"]), "df": np.bincount(block["at"], minlength=len(block["terms"]))}
 
 
 def _ordered(doc_a: np.ndarray, doc_b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
@@ -118,57 +139,95 @@ def _ordered(doc_a: np.ndarray, doc_b: np.ndarray, copies_a: np.ndarray, copies_
     return pa.RecordBatch.from_arrays(columns, ["a", "b", "sim", "copies_a", "copies_b"])
 
 
-def _block_products(table: pa.Table, min_sim: float) -> Iterator[pa.RecordBatch]:
-    """Similar pairs between the first and the last block of a unit, or inside its only one."""
-    doc, copies, own = _column(table, "doc"), _column(table, "copies"), _column(table, "own")
-    tids, ws = table.column("tids").combine_chunks(), table.column("ws").combine_chunks()
-    row = np.repeat(np.arange(len(doc)), tids.value_lengths().to_numpy())
-    term, weight = np.unique(tids.flatten().to_numpy(), return_inverse=True)[1], ws.flatten().to_numpy()
-    same = own[0] == own[-1]
-    split = len(doc) if same else int(np.searchsorted(own, own[-1]))
-    low, terms = 0 if same else split, int(term.max()) + 1 if len(term) else 0
-    width = len(doc) - low
-    left, right = row < split, row >= low
-    load = np.bincount(term[left], minlength=terms) * np.bincount(term[right], minlength=terms)
-    dense = np.flatnonzero(load >= _DENSE_FROM)
-    if len(dense) > _DENSE:
-        dense = dense[np.argpartition(load[dense], -_DENSE)[-_DENSE:]]
-    column = np.full(terms, -1)
-    column[dense] = np.arange(len(dense))
-    whole = np.zeros((len(dense), width))
-    at = right & (column[term] >= 0)
-    whole[column[term[at]], row[at] - low] = weight[at]
-    # What is left meets by lists: the rows of the second block by term.
-    at = np.flatnonzero(right & (column[term] < 0))
-    at = at[np.argsort(term[at], kind="stable")]
-    listed, listed_weight = row[at] - low, weight[at]
-    ends = np.searchsorted(term[at], np.arange(terms + 1))
-    entry = np.searchsorted(row, np.arange(len(doc) + 1))
-    for first in range(0, split, _ROWS_AT_ONCE):
-        last = min(first + _ROWS_AT_ONCE, split)
-        r, t, w = (x[entry[first] : entry[last]] for x in (row, term, weight))
-        part = np.zeros((last - first, len(dense)))
-        inside = column[t] >= 0
-        part[r[inside] - first, column[t[inside]]] = w[inside]
-        product = part @ whole
-        r, t, w = r[~inside], t[~inside], w[~inside]
+def _common_terms(a: dict[str, np.ndarray], b: dict[str, np.ndarray], load: np.ndarray, in_b: np.ndarray, min_sim: float) -> np.ndarray:
+    """The terms of the first block that are multiplied as dense columns: as many of those with the most products as cost least."""
+    by_load = np.argsort(-load, kind="stable")[:_DENSE]
+    by_load = by_load[load[by_load] >= _DENSE_FROM]
+    listed = load.sum() - np.concatenate(([0], np.cumsum(load[by_load])))
+    least, best = np.inf, 0
+    place = {"a": np.full(len(a["terms"]), _DENSE), "b": np.full(len(b["terms"]), _DENSE)}
+    place["a"][by_load] = place["b"][in_b[by_load]] = np.arange(len(by_load))
+    # The lengths in a few rows tell the share of the pairs that must be multiplied.
+    sample = []
+    for side, block in (("a", a), ("b", b)):
+        at = block["row"] < 256
+        sample.append((block["row"][at], place[side][block["at"][at]], block["weights"][at] ** 2))
+    for n in sorted({0, len(by_load), *(min(2**k, len(by_load)) for k in range(4, 11))}):
+        p, q = (np.sqrt(np.bincount(row, np.where(at < n, w, 0.0), minlength=1)) for row, at, w in sample)
+        share = (np.outer(p, q) > min_sim).mean()
+        cost = _LISTED_COST * listed[n] + share * len(a["docs"]) * len(b["docs"]) * (_DENSE_COST * n + _PAIR_COST)
+        if cost < least:
+            least, best = cost, n
+    return by_load[:best]
+
+
+def _block_products(a: dict[str, np.ndarray], b: dict[str, np.ndarray], same: bool, min_sim: float) -> Iterator[pa.RecordBatch]:
+    """Similar pairs between two blocks, or inside one."""
+    where = np.minimum(np.searchsorted(b["terms"], a["terms"]), len(b["terms"]) - 1)
+    in_b = np.where(b["terms"][where] == a["terms"], where, -1)
+    load = np.where(in_b >= 0, a["df"] * b["df"][where], 0)
+    common = _common_terms(a, b, load, in_b, min_sim)
+    column_a, column_b = np.full(len(a["terms"]), -1), np.full(len(b["terms"]), -1)
+    column_a[common] = column_b[in_b[common]] = np.arange(len(common))
+    starts = np.concatenate(([0], np.cumsum(a["sizes"])))
+
+    def lengths(block: dict[str, np.ndarray], column: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.bincount(block["row"], np.where(column[block["at"]] >= 0, block["weights"] ** 2, 0.0), minlength=len(block["docs"])))
+
+    length_a, length_b = lengths(a, column_a), lengths(b, column_b)
+    order_a, order_b = np.argsort(-length_a, kind="stable"), np.argsort(-length_b, kind="stable")
+    length_b = length_b[order_b]
+    width = len(order_b)
+    place_b = np.empty(width, np.int64)
+    place_b[order_b] = np.arange(width)
+    whole = np.zeros((width, len(common)))
+    at = np.flatnonzero(column_b[b["at"]] >= 0)
+    whole[place_b[b["row"][at]], column_b[b["at"][at]]] = b["weights"][at]
+    # The rarer terms meet by lists: the rows of the second block by term.
+    listed, listed_weight = place_b[b["row"][b["by_term"]]], b["weights"][b["by_term"]]
+    ends = np.concatenate(([0], np.cumsum(b["df"])))
+    for first in range(0, len(order_a), _ROWS_AT_ONCE):
+        rows = order_a[first : first + _ROWS_AT_ONCE]
+        sizes = a["sizes"][rows]
+        r = np.repeat(np.arange(len(rows)), sizes)
+        entry = np.repeat(starts[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(r))
+        t, w = a["at"][entry], a["weights"][entry]
+        part, inside = np.zeros((len(rows), len(common))), column_a[t] >= 0
+        part[r[inside], column_a[t[inside]]] = w[inside]
+        met = ~inside & (in_b[t] >= 0)
+        r, t, w = r[met], in_b[t[met]], w[met]
         sizes = ends[t + 1] - ends[t]
         done = np.concatenate(([0], np.cumsum(sizes)))
-        cut = 0
+        sums, cut = np.zeros(len(rows) * width), 0
         while cut < len(t):
             upto = max(cut + 1, int(np.searchsorted(done, done[cut] + _PRODUCTS_AT_ONCE, side="right")) - 1)
             n = sizes[cut:upto]
             where = np.repeat(ends[t[cut:upto]] - (done[cut:upto] - done[cut]), n) + np.arange(n.sum())
-            place = np.repeat((r[cut:upto] - first) * width, n) + listed[where]
-            product += np.bincount(place, np.repeat(w[cut:upto], n) * listed_weight[where], minlength=product.size).reshape(product.shape)
-            cut = upto
-        i, j = np.nonzero(product > min_sim)
-        sim, i, j = product[i, j], i + first, j + low
+            place = np.repeat(r[cut:upto] * width, n) + listed[where]
+            found = np.bincount(place, np.repeat(w[cut:upto], n) * listed_weight[where], minlength=len(sums))
+            sums, cut = sums + found if cut else found, upto
+        sums = sums.reshape(len(rows), width)
+        # Rows and columns are in the order of their lengths in common terms, so what can be similar by these alone is a first part.
+        most = length_a[rows[0]] * length_b
+        alone = int(np.searchsorted(-most, -(min_sim - _SLACK), side="left"))
+        sums[:, :alone] += part @ whole[:alone].T
+        i, j = np.divmod(np.flatnonzero(sums[:, :alone] > min_sim), max(alone, 1))
+        sim = sums[i, j]
+        k, l = np.divmod(np.flatnonzero(sums[:, alone:] > min_sim - _SLACK - most[alone:]), max(width - alone, 1))
+        l += alone
+        near = sums[k, l] + length_a[rows[k]] * length_b[l] > min_sim - _SLACK
+        k, l = k[near], l[near]
+        some = max(_VALUES_AT_ONCE // max(len(common), 1), 1)
+        exact = [np.einsum("ij,ij->i", part[k[cut : cut + some]], whole[l[cut : cut + some]]) for cut in range(0, len(k), some)]
+        exact = sums[k, l] + np.concatenate([np.empty(0), *exact])
+        wanted = exact > min_sim
+        i, j, sim = np.append(i, k[wanted]), np.append(j, l[wanted]), np.append(sim, exact[wanted])
+        i, j = rows[i], order_b[j]
         if same:
             after = j > i
-            sim, i, j = sim[after], i[after], j[after]
+            i, j, sim = i[after], j[after], sim[after]
         if len(i):
-            yield _ordered(doc[i], doc[j], copies[i], copies[j], sim)
+            yield _ordered(a["docs"][i], b["docs"][j], a["copies"][i], b["copies"][j], sim)
 
 
 def _pairs_of_units(min_sim: float):

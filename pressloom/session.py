@@ -70,6 +70,7 @@ class StepTables:
         self._spark = spark
         self._root = f"{shared_folder(spark).rstrip('/')}/{job}-{uuid.uuid4().hex}"
         self._count = 0
+        self._saved: set[str] = set()
         _OPEN.append(self)
 
     def folder(self) -> str:
@@ -83,6 +84,7 @@ class StepTables:
         df.write.parquet(path)
         saved = self._spark.read.schema(df.schema).parquet(path)
         saved._pressloom_path = path
+        self._saved.add(path)
         return saved
 
     def drop(self, *tables: DataFrame | None) -> None:
@@ -92,6 +94,13 @@ class StepTables:
             if path:
                 self._delete(path)
 
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        """Remove all step tables so far except these, which are all that later steps read."""
+        kept = {table._pressloom_path for table in tables}
+        for path in self._saved - kept:
+            self._delete(path)
+        self._saved &= kept
+
     def close(self) -> None:
         """Remove what is left, once every result that reads it has been written."""
         if self in _OPEN:
