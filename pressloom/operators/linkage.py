@@ -9,33 +9,36 @@ Each round merges all pairs of clusters that are each other's nearest (ties by s
 reducible: no merge brings a cluster nearer to a third one than its parts were, so these merges do not disturb each other
 and end in the same clusters as one merge at a time.
 
-Clusters in different connected components of the close pairs never meet.  A component of at most `COMPONENT` clusters and
-`ENTRIES` vector entries is therefore finished on its own, in one group of bounded size, whatever else is left; the groups of
-all components run side by side.  Larger components go on by levels.  A level is a lower distance, under which only a share
-of the clusters have a partner; the components of the pairs below it are small and are merged up to that distance in the same
-way.  Nothing is lost by that: what lies in different ones is at the level or beyond, and by reducibility stays there whatever
-is merged.  Where a level still leaves larger components the next share is half of it, and where it has no small ones, the
-pairs of clusters that are each other's nearest are merged as above.
+Clusters in different connected components of the close pairs never meet.  What has at most `COMPONENT` clusters, `EDGES` close
+pairs and `ENTRIES` vector entries is therefore finished on its own in the memory of one task, whatever else is left: all that
+there is, if it is no more than that, or else the components of that size, side by side.  Larger components go on by levels.  A
+level is a lower distance, under which only a share of the clusters have a partner; the components of the pairs below it are small
+and are merged up to that distance in the same way.  Nothing is lost by that: what lies in different ones is at the level or beyond,
+and by reducibility stays there whatever is merged.  Where a level still leaves larger components the next share is half of it, and
+where it has no small ones, the pairs of clusters that are each other's nearest are merged as above.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.operators.agglomeration import nearest_merges
 from pressloom.operators.components import components
 from pressloom.operators.features import CHAR_MARK, CharGrams, char_counts, term_counts, vocabulary
 from pressloom.operators.similarity import BLOCK_ROWS, index_vectors, rank_terms, similar_pairs
 from pressloom.session import StepTables
 
-COMPONENT = 2048
-ENTRIES = 1_000_000
+#: Clusters, vector entries and close pairs that one task holds, some 0.1 kB each with what it works out.
+COMPONENT = 1_000_000
+ENTRIES = 4_000_000
+EDGES = 8_000_000
 #: The share of the clusters that have a partner below the first level.
 SHARE = 0.5
 #: Tasks that finish components side by side.
@@ -157,6 +160,7 @@ def average_linkage(
     pairs = similar_pairs(vectors, "vec", min_sim - 1e-9, steps, block_rows, copies="n")
     edges = pairs.select("a", "b", F.col("copies_a").alias("na"), F.col("copies_b").alias("nb"), (F.col("sim") * F.col("copies_a") * F.col("copies_b")).alias("s"))
     edges = steps.save(_close(edges, threshold), "edges")
+    steps.drop_all_but(texts, per_text, vectors, edges)
     entries = vectors.select("vec", "n", F.explode("v").alias("e"))
     sums = entries.select(F.col("vec").alias("c"), F.col("e.tid").alias("tid"), (F.col("e.w") * F.col("n")).alias("s"))
 
@@ -232,63 +236,65 @@ def _finish_small(
     Components are those of the pairs below the level.  What lies in different ones is at the level or beyond, and so is all that
     they are merged into, so every merge below the level happens inside one of them.
     """
-    found = steps.save(components(_close(edges, level), steps), "components")
-    entries = sums.groupBy("c").agg(F.count("*").alias("entries"))
-    sizes = found.join(entries, F.col("node") == F.col("c")).groupBy("root")
-    sizes = steps.save(sizes.agg(F.count("*").alias("size"), F.sum("entries").alias("entries")), "sizes")
-    is_small = (F.col("size") <= limit) & (F.col("entries") <= ENTRIES)
-    larger = steps.save(found.join(sizes.where(~is_small), "root").select("node", "root"), "larger")
-    nodes = found.join(sizes.where(is_small), "root").select(F.col("node").alias("c"), "root")
     sides = edges.selectExpr("explode(array(struct(a AS c, na AS n), struct(b AS c, nb AS n))) AS x").select("x.*").distinct()
-    rest = sums.join(nodes, "c").join(sides, "c").select("root", "c", "n", "tid", "s")
-    several = sizes.where(is_small).count()
+    sides = steps.save(sides, "sides")
+    if sides.count() <= limit and edges.count() <= EDGES and sums.count() <= ENTRIES:
+        placed = sides.select("c", "n", F.lit(0).alias("bin"))
+        merged = steps.save(_finish(placed, edges.withColumn("bin", F.lit(0)), sums.withColumn("bin", F.lit(0)), level, 1), "finished")
+        return None if merged.isEmpty() else merged, None
+    near = steps.save(_close(edges, level), "near")
+    found = steps.save(components(near, steps), "components")
+    held = sums.groupBy("c").agg(F.count("*").alias("entries")).withColumn("edges", F.lit(0))
+    held = held.unionByName(near.groupBy(F.col("a").alias("c")).agg(F.lit(0).alias("entries"), F.count("*").alias("edges")))
+    sizes = found.join(held, F.col("node") == F.col("c")).groupBy("root")
+    counts = [F.count_if(F.col("entries") > 0).alias("size"), F.sum("entries").alias("entries"), F.sum("edges").alias("edges")]
+    sizes = steps.save(sizes.agg(*counts), "sizes")
+    is_small = (F.col("size") <= limit) & (F.col("entries") <= ENTRIES) & (F.col("edges") <= EDGES)
+    larger = steps.save(found.join(sizes.where(~is_small), "root").select("node", "root"), "larger")
+    several, entries, pairs = sizes.where(is_small).agg(F.count("*"), F.sum("entries"), F.sum("edges")).first()
     if not several:
         return None, larger
     # A number of tasks, as the work in a component is far more than its bytes tell.
-    merged = steps.save(_finish(rest.repartition(min(several, TASKS), "root"), level), "finished")
+    bins = max(min(several, TASKS), math.ceil(entries / ENTRIES), math.ceil(pairs / EDGES))
+    small = found.join(sizes.where(is_small), "root").select(F.col("node").alias("c"), F.pmod(F.xxhash64("root"), F.lit(bins)).cast("int").alias("bin"))
+    small = steps.save(small, "bins")
+    near = near.join(small.withColumnRenamed("c", "a"), "a")
+    merged = steps.save(_finish(sides.join(small, "c"), near, sums.join(small, "c"), level, bins), "finished")
     return None if merged.isEmpty() else merged, None if larger.isEmpty() else larger
 
 
-def _finish(rest: DataFrame, threshold: float) -> DataFrame:
-    """(old, new, n, parts) of the merges inside each component, with a row of the cluster that stays; a group is one
-    component, of bounded size."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, at = np.unique(rows["c"].to_numpy(), return_inverse=True)
-        n = np.zeros(len(ids))
-        n[at] = rows["n"]
-        size = n.astype(np.int64)
-        product = np.zeros((len(ids), len(ids)))
-        by_term = rows.assign(at=at).sort_values("tid")
-        cuts = np.flatnonzero(np.diff(by_term["tid"].to_numpy())) + 1
-        for where, s in zip(np.split(by_term["at"].to_numpy(), cuts), np.split(by_term["s"].to_numpy(), cuts)):
-            product[np.ix_(where, where)] += np.outer(s, s)
-        root = np.arange(len(ids))
-        live = root.copy()
-        while True:
-            distance = np.round(1.0 - product / np.outer(n, n), 12)
-            np.fill_diagonal(distance, 2.0)
-            here = np.arange(len(live))
-            nearest = distance.argmin(axis=1)
-            mutual = (nearest[nearest] == here) & (here < nearest) & (distance[here, nearest] < threshold)
-            if not mutual.any():
-                break
-            keep, gone = here[mutual], nearest[mutual]
-            product[keep] += product[gone]
-            product[:, keep] += product[:, gone]
-            n[keep] += n[gone]
-            moved_to = np.arange(len(ids))
-            moved_to[live[gone]] = live[keep]
-            root = moved_to[root]
-            left = np.setdiff1d(here, gone)
-            product, n, live = product[np.ix_(left, left)], n[left], live[left]
+def _finish(sides: DataFrame, edges: DataFrame, sums: DataFrame, threshold: float, bins: int) -> DataFrame:
+    """(old, new, n, parts) of the merges inside each bin, with a row of the cluster that stays; a bin holds whole components of
+    bounded size, or all that is left."""
+    rows = edges.select("bin", F.col("a").alias("x"), F.col("b").alias("y"), F.col("s").alias("v"))
+    rows = rows.unionByName(sides.select("bin", F.col("c").alias("x"), F.col("c").alias("y"), F.col("n").cast("double").alias("v")))
+    rows = rows.unionByName(sums.select("bin", F.col("c").alias("x"), (-1 - F.col("tid")).alias("y"), F.col("s").alias("v")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list[np.ndarray]] = {"x": [], "y": [], "v": []}
+        for batch in batches:
+            for name, parts in found.items():
+                parts.append(batch.column(name).to_numpy().copy())
+        if not found["x"]:
+            return
+        x, y, v = (np.concatenate(found.pop(name)) for name in ("x", "y", "v"))
+        is_size, is_entry = x == y, y < 0
+        order = np.argsort(x[is_size])
+        ids, n = x[is_size][order], v[is_size][order]
+        is_edge = ~(is_size | is_entry)
+        a, b, s = np.searchsorted(ids, x[is_edge]).astype(np.int32), np.searchsorted(ids, y[is_edge]).astype(np.int32), v[is_edge]
+        x, y, v = x[is_entry], y[is_entry], v[is_entry]
+        number = np.minimum(np.searchsorted(ids, x), len(ids) - 1)
+        has = ids[number] == x
+        number, term, v = number[has], np.unique(y[has], return_inverse=True)[1], v[has]
+        del x, y, has, is_size, is_entry, is_edge
+        root, size = nearest_merges(n, a, b, s, number, term, v, threshold)
         parts = np.bincount(root, minlength=len(ids))
-        sizes = np.zeros(len(ids), np.int64)
-        np.add.at(sizes, root, size)
         moved = parts[root] > 1
-        return pd.DataFrame({"old": ids[moved], "new": ids[root[moved]], "n": sizes[root[moved]], "parts": parts[root[moved]]})
+        columns = [ids[moved], ids[root[moved]], size[moved].astype(np.int64), parts[root[moved]]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["old", "new", "n", "parts"])
 
-    return rest.groupBy("root").applyInPandas(run, "old long, new long, n long, parts long")
+    return rows.repartitionById(bins, "bin").select("x", "y", "v").mapInArrow(run, "old long, new long, n long, parts long")
 
 
 def _add_up(sums: DataFrame, edges: DataFrame, moved: DataFrame) -> DataFrame:
