@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from pressloom.operators import similarity
+from pressloom.operators import features, linkage, similarity
 from pressloom.session import StepTables
 
 
@@ -38,6 +38,18 @@ def test_blocks_meet_without_copies_of_rows(spark, monkeypatch, min_sim, blocks,
     steps.close()
 
 
+def test_pairs_by_words_and_characters_meet_without_copies_of_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(25)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=5))) for i in range(60)], "doc_id long, text_for_cluster string")
+    found = lambda pairs: {(r.a, r.b): (round(r.sim, 9), r.copies_a, r.copies_b) for r in pairs.collect()}
+    want = found(linkage.cosine_pairs(docs, chars=features.CharGrams()))  # one block
+    monkeypatch.setattr(similarity, "_WIDER", 1)
+    pairs = linkage.cosine_pairs(docs, chars=features.CharGrams(), block_rows=16)
+    assert want and found(pairs) == want
+    assert "Generate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_read_steps_are_removed(spark):
     steps = StepTables(spark, "test")
     first, second = (steps.save(spark.range(3), name) for name in ("first", "second"))
